@@ -1,0 +1 @@
+"""Every source is read as a complete table, so there is nothing to stream; see README."""
