@@ -19,20 +19,12 @@ class ScoringError(ValueError):
     """Models, thresholds or scores are unusable."""
 
 
-def _finite(values: Any, rows: int, target: str) -> pd.Series:
-    scores = pd.to_numeric(pd.Series(values), errors="coerce").astype("float64")
-    if len(scores) != rows:
-        raise ScoringError(f"model {target} score length {len(scores)} does not match {rows} rows")
-    if not scores.abs().lt(float("inf")).all():
-        raise ScoringError(f"model {target} scores must be numeric and finite")
-    return scores.reset_index(drop=True)
-
-
 def score(df: DataFrame, models: Mapping[str, Any], features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``keep`` columns plus one ``<target>_score`` per target.
 
     ``models`` maps each target to an object with ``predict(frame)``. They travel with the task
-    closure and score Arrow batches where the rows already are; nothing is shuffled.
+    closure and score Arrow batches where the rows already are; nothing is shuffled. A score
+    that is not a finite number, or a wrong number of scores, fails the job.
     """
     missing = [t for t in TARGETS if t not in models]
     if missing:
@@ -43,11 +35,18 @@ def score(df: DataFrame, models: Mapping[str, Any], features: Sequence[str], kee
     fitted = {t: models[t] for t in TARGETS}
     names, kept = list(features), list(keep)
 
+    # Nothing of this package is referenced inside, so workers need only the models' own code.
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = batch[kept].reset_index(drop=True)
             for target, model in fitted.items():
-                out[target + "_score"] = _finite(model.predict(batch[names]), len(batch), target)
+                raw = pd.Series(model.predict(batch[names])).reset_index(drop=True)
+                if len(raw) != len(batch):
+                    raise ValueError(f"model {target} score length {len(raw)} does not match {len(batch)} rows")
+                scores = pd.to_numeric(raw, errors="coerce").astype("float64")
+                if not scores.abs().lt(float("inf")).all():
+                    raise ValueError(f"model {target} scores must be numeric and finite")
+                out[target + "_score"] = scores
             yield out
 
     rows = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, *names])])

@@ -99,7 +99,7 @@ def conflict_features(
     keys = ["lat", "lon", *PERIOD]
     rows = keep_one(scaffold, keys, order or [c for c in scaffold.columns if c not in keys] or keys)
     units = admin_units(event_pivot(dated_events(events)))
-    unit = F.concat_ws("\u001f", "country", "admin1", "admin2", "admin3").alias("unit_id")
+    unit = F.struct("country", "admin1", "admin2", "admin3").alias("unit_id")
     measures = [c for c in units.columns if c.startswith(("event_count", "sum_fatalities"))]
     return nearest_join(
         rows, units.select(unit, *PERIOD, "lat", "lon", *measures), "unit_id", PERIOD, max_km, measures, distance

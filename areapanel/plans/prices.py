@@ -49,7 +49,7 @@ def price_features(
     rest = order or [c for c in scaffold.columns if c not in POINT_MONTH] or POINT_MONTH
     rows = keep_one(at_twelve_decimals(scaffold).where(inside), POINT_MONTH, rest)
     markets = keep_one(at_twelve_decimals(points).where(inside), POINT_MONTH, [value])
-    named = markets.withColumn("point_id", F.format_string("%018.12f|%018.12f", "lat", "lon"))
+    named = markets.withColumn("point_id", F.struct("lat", "lon"))  # of equally near points the lowest wins
     return nearest_join(rows, named, "point_id", ("year", "month"), max_km, [value], "market_distance", "drop")
 
 

@@ -17,7 +17,7 @@ from .monthly import validate_base_input
 
 _MANIFEST = (
     "feature_month string, run_id string, status string, generation int, publication string, "
-    "model_package_id string, files array<struct<name: string, length: bigint, sha256: string>>, published_at timestamp"
+    "model_package_id string, files int, bytes bigint, published_at timestamp"
 )
 
 
@@ -96,10 +96,15 @@ def publish_month(
             raise ReleaseConflict(f"run {run_id} already has artefacts") from error
         raise
     publication = uuid.uuid4().hex
-    files = (
-        file_lineage(spark, target, "[!_.]*")
-        .select(F.regexp_replace("path", r"^.*/runs/", "runs/").alias("name"), "length", "sha256")
-        .agg(F.array_sort(F.collect_list(F.struct("name", "length", "sha256"))).alias("files"))
+    # Checksums are a table beside the run, one row per file; the manifest only names the run.
+    write_table(
+        file_lineage(spark, target, "[!_.]*").select(
+            F.regexp_replace("path", r"^.*/runs/", "runs/").alias("name"), "length", "sha256"
+        ),
+        f"{root}/checksums/{run_id}",
+    )
+    files = spark.read.parquet(f"{root}/checksums/{run_id}").agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.sum("length").alias("bytes")
     )
     files.select(
         F.lit(feature_month).alias("feature_month"),
@@ -109,6 +114,7 @@ def publish_month(
         F.lit(publication).alias("publication"),
         F.lit(model_package_id).alias("model_package_id"),
         "files",
+        "bytes",
         F.current_timestamp().alias("published_at"),
     ).write.mode("append").json(f"{root}/manifest")
     current = read_current(spark, root, feature_month)

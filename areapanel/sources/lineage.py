@@ -9,22 +9,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_CHUNK = 8 * 1024 * 1024
 
 
-def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _hasher(chunk_bytes: int = 8 * 1024 * 1024):
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
 
-    for batch in batches:
-        sums = []
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))
-            digest = hashlib.sha256()
-            with system.open_input_stream(inner) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-            sums.append(digest.hexdigest())
-        yield batch.assign(sha256=sums)
+        for batch in batches:
+            sums = []
+            for path in batch["path"]:
+                system, inner = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))
+                state = hashlib.sha256()
+                with system.open_input_stream(inner) as stream:
+                    while chunk := stream.read(chunk_bytes):
+                        state.update(chunk)
+                sums.append(state.hexdigest())
+            yield batch.assign(sha256=sums)
+
+    return digest
 
 
 def file_lineage(spark: SparkSession, path: str, pattern: str = "*", checksum: bool = True) -> DataFrame:
@@ -44,7 +46,7 @@ def file_lineage(spark: SparkSession, path: str, pattern: str = "*", checksum: b
         return files
     # Spread the paths: listing packs many small files into one task, hashing should not.
     return files.repartition("path").mapInPandas(
-        _digest, "path string, name string, length bigint, modified timestamp, sha256 string"
+        _hasher(), "path string, name string, length bigint, modified timestamp, sha256 string"
     )
 
 
