@@ -38,7 +38,8 @@ FROM raw""",
 )
 def q1_value_checks(spark, sf_dir):
     """Q1, Q2, Q4, Q19: dates, coordinates and blanks in one aggregate."""
-    return Q.counters(_raw(spark, sf_dir), {**Q.date_checks(), **Q.coordinate_checks(), **Q.blank_checks(["admin_code", "lat"])})
+    raw = _raw(spark, sf_dir)
+    return Q.counters(raw, {**Q.date_checks(raw), **Q.coordinate_checks(raw), **Q.blank_checks(raw, ["admin_code", "lat"])})
 
 
 @query(

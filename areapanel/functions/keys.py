@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from .fixed import COORDINATE_DIGITS
 from .nulls import strip
 
-# Java also parses "12d" and "0x1p3" as doubles; only plain decimal notation counts here.
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-
 
 def to_number(column: Column) -> Column:
-    """Text to double; anything that is not a plain decimal number becomes null."""
+    """Text to double; anything that is not a finite decimal number becomes null."""
     text = strip(column.cast("string"))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    number = text.try_cast("double")
+    # The cast also reads "12d", "3f" and "0x1p3", which are not numbers here.
+    odd = F.lower(F.right(text, F.lit(1))).isin("d", "f") | text.contains("x") | text.contains("X")
+    return F.when((F.abs(number) < float("inf")) & ~odd, number)
 
 
 def parse_int(column: Column) -> Column:
@@ -58,20 +58,26 @@ def index_month(index: Column) -> Column:
     return (F.pmod(index, F.lit(12)) + 1).cast("int")
 
 
+def _padded(number: Column, width: int) -> Column:
+    return F.lpad(number.cast("string"), width, "0")
+
+
 def year_month_text(year: Column, month: Column) -> Column:
     """``YYYY-MM``; an invalid date, which sorts as -1, gives ''."""
     valid = (year >= 0) & (month >= 0)
-    return F.when(valid, F.format_string("%04d-%02d", year, month)).otherwise("")
+    return F.when(valid, F.concat(_padded(year, 4), F.lit("-"), _padded(month, 2))).otherwise("")
 
 
 def yyyymm(year: Column, month: Column) -> Column:
-    return F.format_string("%d%02d", year, month)
+    return F.concat(year.cast("string"), _padded(month, 2))
 
 
 def target_period(period: Column, months: Column | int) -> Column:
-    """Calendar month ``months`` after a ``YYYY-MM`` text."""
+    """Calendar month ``months`` after a ``YYYY-MM`` text, by month-index arithmetic."""
     shift = F.lit(months) if isinstance(months, int) else months
-    return F.date_format(F.add_months(F.to_date(period, "yyyy-MM"), shift), "yyyy-MM")
+    year, month = (F.split(period, "-")[i].try_cast("int") for i in (0, 1))
+    index = month_index(year, month) + shift
+    return F.concat(_padded(index_year(index), 4), F.lit("-"), _padded(index_month(index), 2))
 
 
 def parse_feature_month(text: str) -> tuple[int, int]:

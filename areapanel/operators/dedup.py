@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -17,17 +18,12 @@ def _col(name: str) -> Column:
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
     """One whole row per key: the first (or last) by ``order``; null keys form one group.
 
-    An aggregate, not a window: copies of a key collapse before the shuffle, so a key
-    with a third of all rows sends one row per input partition.
+    Spark turns the filter on the row number into a group limit before the shuffle: each input
+    partition sends one row per key, so a key with a third of all rows never meets in one task.
     """
-    pick = F.max_by if last else F.min_by
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    kept = df.groupBy(*[_col(k) for k in keys]).agg(
-        pick(F.struct(*[_col(c) for c in rest]), F.struct(*[_col(c) for c in order])).alias("_row")
-    )
-    return kept.select(*[_col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
+    ranked = [_col(c).desc() if last else _col(c).asc() for c in order]
+    w = W.partitionBy(*[_col(k) for k in keys]).orderBy(*ranked)
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def with_row_ids(df: DataFrame, order: Sequence[str], name: str = "_row_id", start: int = 0) -> DataFrame:

@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 from ..functions.fixed import MATCH_RADIUS_KM
 from ..functions.geo import haversine_term, km_to_term, term_to_km
 from ..session import cut_lineage
+from .dedup import keep_one
 
 # Bounds are compared with a little room, so rounding in them can never prune a true neighbour.
 _ROOM = 1e-9
-_FINEST_LEVEL = 22
+_COARSEST = 45.0
+_FINEST_LEVEL = 25
 
 
 def _cell(column: Column, size: float) -> Column:
@@ -109,25 +111,16 @@ def _wrap_lon(lon: Column) -> Column:
     return F.when(inside, lon).otherwise(F.pmod(lon + 180.0, F.lit(360.0)) - 180.0)
 
 
-def nearest_positions(
-    left: DataFrame, right: DataFrame, by: Sequence[str], right_id: str, max_km: float, pair_limit: int = 65_536
+def _nearest_pairs(
+    lefts: DataFrame, rights: DataFrame, by: Sequence[str], max_km: float, pair_limit: int, start: float
 ) -> DataFrame:
-    """``by, lat, lon, right_id, _term``: the nearest right id of every left position in reach.
+    """``by, l_lat, l_lon, _rid, _term``: the nearest right position of every left one in reach.
 
-    Positions are made distinct first; of right rows at one position the lowest id stands for
-    it, and of equally distant positions the lowest id wins.
+    Both inputs hold distinct positions: ``l_lat, l_lon`` or ``r_lat, r_lon, _rid``, and ``lat,
+    lon`` with the longitude wrapped for the grid. Of equally distant positions the lowest id wins.
     """
     reach = km_to_term(max_km)
-    lefts = left.select(*by, "lat", "lon").dropna().distinct()
-    rights = right.dropna(subset=[*by, "lat", "lon", right_id]).groupBy(*by, "lat", "lon").agg(F.min(right_id).alias("_rid"))
-    # Grid lines use longitudes in [-180, 180); distances use the coordinates as they are.
-    lefts = lefts.select(*by, F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"), "lat", _wrap_lon(F.col("lon")).alias("lon"))
-    rights = rights.select(*by, F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"), "_rid", "lat", _wrap_lon(F.col("lon")).alias("lon"))
-    # A block at least as wide as the radius. Dividing the globe by a power of two keeps every
-    # grid line exact in binary, so halving a block never moves a point to another parent.
-    size = 45.0
-    while size > 2 * max(max_km / 111.0, 0.01):
-        size /= 2
+    size = start
     pairs = _prune(
         _neighbours(_blocks(lefts, by, size, "l"), size, max_km).join(
             _blocks(rights, by, size, "r").hint("merge"), [*by, "r_row", "r_col"]
@@ -137,8 +130,8 @@ def nearest_positions(
     )
     settled: list[tuple[float, DataFrame]] = []
     too_big = F.col("l_n") * F.col("r_n") > pair_limit
+    cells = ["l_row", "l_col", "r_row", "r_col"]
     for level in range(_FINEST_LEVEL + 1):
-        cells = ["l_row", "l_col", "r_row", "r_col"]
         pairs = cut_lineage(pairs.select(*by, *cells, "l_n", "r_n"))
         big = pairs.where(too_big)
         if level == _FINEST_LEVEL or big.isEmpty():
@@ -167,9 +160,7 @@ def nearest_positions(
 
     candidates = reduce(DataFrame.unionByName, [closest(s, p) for s, p in settled])
     best = candidates.groupBy(*by, "l_lat", "l_lon").agg(F.min(F.struct("_term", "_rid")).alias("_b"))
-    return best.select(
-        *by, F.col("l_lat").alias("lat"), F.col("l_lon").alias("lon"), F.col("_b._rid").alias(right_id), F.col("_b._term").alias("_term")
-    )
+    return best.select(*by, "l_lat", "l_lon", "_b._rid", "_b._term")
 
 
 def nearest_join(
@@ -181,27 +172,55 @@ def nearest_join(
     payload: Sequence[str] | None = None,
     distance: str = "distance_km",
     unmatched_months: str = "keep",
-    pair_limit: int = 65_536,
+    pair_limit: int = 4096,
+    start: float | None = None,
 ) -> DataFrame:
     """Left rows with the payload of the nearest right row of their month and the distance.
 
     Payload and distance are null when nothing lies within ``max_km``. A month without right
-    rows keeps its left rows (``"keep"``) or loses them (``"drop"``).
+    rows keeps its left rows (``"keep"``) or loses them (``"drop"``). ``right_id`` is unique
+    within a month; of right rows at one position, or equally far, the lowest id wins.
+
+    Distinct positions of both sides are checkpointed, as every refinement reads them again.
+    ``start`` is the first block size in degrees, by default one to two and a half times the
+    radius. It is 45 divided by a power of two, so that grid lines are exact in binary and
+    halving a block never moves a point to another parent.
     """
     if unmatched_months not in ("keep", "drop"):
         raise ValueError(f"unmatched_months must be 'keep' or 'drop', got {unmatched_months!r}")
     by = list(by)
     columns = [c for c in (payload or right.columns) if c not in {*by, "lat", "lon", *left.columns}]
-    found = nearest_positions(left, right, by, right_id, max_km, pair_limit)
-    distance_km = term_to_km(F.col("_term"))
+    if start is None:
+        start = _COARSEST
+        while start > 2.5 * max(max_km / 111.0, 0.01):
+            start /= 2
+    grid = ["lat", _wrap_lon(F.col("lon")).alias("lon")]
+    lefts = cut_lineage(
+        left.select(*by, "lat", "lon")
+        .dropna()
+        .distinct()
+        .select(*by, F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"), *grid)
+    )
+    rights = cut_lineage(
+        keep_one(right.dropna(subset=[*by, "lat", "lon", right_id]), [*by, "lat", "lon"], [right_id]).select(
+            *by,
+            F.col("lat").alias("r_lat"),
+            F.col("lon").alias("r_lon"),
+            F.col(right_id).alias("_rid"),
+            F.struct(*columns).alias("_payload"),
+            *grid,
+        )
+    )
+    found = _nearest_pairs(lefts, rights, by, max_km, pair_limit, start)
     matched = (
-        found.join(right.select(*by, *dict.fromkeys([right_id, *columns])), [*by, right_id])
-        .select(*by, "lat", "lon", *columns, distance_km.alias(distance))
+        found.select(*by, "l_lat", "l_lon", "_rid", term_to_km(F.col("_term")).alias(distance))
         .where(F.col(distance) <= max_km)
+        .join(rights.select(*by, "_rid", "_payload"), [*by, "_rid"])
+        .select(*by, F.col("l_lat").alias("lat"), F.col("l_lon").alias("lon"), "_payload.*", distance)
     )
     rows = left
     if unmatched_months == "drop":
-        rows = left.join(right.select(*by).distinct(), by, "left_semi")
+        rows = left.join(rights.select(*by).distinct(), by, "left_semi")
     return rows.join(matched, [*by, "lat", "lon"], "left").select(*left.columns, *columns, distance)
 
 

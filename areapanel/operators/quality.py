@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import AREA_MONTH, OUTCOME_COLUMNS, STATIC_FEATURE_COLUMNS
-from ..functions.keys import parse_int, to_number
+from ..functions.keys import index_month, index_year, month_index, to_number, year_month_text
 from ..functions.nulls import is_blank, is_missing
 
 
@@ -72,25 +72,46 @@ def require_no_rows(df: DataFrame, what: str) -> None:
         raise QualityError(f"{what}: {count}")
 
 
-def date_checks(year: str = "year", month: str = "month", bounded_year: bool = False) -> dict[str, Column]:
-    y, m = parse_int(_col(year)), parse_int(_col(month))
+def as_number(df: DataFrame, name: str) -> Column:
+    """A column as a double, parsed only where it is text."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = _col(name).cast("double")
+        return F.when(F.abs(value) < float("inf"), value)
+    return _col(name).cast("double") if isinstance(kind, T.NumericType) else to_number(_col(name))
+
+
+def as_int(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType
+    return _col(name).cast("int") if isinstance(kind, T.IntegralType) else as_number(df, name).try_cast("int")
+
+
+def date_checks(df: DataFrame, year: str = "year", month: str = "month", bounded_year: bool = False) -> dict[str, Column]:
+    y, m = as_int(df, year), as_int(df, month)
     bad_year = y.isNull() | ~y.between(1900, 2100) if bounded_year else y.isNull()
     return {"invalid_year": bad_year, "invalid_month": m.isNull() | ~m.between(1, 12)}
 
 
-def coordinate_checks(lat: str = "lat", lon: str = "lon") -> dict[str, Column]:
+def coordinate_checks(df: DataFrame, lat: str = "lat", lon: str = "lon") -> dict[str, Column]:
     """Present coordinates must be numbers in range."""
 
     def outside(name: str, limit: float) -> Column:
-        value = to_number(_col(name))
-        present = ~is_blank(_col(name), "validator")
+        value = as_number(df, name)
+        present = ~_blank(df, name)
         return present & (value.isNull() | ~value.between(-limit, limit))
 
     return {"invalid_lat": outside(lat, 90.0), "invalid_lon": outside(lon, 180.0)}
 
 
-def blank_checks(columns: Sequence[str], vocabulary: str = "validator") -> dict[str, Column]:
-    return {f"blank_{c}": is_blank(_col(c), vocabulary) for c in columns}
+def _blank(df: DataFrame, name: str, vocabulary: str = "validator") -> Column:
+    """Blank text; numbers can only be null."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return is_blank(_col(name), vocabulary)
+    return _col(name).isNull()
+
+
+def blank_checks(df: DataFrame, columns: Sequence[str], vocabulary: str = "validator") -> dict[str, Column]:
+    return {f"blank_{c}": _blank(df, c, vocabulary) for c in columns}
 
 
 def id_mismatch_check(left: str = "area_id", right: str = "admin_code") -> dict[str, Column]:
@@ -103,7 +124,7 @@ def month_check(year: int, month: int) -> dict[str, Column]:
 
 def require_single_month(df: DataFrame, year: int, month: int, label: str = "table") -> None:
     """Exactly one month, and the expected one: min = max = target."""
-    index = parse_int(_col("year")) * 12 + parse_int(_col("month")) - 1
+    index = as_int(df, "year") * 12 + as_int(df, "month") - 1
     row = df.agg(F.min(index).alias("lo"), F.max(index).alias("hi"), F.count_if(index.isNull()).alias("bad")).first()
     if row["bad"] or row["lo"] is None or row["lo"] != row["hi"]:
         raise QualityError(f"{label} must contain exactly one month")
@@ -238,20 +259,20 @@ def schema_metrics(df: DataFrame, mode: str) -> DataFrame:
     """
     rules = SCHEMAS[mode]
     require_columns(df, rules["required"], mode)
-    checks: dict[str, Column] = blank_checks(rules["nonblank"])
+    checks: dict[str, Column] = blank_checks(df, rules["nonblank"])
     if "year" in df.columns and "month" in df.columns:
-        checks |= date_checks()
+        checks |= date_checks(df)
     if "lat" in df.columns and "lon" in df.columns:
-        checks |= coordinate_checks()
+        checks |= coordinate_checks(df)
     if rules.get("same_id"):
         checks |= id_mismatch_check()
     outcomes = [c for c in OUTCOME_COLUMNS if c in df.columns]
     for c in outcomes:
-        checks[f"present_{c}"] = ~is_blank(_col(c), "validator")
+        checks[f"present_{c}"] = ~_blank(df, c)
     names = list(checks)
     extra: list[Column] = []
     if "invalid_year" in checks:
-        year, month = parse_int(_col("year")), parse_int(_col("month"))
+        year, month = as_int(df, "year"), as_int(df, "month")
         index = F.when(month.between(1, 12), year * 12 + month - 1)
         extra = [F.min(index).alias("_lo"), F.max(index).alias("_hi")]
     per_key = df.groupBy(*[_col(k).alias(f"_k{i}") for i, k in enumerate(rules["key"])]).agg(
@@ -293,15 +314,17 @@ def require_schema(df: DataFrame, mode: str) -> dict[str, int]:
 
 def table_coverage(df: DataFrame, outcomes: Sequence[str] = OUTCOME_COLUMNS) -> DataFrame:
     """First and last valid month and the number of present values per outcome column."""
-    year, month = parse_int(_col("year")), parse_int(_col("month"))
-    valid = year.isNotNull() & month.between(1, 12)
-    pair = F.when(valid, F.format_string("%04d-%02d", year, month))
-    kept = [f for f in df.schema.fields if f.name in outcomes]
-    return df.agg(
-        F.min(pair).alias("first_month"),
-        F.max(pair).alias("last_month"),
-        *[F.count_if(~is_missing(f, "validator")).alias(f"present_{f.name}") for f in kept],
+    year, month = as_int(df, "year"), as_int(df, "month")
+    index = F.when(month.between(1, 12), month_index(year, month))
+    kept = [f.name for f in df.schema.fields if f.name in outcomes]
+    row = df.agg(
+        F.min(index).alias("_lo"), F.max(index).alias("_hi"), *[F.count_if(~_blank(df, c)).alias(f"present_{c}") for c in kept]
     )
+    texts = [
+        year_month_text(index_year(F.col(i)), index_month(F.col(i))).alias(name)
+        for i, name in (("_lo", "first_month"), ("_hi", "last_month"))
+    ]
+    return row.select(*texts, *[f"present_{c}" for c in kept])
 
 
 def invalid_examples(df: DataFrame, column: str, bad: Column, n: int = 5) -> DataFrame:

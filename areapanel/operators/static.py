@@ -15,9 +15,10 @@ from ..functions.fixed import (
     IDENTIFIER_COLUMNS,
     STATIC_FAMILIES,
 )
-from ..functions.keys import parse_int, year_month_text
+from ..functions.keys import year_month_text
 from ..functions.nulls import is_missing, null_if_blank
 from .joins import coordinate_lookup
+from .quality import as_int
 
 
 def _col(name: str) -> Column:
@@ -37,8 +38,8 @@ def _present(df: DataFrame, name: str) -> Column:
     return ~is_missing(df.schema[name], "static")
 
 
-def _date_parts() -> tuple[Column, Column]:
-    year, month = parse_int(F.col("year")), parse_int(F.col("month"))
+def _date_parts(df: DataFrame) -> tuple[Column, Column]:
+    year, month = as_int(df, "year"), as_int(df, "month")
     valid = year.isNotNull() & month.isNotNull()
     return F.when(valid, year).otherwise(-1), F.when(valid, month).otherwise(-1)
 
@@ -56,7 +57,7 @@ def latest_nonmissing(
     unreadable date sorts first. Every column is its own aggregate over one grouping, so the
     table is shuffled once and a hot area is reduced before that.
     """
-    year, month = _date_parts()
+    year, month = _date_parts(df)
     dated = F.struct(year.alias("y"), month.alias("m"), F.col(sequence).alias("s"))
     aggregates = [
         F.count(F.lit(1)).alias("source_row_count"),

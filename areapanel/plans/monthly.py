@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import AREA_MONTH, ENGINEERED_MARKERS, ID_COLUMNS, STATIC_ID_COLUMNS
-from ..functions.keys import check_target_month, normalize_area_id, parse_int
+from ..functions.keys import check_target_month, normalize_area_id
 from ..functions.nulls import is_missing
 from ..operators import quality as Q
 from ..operators.dedup import keep_one
@@ -77,10 +77,8 @@ def assemble_month(
         "area_id", "admin_code", "lat", "lon", F.lit(year).alias("year"), F.lit(month).alias("month")
     )
     by_area = with_area_id(static).select("area_id", *[_col(c) for c in static_columns], F.lit(True).alias("_static_hit"))
-    in_month = (parse_int(F.col("year")) == year) & (parse_int(F.col("month")) == month)
-    if dict(panel.dtypes)["year"] == dict(panel.dtypes)["month"] == "int":
-        in_month = (F.col("year") == year) & (F.col("month") == month)  # reaches the scan and its partitions
-    slice_ = panel.where(in_month)
+    # On integer columns this is a plain comparison that reaches the scan and its partitions.
+    slice_ = panel.where((Q.as_int(panel, "year") == year) & (Q.as_int(panel, "month") == month))
     keyed = with_area_id(slice_ if "area_id" not in panel.columns else slice_.drop("area_id"))
     if check:
         blank = {"blank area_id": F.col("area_id") == ""}
@@ -131,8 +129,9 @@ def assembly_summary(assembly: Assembly) -> DataFrame:
         F.count_if(any_value(assembly.static_columns)).alias("static_with_values"),
         F.count_if(any_value(assembly.source_columns)).alias("source_with_values"),
     )
-    in_month = (parse_int(F.col("year")) == assembly.year) & (parse_int(F.col("month")) == assembly.month)
-    per_area = with_area_id(assembly.panel.select("admin_code", "year", "month")).groupBy(
+    panel = assembly.panel
+    in_month = (Q.as_int(panel, "year") == assembly.year) & (Q.as_int(panel, "month") == assembly.month)
+    per_area = with_area_id(panel.select("admin_code", "year", "month")).groupBy(
         "area_id", in_month.alias("_here")
     ).agg(F.count(F.lit(1)).alias("n"))
     here = F.when(F.col("_here"), F.col("n"))
@@ -158,13 +157,13 @@ def validate_base_input(base: DataFrame, scaffold: DataFrame, year: int, month:
     rows, frame = with_area_id(base), with_area_id(scaffold)
     for label, table in (("base input", rows), ("scaffold", frame)):
         Q.require_columns(table, AREA_MONTH, label)
-        Q.require_zero(table, Q.blank_checks(AREA_MONTH, "builder"), label)
+        Q.require_zero(table, Q.blank_checks(table, AREA_MONTH, "builder"), label)
         if "admin_code" in table.columns:
             same = F.col("area_id").eqNullSafe(normalize_area_id(F.col("admin_code")))
             Q.require_zero(table, {"id_mismatch": ~same}, label)
     Q.require_zero(rows, Q.month_check(year, month), "base input")
-    typed = [F.col("area_id"), *[parse_int(F.col(c)).alias(c) for c in ("year", "month")]]
-    compared = Q.require_same_universe(rows.select(*typed), frame.select(*typed), AREA_MONTH, "base input and scaffold")
+    keys = [t.select("area_id", *[Q.as_int(t, c).alias(c) for c in ("year", "month")]) for t in (rows, frame)]
+    compared = Q.require_same_universe(*keys, AREA_MONTH, "base input and scaffold")
     if compared["left_repeats"]:
         raise Q.QualityError(f"base input contains duplicate keys: {compared['left_repeats']}")
     return {**compared, "schema": Q.require_schema(rows, "model-input-forecast")}

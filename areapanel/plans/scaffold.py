@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import check_target_month, index_month, index_year, parse_int
+from ..functions.keys import check_target_month, index_month, index_year
 from ..operators.aggregates import latest_month
-from ..operators.quality import require_unique
+from ..operators.quality import as_int, require_unique
 
 SCAFFOLD_COLUMNS = ["admin_code", "lat", "lon", "year", "month"]
 
@@ -27,13 +27,13 @@ def monthly_scaffold(
 ) -> DataFrame:
     """One month's scaffold: the reference rows of that month, or every area if it has none."""
     if year is None or month is None:
-        top = latest_month(reference.select(parse_int(F.col("year")).alias("year"), parse_int(F.col("month")).alias("month"))).first()
+        top = latest_month(reference.select(*[as_int(reference, c).alias(c) for c in ("year", "month")])).first()
         if top is None or top["year"] is None:
             raise ValueError("reference scaffold has no rows")
         year = top["year"] if year is None else year
         month = top["month"] if month is None else month
     check_target_month(year, month)
-    here = reference.where((parse_int(F.col("year")) == year) & (parse_int(F.col("month")) == month))
+    here = reference.where((as_int(reference, "year") == year) & (as_int(reference, "month") == month))
     source = areas.select(F.col("area_id").alias("admin_code"), "lat", "lon") if here.isEmpty() else here
     rows = source.select("admin_code", "lat", "lon", F.lit(year).alias("year"), F.lit(month).alias("month"))
     if check:
