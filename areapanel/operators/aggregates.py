@@ -124,6 +124,8 @@ def compare_with_reference(
     )
 
 
+_SKETCH = 10_000
+
 # ---- numeric profile ---------------------------------------------------------------------------
 
 
@@ -164,23 +166,44 @@ def order_statistics(
 ) -> dict[str, list[float | None]]:
     """Exact quantiles (linear between ranks) of whole columns, without sorting or gathering them.
 
-    Each pass counts values in equal-width buckets of the interval that still holds the wanted
-    rank, then narrows the interval to one bucket. When it holds at most ``settle`` rows, or one
-    value, those rows give the exact answer. A pass moves at most ``buckets`` counts per column
-    and rank; hot values only raise a count.
+    A sketch brackets each wanted rank and one counting pass places the bracket. Each further
+    pass counts values in equal-width buckets of the interval that still holds the rank, then
+    narrows the interval to one bucket. When it holds at most ``settle`` rows, or one value,
+    those give the exact answer. A pass moves at most ``buckets`` counts per column and rank;
+    hot values only raise a count.
     """
+    numbers = {c: F.when(~F.isnan(_col(c).cast("double")), _col(c).cast("double")) for c in columns}
+    slack = 4.0 / _SKETCH
+    lows = [max(0.0, p - slack) for p in probabilities]
+    highs = [min(1.0, p + slack) for p in probabilities]
     wide = df.agg(
         *[a for i, c in enumerate(columns) for a in (
-            F.count(_col(c)).alias(f"n{i}"), F.min(_col(c).cast("double")).alias(f"lo{i}"), F.max(_col(c).cast("double")).alias(f"hi{i}")
+            F.count(numbers[c]).alias(f"n{i}"),
+            F.min(numbers[c]).alias(f"lo{i}"),
+            F.max(numbers[c]).alias(f"hi{i}"),
+            F.percentile_approx(numbers[c], [*lows, *highs], _SKETCH).alias(f"q{i}"),
         )]
     ).first()
     wanted: dict[int, dict[int, dict]] = {}
+    brackets: list[Column] = []
+    for i, c in enumerate(columns):
+        n, wanted[i] = wide[f"n{i}"], {}
+        for j, p in enumerate(probabilities):
+            if n:
+                lo, hi = wide[f"q{i}"][j], wide[f"q{i}"][len(probabilities) + j]
+                brackets.append(F.count_if(numbers[c] < lo).alias(f"b{i}_{j}"))
+                brackets.append(F.count_if(numbers[c].between(lo, hi)).alias(f"w{i}_{j}"))
+    placed = df.agg(*brackets).first() if brackets else None
     for i, _ in enumerate(columns):
         n = wide[f"n{i}"]
-        ranks = sorted({r for p in probabilities for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}) if n else []
-        wanted[i] = {
-            r: {"lo": wide[f"lo{i}"], "hi": wide[f"hi{i}"], "below": 0, "rows": n, "value": None} for r in ranks
-        }
+        for j, p in enumerate(probabilities if n else []):
+            for rank in {math.floor(p * (n - 1)), math.ceil(p * (n - 1))}:
+                below, within = placed[f"b{i}_{j}"], placed[f"w{i}_{j}"]
+                if below <= rank < below + within:
+                    lo, hi = wide[f"q{i}"][j], wide[f"q{i}"][len(probabilities) + j]
+                    wanted[i][rank] = {"lo": lo, "hi": hi, "below": below, "rows": within, "value": None}
+                else:  # the sketch missed: start from the whole column
+                    wanted[i][rank] = {"lo": wide[f"lo{i}"], "hi": wide[f"hi{i}"], "below": 0, "rows": n, "value": None}
 
     def open_intervals() -> dict[tuple[int, float, float], list[dict]]:
         groups: dict[tuple[int, float, float], list[dict]] = {}
@@ -197,18 +220,19 @@ def order_statistics(
         if not groups:
             break
         slots = list(groups)
-        entries = []
+        entries, touched = [], F.lit(False)
         for k, (i, lo, hi) in enumerate(slots):
-            x = _col(columns[i]).cast("double")
+            x = numbers[columns[i]]
             small = groups[slots[k]][0]["state"]["rows"] <= settle
             bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * buckets), F.lit(buckets - 1)).cast("int")
+            touched = touched | x.between(lo, hi)
             entries.append(
                 F.when(
                     x.between(lo, hi),
                     F.struct(F.lit(k).alias("k"), (F.lit(-1) if small else bucket).alias("b"), x.alias("x")),
                 )
             )
-        found = df.select(F.inline(F.array_compact(F.array(*entries))))
+        found = df.where(touched).select(F.inline(F.array_compact(F.array(*entries))))
         # Small intervals come back value by value with their counts, large ones bucket by bucket.
         counted = (
             found.groupBy("k", "b", F.when(F.col("b") == -1, F.col("x")).alias("v"))

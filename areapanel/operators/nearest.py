@@ -26,7 +26,7 @@ from .dedup import keep_one
 # Bounds are compared with a little room, so rounding in them can never prune a true neighbour.
 _ROOM = 1e-9
 _COARSEST = 45.0
-_FINEST_LEVEL = 25
+_FINEST = 1e-7
 
 
 def _cell(column: Column, size: float) -> Column:
@@ -129,24 +129,28 @@ def _nearest_pairs(
         reach,
     )
     settled: list[tuple[float, DataFrame]] = []
-    too_big = F.col("l_n") * F.col("r_n") > pair_limit
     cells = ["l_row", "l_col", "r_row", "r_col"]
-    for level in range(_FINEST_LEVEL + 1):
-        pairs = cut_lineage(pairs.select(*by, *cells, "l_n", "r_n"))
-        big = pairs.where(too_big)
-        if level == _FINEST_LEVEL or big.isEmpty():
+    product = F.col("l_n") * F.col("r_n")
+    width = F.greatest(*[F.col(f"{s}_{x}1") - F.col(f"{s}_{x}0") for s in "lr" for x in ("lat", "lon")])
+    while True:
+        pairs = cut_lineage(pairs.select(*by, *cells, product.alias("_pairs"), width.alias("_width")))
+        big = F.col("_pairs") > pair_limit
+        widest = pairs.agg(F.max(F.when(big, F.col("_width"))).alias("w")).first()["w"]
+        if not widest or size < _FINEST:
             settled.append((size, pairs.select(*by, *cells)))
             break
-        settled.append((size, pairs.where(~too_big).select(*by, *cells)))
-        size /= 2
-        halves = F.array(F.lit(0).cast("bigint"), F.lit(1).cast("bigint"))
-        children = big.select(*by, *cells)
-        for cell in cells:
-            children = children.withColumn("_half", F.explode(halves)).withColumn(cell, F.col(cell) * 2 + F.col("_half")).drop("_half")
-        children = children.join(_blocks(lefts, by, size, "l"), [*by, "l_row", "l_col"]).join(
-            _blocks(rights, by, size, "r"), [*by, "r_row", "r_col"]
-        )
-        pairs = _prune(children, by, reach)
+        settled.append((size, pairs.where(~big).select(*by, *cells)))
+        # Go straight to blocks that cut the widest of these boxes, skipping sizes that would not.
+        parent, size = size, size / 2
+        while size > widest:
+            size /= 2
+        ratio = F.lit(int(parent / size))
+        hot = pairs.where(big).select(*by, *[F.col(c).alias(f"{c}_up") for c in cells])
+        for side, points in (("l", lefts), ("r", rights)):
+            finer = _blocks(points, by, size, side)
+            up = [F.floor(F.col(f"{side}_{axis}") / ratio).alias(f"{side}_{axis}_up") for axis in ("row", "col")]
+            hot = hot.join(finer.select("*", *up), [*by, f"{side}_row_up", f"{side}_col_up"])
+        pairs = _prune(hot, by, reach)
 
     def closest(size: float, block_pairs: DataFrame) -> DataFrame:
         mine = lefts.select(*by, "l_lat", "l_lon", _cell(F.col("lat"), size).alias("l_row"), _cell(F.col("lon"), size).alias("l_col"))

@@ -254,8 +254,8 @@ SCHEMAS: dict[str, dict] = {
 def schema_metrics(df: DataFrame, mode: str) -> DataFrame:
     """All counters of a named schema as long rows ``check, value``.
 
-    One aggregate per key collapses copies and carries the row counters along; a second,
-    over one row per key, adds them up. So the table is read and shuffled once.
+    The counters are one aggregate without a shuffle; repeats need the keys to meet, so a second
+    aggregate shuffles the key columns and nothing else.
     """
     rules = SCHEMAS[mode]
     require_columns(df, rules["required"], mode)
@@ -269,21 +269,16 @@ def schema_metrics(df: DataFrame, mode: str) -> DataFrame:
     outcomes = [c for c in OUTCOME_COLUMNS if c in df.columns]
     for c in outcomes:
         checks[f"present_{c}"] = ~_blank(df, c)
-    names = list(checks)
     extra: list[Column] = []
     if "invalid_year" in checks:
         year, month = as_int(df, "year"), as_int(df, "month")
         index = F.when(month.between(1, 12), year * 12 + month - 1)
-        extra = [F.min(index).alias("_lo"), F.max(index).alias("_hi")]
-    per_key = df.groupBy(*[_col(k).alias(f"_k{i}") for i, k in enumerate(rules["key"])]).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(checks[c]).alias(c) for c in names], *extra
-    )
-    total = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
-        *([F.min("_lo").alias("min_month_index"), F.max("_hi").alias("max_month_index")] if extra else []),
-    )
+        extra = [F.min(index).alias("min_month_index"), F.max(index).alias("max_month_index")]
+    counted = df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count_if(checks[c]).alias(c) for c in checks], *extra
+    ).withColumn("_one", F.lit(1))
+    repeats = duplicate_summary(df, rules["key"]).select("duplicate_rows", F.lit(1).alias("_one"))
+    total = counted.join(repeats, "_one").drop("_one")
     rows = F.array(
         *[F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("value")) for c in total.columns]
     )
