@@ -39,8 +39,8 @@ class Registry:
 
 
 def registry() -> Registry:
-    from . import events, panel, profiles, quality, scalars, scoring, spatial
+    from . import chains, events, panel, profiles, quality, scalars, scoring, spatial
 
     return Registry().merge(
-        panel.query, scalars.query, events.query, spatial.query, profiles.query, quality.query, scoring.query
+        panel.query, scalars.query, events.query, spatial.query, profiles.query, quality.query, scoring.query, chains.query
     )

@@ -47,7 +47,7 @@ assembled AS (
   FROM scaffold s LEFT JOIN static t USING (area_id) LEFT JOIN slice p USING (area_id))"""
 
 
-def assembly(spark, sf_dir, check=False):
+def assembly(spark, sf_dir, only=None):
     """Scaffold, static and panel inputs from the tables; ids need normalising on the scaffold side."""
     customer = table(spark, sf_dir, "customer")
     scaffold = customer.select(
@@ -73,7 +73,7 @@ def assembly(spark, sf_dir, check=False):
             F.lit(7).alias("overlap"),
         )
     )
-    source = monthly_orders(spark, sf_dir).select(
+    source = monthly_orders(spark, sf_dir, only).select(
         F.col("area_id").cast("string").alias("admin_code"),
         "year",
         "month",
@@ -83,7 +83,7 @@ def assembly(spark, sf_dir, check=False):
         F.col("price_sum").alias("price_sum__l12"),
         F.col("order_cnt").alias("order_lag1"),
     )
-    return assemble_month(scaffold, static, source, TARGET_YEAR, TARGET_MONTH, order=["price_sum"], check=check)
+    return assemble_month(scaffold, static, source, TARGET_YEAR, TARGET_MONTH, order=["price_sum"], check=False)
 
 
 @query(
@@ -94,7 +94,7 @@ SELECT area_id, admin_code, lat, lon, year, month, country, region, n_suppliers,
 )
 def j1_assemble_month(spark, sf_dir):
     """Scaffold with static and same-month source columns."""
-    return assembly(spark, sf_dir).base
+    return assembly(spark, sf_dir, (TARGET_YEAR, TARGET_MONTH)).base
 
 
 @query(

@@ -75,7 +75,7 @@ def _models():
 
 def _base(spark, sf_dir):
     """Every customer in the feature month with that month's orders, if any."""
-    here = monthly_orders(spark, sf_dir).where((F.col("year") == TARGET_YEAR) & (F.col("month") == TARGET_MONTH))
+    here = monthly_orders(spark, sf_dir, (TARGET_YEAR, TARGET_MONTH))
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_custkey").cast("string").alias("area_id"))
     joined = rows.join(here.select(F.col("area_id").alias("key"), "order_cnt", "price_sum"), "key", "left")
     return joined.select(

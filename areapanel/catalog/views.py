@@ -45,9 +45,17 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 # ---- area-month panel: customers by month, measures from their orders --------------------------
 
 
-def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders reduced to one row per customer and month before anything joins them."""
+def monthly_orders(spark: SparkSession, sf_dir: str, only: tuple[int, int] | None = None) -> DataFrame:
+    """Orders reduced to one row per customer and month before anything joins them.
+
+    One month is asked for as a date range, which the scan can skip row groups by.
+    """
     orders = table(spark, sf_dir, "orders")
+    if only:
+        first = f"{only[0]}-{only[1]:02d}-01"
+        start = F.lit(first).cast("timestamp_ntz")
+        stop = F.add_months(F.lit(first).cast("date"), 1).cast("timestamp_ntz")
+        orders = orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < stop))
     return orders.groupBy(
         F.col("o_custkey").alias("area_id"),
         F.year("o_orderdate").alias("year"),

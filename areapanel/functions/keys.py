@@ -12,12 +12,12 @@ from .nulls import strip
 
 
 def to_number(column: Column) -> Column:
-    """Text to double; anything that is not a finite decimal number becomes null."""
-    text = strip(column.cast("string"))
-    number = text.try_cast("double")
-    # The cast also reads "12d", "3f" and "0x1p3", which are not numbers here.
-    odd = F.lower(F.right(text, F.lit(1))).isin("d", "f") | text.contains("x") | text.contains("X")
-    return F.when((F.abs(number) < float("inf")) & ~odd, number)
+    """Text to double; anything that is not a finite decimal number becomes null.
+
+    The cast alone would also read "12d", "3f" and "0x1p3"; their letters are spoilt first.
+    """
+    number = F.translate(strip(column.cast("string")), "dDfFxX", "zzzzzz").try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def parse_int(column: Column) -> Column:
@@ -25,12 +25,15 @@ def parse_int(column: Column) -> Column:
     return to_number(column).try_cast("int")
 
 
+def whole_number_text(number: Column, text: Column) -> Column:
+    """The number as integer text where it is whole, else the text; null gives ''."""
+    whole = number.try_cast("bigint")
+    return F.coalesce(F.when(whole == number, whole.cast("string")), text, F.lit(""))
+
+
 def normalize_area_id(column: Column) -> Column:
     """Whole numbers lose their decimals and zeros, other text is trimmed, null -> ''."""
-    text = strip(column.cast("string"))
-    number = to_number(column)
-    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**63))
-    return F.coalesce(F.when(whole, number.try_cast("bigint").cast("string")), text, F.lit(""))
+    return whole_number_text(to_number(column), trim_key(column))
 
 
 def trim_key(column: Column) -> Column:

@@ -43,15 +43,18 @@ def indicator_features(
 ) -> DataFrame:
     """Scaffold rows with their country's yearly indicators.
 
-    The country is found by position, compared as twelve-decimal text.
+    The country is found by position, compared as twelve-decimal text. Repeated positions on
+    either side are reduced to their first row before the join, so a position shared by many
+    rows does not multiply.
     """
+
     def at_text(df: DataFrame) -> DataFrame:
         return df.withColumns({c: coordinate_text(F.col(c)) for c in ("lat", "lon")})
 
-    located = left_join(at_text(scaffold), at_text(countries.select("country", "ISO3", "lat", "lon")), ["lat", "lon"])
-    keyed = located.withColumn("country_code_3", F.col("ISO3"))
     keys = ["lat", "lon", "year", "month"]
-    rows = keep_one(keyed, keys, [*(order or []), "ISO3"])
+    rows = keep_one(at_text(scaffold), keys, order or [c for c in scaffold.columns if c not in keys] or keys)
+    by_position = keep_one(at_text(countries.select("country", "ISO3", "lat", "lon")), ["lat", "lon"], ["ISO3", "country"])
+    rows = left_join(rows, by_position, ["lat", "lon"]).withColumn("country_code_3", F.col("ISO3"))
     for table, value in ((consumer_prices, "CPI"), (output, "GDP"), (corruption, "CC")):
         rows = left_join(rows, indicator(table, value), COUNTRY_YEAR)
     return left_join(rows, inequality(gini), COUNTRY_YEAR)

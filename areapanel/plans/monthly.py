@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.fixed import AREA_MONTH, ENGINEERED_MARKERS, ID_COLUMNS, STATIC_ID_COLUMNS
-from ..functions.keys import check_target_month, normalize_area_id
+from ..functions.keys import check_target_month, normalize_area_id, to_number, trim_key, whole_number_text
 from ..functions.nulls import is_missing
 from ..operators import quality as Q
 from ..operators.dedup import keep_one
@@ -29,8 +30,16 @@ def source_columns(panel: Sequence[str], static: Sequence[str]) -> list[str]:
 
 
 def with_area_id(df: DataFrame) -> DataFrame:
-    """``area_id`` in normal form, taken from ``admin_code`` where it is absent."""
-    return df.withColumn("area_id", normalize_area_id(_col("area_id" if "area_id" in df.columns else "admin_code")))
+    """``area_id`` in normal form, taken from ``admin_code`` where it is absent.
+
+    Integer ids are only cast. Text is parsed once per row: the parsed number is a column of its
+    own, which Spark does not fold back into the expressions that use it twice.
+    """
+    name = "area_id" if "area_id" in df.columns else "admin_code"
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return df.withColumn("area_id", F.coalesce(_col(name).cast("string"), F.lit("")))
+    parsed = df.withColumns({"_text": trim_key(_col(name)), "_number": to_number(_col(name))})
+    return parsed.withColumn("area_id", whole_number_text(F.col("_number"), F.col("_text"))).drop("_text", "_number")
 
 
 @dataclass

@@ -63,19 +63,25 @@ def market_trends(prices: DataFrame, value: str = "WFP_Price") -> DataFrame:
 
 
 def trend_features(
-    scaffold: DataFrame, places: DataFrame, trends: DataFrame, country_names: DataFrame, order: Sequence[str]
+    scaffold: DataFrame,
+    places: DataFrame,
+    trends: DataFrame,
+    country_names: DataFrame,
+    order: Sequence[str],
+    place_order: Sequence[str] = ("ISO3", "lat", "lon"),
 ) -> DataFrame:
     """Scaffold rows with their country's price trend of the month.
 
-    Scaffold rows find their place by ``title``; titles may repeat among places, so the result
-    is reduced to one row per position and month at the end, first by ``order``.
+    Scaffold rows find their place by ``title``. Titles repeat among places, and only the first
+    place by ``place_order`` would survive the reduction to one row per position and month; so
+    both sides are made unique before the join and nothing fans out.
     """
-    unique_places = keep_one(places, ["lat", "lon"], ["title"]).select(
+    unique_places = keep_one(places, ["lat", "lon"], ["title"])
+    by_title = keep_one(unique_places, ["title"], place_order).select(
         "title", "ISO3", *[F.col(c).alias(c + "_fixed") for c in ("country", "lat", "lon")]
     )
     coded = lookup_country_code(trends, country_names)
     by_month = coded.where(F.col("country_code_3").isNotNull())
     rows = keep_one(scaffold, POINT_MONTH, order)
-    placed = left_join(rows, unique_places, ["title"]).withColumn("country_code_3", F.col("ISO3"))
-    priced = left_join(placed, by_month, ["country_code_3", "year", "month"], matched="_matched")
-    return keep_one(priced.drop("country_code_3"), POINT_MONTH, [*order, "ISO3"])
+    placed = left_join(rows, by_title, ["title"]).withColumn("country_code_3", F.col("ISO3"))
+    return left_join(placed, by_month, ["country_code_3", "year", "month"]).drop("country_code_3")
