@@ -30,15 +30,18 @@ def with_row_ids(df: DataFrame, order: Sequence[str], name: str = "_row_id", sta
     """Consecutive ids from ``start`` in the order of ``order``.
 
     Rows are range-partitioned and sorted, the result is checkpointed so that partition
-    bounds cannot move, and each partition adds the number of rows before it. No partition
-    holds more than its range; only one count per partition is joined back.
+    bounds cannot move, and each partition adds the number of rows before it. Equal rows are told
+    apart by their place in the input, so even copies are split between partitions; only one
+    count per partition is joined back.
     """
     if name in df.columns:
         raise ValueError(f"{name} is reserved for row identity")
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    by = [*[_col(c) for c in order], F.col("_tie")]
     ranged = cut_lineage(
-        df.repartitionByRange(*[_col(c) for c in order])
-        .sortWithinPartitions(*[_col(c) for c in order])
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*by)
+        .sortWithinPartitions(*by)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", position)
     )

@@ -29,11 +29,15 @@ def left_join(
     matched: str | None = None,
     null_keys: str = "drop",
     validate: str | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Left join on equal keys; columns the left side already has win.
 
     ``matched`` names a boolean column that tells a hit from a miss. ``null_keys="match"``
-    lets null meet null. ``validate`` is ``"many_to_one"`` or ``"one_to_one"``.
+    lets null meet null. ``validate`` is ``"many_to_one"`` or ``"one_to_one"``. ``salts`` spreads
+    a left key that holds a large share of the rows over as many tasks, for the price of as many
+    copies of the right side; adaptive execution cannot split it when the right side comes
+    straight out of a grouping by the same key.
     """
     if validate in ("many_to_one", "one_to_one"):
         require_unique(right, keys, "right side")
@@ -50,7 +54,13 @@ def left_join(
     for i, key in enumerate(keys):
         mine, theirs = _col(key), F.col(f"_key_{i}")
         condition = condition & (mine.eqNullSafe(theirs) if null_keys == "match" else mine == theirs)
-    joined = left.join(side, condition, "left")
+    rows = left
+    if salts > 1:
+        spread = F.xxhash64(*[_col(c) for c in left.columns])
+        rows = left.withColumn("_left_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+        side = side.withColumn("_right_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        condition = condition & (F.col("_left_salt") == F.col("_right_salt"))
+    joined = rows.join(side, condition, "left")
     flag = [F.coalesce(F.col("_hit"), F.lit(False)).alias(matched)] if matched else []
     return joined.select(*[_col(c) for c in left.columns], *[_col(c) for c in wanted], *flag)
 

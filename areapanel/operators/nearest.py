@@ -224,7 +224,8 @@ def nearest_join(
     )
     rows = left
     if unmatched_months == "drop":
-        rows = left.join(rights.select(*by).distinct(), by, "left_semi")
+        # One row per month of the calendar: small by nature, and each month is a hot key.
+        rows = left.join(F.broadcast(rights.select(*by).distinct()), by, "left_semi")
     return rows.join(matched, [*by, "lat", "lon"], "left").select(*left.columns, *columns, distance)
 
 

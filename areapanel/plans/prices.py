@@ -83,5 +83,6 @@ def trend_features(
     coded = lookup_country_code(trends, country_names)
     by_month = coded.where(F.col("country_code_3").isNotNull())
     rows = keep_one(scaffold, POINT_MONTH, order)
-    placed = left_join(rows, by_title, ["title"]).withColumn("country_code_3", F.col("ISO3"))
+    # Titles and countries are few and hot; the tables on the right are no longer than a list of places.
+    placed = left_join(rows, by_title, ["title"], salts=16).withColumn("country_code_3", F.col("ISO3"))
     return left_join(placed, by_month, ["country_code_3", "year", "month"]).drop("country_code_3")

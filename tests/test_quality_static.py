@@ -165,3 +165,9 @@ def test_join_audit_and_zip(spark):
     left = spark.createDataFrame([(0, "x"), (1, "y")], "seq int, v string")
     right = spark.createDataFrame([(0, "p")], "seq int, w string")
     assert rows(J.zip_by_sequence(left, right), "v", "w") == [("x", "p"), ("y", None)]
+
+
+def test_salted_left_join_is_the_same_join(spark):
+    left = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.range(0, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    assert rows(J.left_join(left, right, ["k"], matched="hit")) == rows(J.left_join(left, right, ["k"], matched="hit", salts=8))
