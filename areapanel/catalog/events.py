@@ -28,6 +28,10 @@ def _sums(suffix: str = "") -> str:
     return ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}{suffix}" for m in C.MEASURES)
 
 
+def _mean(column: str) -> str:
+    return f"CAST(sum(CAST({column} AS DECIMAL(18, 12))) AS DOUBLE) / count({column})"
+
+
 _PIVOT_SQL = f"""{CONFLICT_SQL},
 pivoted AS (
   SELECT country, admin1, admin2, admin3, location, latitude AS lat, longitude AS lon, year, month, {_cells()}
@@ -35,7 +39,7 @@ pivoted AS (
 
 _UNITS_SQL = f"""{_PIVOT_SQL},
 adm3 AS (
-  SELECT country, admin1, admin2, admin3, year, month, {_sums()}, avg(lat) AS lat, avg(lon) AS lon FROM pivoted
+  SELECT country, admin1, admin2, admin3, year, month, {_sums()}, {_mean('lat')} AS lat, {_mean('lon')} AS lon FROM pivoted
   GROUP BY country, admin1, admin2, admin3, year, month),
 adm2 AS (SELECT country, admin1, admin2, year, month, {_sums('_w5')} FROM pivoted GROUP BY ALL),
 adm1 AS (SELECT country, admin1, year, month, {_sums('_w10')} FROM pivoted GROUP BY ALL)"""

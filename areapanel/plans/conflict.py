@@ -70,6 +70,14 @@ def level_totals(df: DataFrame, keys: Sequence[str], suffix: str = "", measures:
     return grouped(df, [*keys, *PERIOD], **{m + suffix: sum_or_zero(m) for m in measures})
 
 
+def exact_mean(column: str) -> Column:
+    """Mean through an exact decimal sum, so that it cannot depend on the order of tasks.
+
+    Mean positions feed the nearest match, where the last bit of a sum could decide a tie.
+    """
+    return F.sum(F.col(column).cast("decimal(18,12)")).cast("double") / F.count(column)
+
+
 def admin_units(pivoted: DataFrame) -> DataFrame:
     """Smallest units with their mean position, and the totals of the two levels above beside them.
 
@@ -78,7 +86,7 @@ def admin_units(pivoted: DataFrame) -> DataFrame:
     """
     measures = {m: sum_or_zero(m) for m in MEASURES}
     unit = grouped(
-        pivoted, ["country", "admin1", "admin2", "admin3", *PERIOD], **measures, lat=F.avg("lat"), lon=F.avg("lon")
+        pivoted, ["country", "admin1", "admin2", "admin3", *PERIOD], **measures, lat=exact_mean("lat"), lon=exact_mean("lon")
     )
     district = level_totals(unit, ["country", "admin1", "admin2"], "_w5")
     province_in = district.withColumnsRenamed({m + "_w5": m for m in MEASURES})

@@ -28,18 +28,24 @@ def build_session(app: str = "areapanel", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    # Checkpoints go when the tables that read them do.
+    cleaning = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    for key, value in {**RUNTIME_CONF, **cleaning, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the cluster names in ``spark.checkpoint.dir``.
+    """Checkpoint into the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the session names none, as in tests.
+    A folder of our own is made only in local mode, and only where none is named, as in tests.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="areapanel-checkpoint-"))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="areapanel-checkpoint-")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
