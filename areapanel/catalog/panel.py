@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.fixed import AREA_MONTH
 from ..operators import dedup, joins, reshape, series
+from ..operators.aggregates import latest_month
+from ..operators.quality import universe
 from ..plans.indicators import indicator
 from ..plans.monthly import assemble_month, assembly_summary
 from ..plans.scaffold import month_universe, monthly_scaffold
@@ -265,8 +268,6 @@ SELECT CAST(max(year(o_orderdate) * 12 + month(o_orderdate) - 1) // 12 AS INTEGE
 )
 def o3_latest_month(spark, sf_dir):
     """O3: last month present."""
-    from ..operators.aggregates import latest_month
-
     return latest_month(table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")))
 
 
@@ -592,3 +593,37 @@ def w10_surrogate(spark, sf_dir):
     return dedup.with_surrogate_ids(rows, "admin_code")
 
 
+# ---- band names, base-input gate ------------------------------------------------------------------------
+
+
+@query(
+    "p21_band_names",
+    """
+SELECT l_suppkey AS region_id, CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 1) AS BIGINT) AS "Evap_tavg_mean",
+       round(stddev_pop(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 1), 4) AS "Evap_tavg_stdDev",
+       CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 2) AS BIGINT) AS "LWdown_f_tavg_mean"
+FROM lineitem GROUP BY ALL""",
+)
+def p21_band_names(spark, sf_dir):
+    """Band columns to variable names by position."""
+    quantity = F.col("l_quantity").cast("bigint")
+    first, second = (F.when(F.col("l_linenumber") == b, quantity) for b in (1, 2))
+    bands = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("region_id")).agg(
+        F.sum(first).alias("B1_x"), F.round(F.stddev_pop(first), 4).alias("B1_y"), F.sum(second).alias("B2_x")
+    )
+    return reshape.rename_bands(bands)
+
+
+@query(
+    "q13_base_input_gate",
+    """
+SELECT count(*) AS common_keys, CAST(0 AS BIGINT) AS left_only_keys, CAST(0 AS BIGINT) AS right_only_keys, CAST(0 AS BIGINT) AS left_repeats, CAST(0 AS BIGINT) AS right_repeats
+FROM customer""",
+)
+def q13_base_input_gate(spark, sf_dir):
+    """The assembled rows are the scaffold's rows, each once."""
+    base = assembly(spark, sf_dir, (TARGET_YEAR, TARGET_MONTH)).base
+    scaffold = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("area_id"), F.lit(TARGET_YEAR).alias("year"), F.lit(TARGET_MONTH).alias("month")
+    )
+    return universe(base, scaffold, AREA_MONTH)

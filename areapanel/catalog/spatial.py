@@ -8,6 +8,8 @@ from ..functions.fixed import MATCH_RADIUS_KM
 from ..operators import nearest as N
 from ..operators import zonal as Z
 from ..operators.joins import coordinate_lookup
+from ..operators.quality import universe
+from ..plans.scaffold import month_spine
 from . import Registry
 from .views import (
     PIXELS_SQL,
@@ -133,8 +135,6 @@ SELECT area_id, year, month, value_mean, value_std, value_count FROM zone_months
 )
 def a7_zonal(spark, sf_dir):
     """Zonal mean and population deviation; zones without pixels keep a row."""
-    from ..plans.scaffold import month_spine
-
     areas = zones(spark, sf_dir)
     scaffold = month_spine(areas.select("area_id"), (1995, 1), (2001, 11))
     out = Z.zonal_statistics(
@@ -187,3 +187,16 @@ FROM pixels GROUP BY year, month, band, CAST(round(lat / 0.1) AS BIGINT), CAST(r
 def s7_tile_merge(spark, sf_dir):
     """Overlapping tiles averaged to one pixel per grid position, month and band."""
     return Z.merge_tiles(pixels(spark, sf_dir), 0.1).withColumn("value", F.round("value", 6))
+
+
+@query(
+    "q20_zone_ids",
+    """
+SELECT count(*) AS common_keys, (SELECT count(*) FROM nation) - count(*) AS left_only_keys, CAST(0 AS BIGINT) AS right_only_keys,
+       CAST(0 AS BIGINT) AS left_repeats, CAST((SELECT count(*) FROM customer) - count(*) AS BIGINT) AS right_repeats
+FROM (SELECT DISTINCT c_nationkey FROM customer)""",
+)
+def q20_zone_ids(spark, sf_dir):
+    """Q6, Q20: zone ids against the ids in use."""
+    used = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("area_id"))
+    return universe(zones(spark, sf_dir), used, ["area_id"])

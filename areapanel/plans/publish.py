@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import SCOPES
 from ..operators.predictions import require_prediction_contract
 from ..operators.quality import QualityError
+from ..session import cut_lineage
 from ..sources.lineage import file_lineage
 from ..sources.sinks import write_predictions, write_report, write_table
 from .monthly import validate_base_input
@@ -26,8 +28,6 @@ class ReleaseConflict(RuntimeError):
 
 
 def _manifests(spark: SparkSession, root: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.schema(_MANIFEST).json(f"{root}/manifest")
     except AnalysisException:
@@ -77,6 +77,8 @@ def publish_month(
     if failed:
         raise QualityError(f"reports not passed: {failed}")
     year, month = (int(p) for p in feature_month.split("-"))
+    # Computed once: the gates see the very rows that are written, and scoring runs only once.
+    base, predictions = cut_lineage(base), cut_lineage(predictions)
     validate_base_input(base, scaffold, year, month)
     require_prediction_contract(predictions, feature_month, base, model_package_id, scopes)
 
