@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import sys
+from collections.abc import Callable
 from functools import wraps
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +41,8 @@ def ascii_lower(text: Column) -> Column:
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Bound Arrow batches by bytes as well as rows."""
+    """Bound Arrow batches by bytes as well as rows, and let tasks carry this folder's functions with them."""
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     return spark
@@ -68,19 +71,7 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
-def runs_of(values) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of equal values in a sorted array."""
-    import numpy as np
-
-    if not len(values):
-        return
-    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-    starts = np.concatenate(([0], cuts))
-    ends = np.concatenate((cuts, [len(values)]))
-    yield from zip(starts.tolist(), ends.tolist())
-
-
 __all__ = [
     "BATCH_BYTES", "GAP", "SPACES", "ascii_lower", "cut_lineage", "documents", "llm_query", "n_words", "partitions",
-    "runs_of", "small_batches", "text_bytes", "words",
+    "small_batches", "text_bytes", "words",
 ]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from ..catalog import Registry
 from .common import documents, llm_query
+from .de_bruijn_dedup import SUBSTRING_SQL, de_bruijn_dedup
 from .mixing import MIXING_SQL, mixing_report
 from .quality_rules import quality_rules
 from .sharding import sharding
+from .suffix_dedup import suffix_dedup
 
 query = Registry()
 
@@ -27,3 +29,15 @@ def op4(spark, sf_dir):
 def op7(spark, sf_dir):
     """Shard and slot of every document."""
     return sharding(documents(spark, sf_dir))
+
+
+@llm_query(query, "op1_suffix_dedup")
+def op1(spark, sf_dir):
+    """Bytes of every document that a smaller document has in a common string of 50 bytes."""
+    return suffix_dedup(documents(spark, sf_dir))
+
+
+@llm_query(query, "op8_de_bruijn_dedup", SUBSTRING_SQL)
+def op8(spark, sf_dir):
+    """Words of every document that an earlier window of 20 words covers."""
+    return de_bruijn_dedup(documents(spark, sf_dir))
