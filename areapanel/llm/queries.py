@@ -5,8 +5,13 @@ from __future__ import annotations
 from ..catalog import Registry
 from .common import documents, llm_query
 from .de_bruijn_dedup import SUBSTRING_SQL, de_bruijn_dedup
+from .decontamination import overlaps
+from .jaccard_join import jaccard_join
+from .language_id import language_id
+from .lm_scoring import lm_scoring
 from .mixing import MIXING_SQL, mixing_report
 from .quality_rules import quality_rules
+from .secret_scan import secret_scan
 from .sharding import sharding
 from .suffix_dedup import suffix_dedup
 
@@ -41,3 +46,33 @@ def op1(spark, sf_dir):
 def op8(spark, sf_dir):
     """Words of every document that an earlier window of 20 words covers."""
     return de_bruijn_dedup(documents(spark, sf_dir))
+
+
+@llm_query(query, "op5_secret_scan")
+def op5(spark, sf_dir):
+    """Spans of secrets in every document."""
+    return secret_scan(documents(spark, sf_dir))
+
+
+@llm_query(query, "op9_language_id")
+def op9(spark, sf_dir):
+    """Predicted language of every document."""
+    return language_id(documents(spark, sf_dir))
+
+
+@llm_query(query, "op10_decontamination")
+def op10(spark, sf_dir):
+    """Documents that hold a benchmark item, with the words that match."""
+    return overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@llm_query(query, "op6_lm_scoring")
+def op6(spark, sf_dir):
+    """Scores of every document by the word model and the subword lattice."""
+    return lm_scoring(documents(spark, sf_dir))
+
+
+@llm_query(query, "op3_jaccard_join")
+def op3(spark, sf_dir):
+    """Shingles and component of every document."""
+    return jaccard_join(documents(spark, sf_dir))

@@ -144,20 +144,25 @@ def sharding(docs: DataFrame, shards: int = SHARDS, points: int = POINTS) -> Dat
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, points: int = POINTS) -> DataFrame:
-    """``docs`` with shard and slot; rows of one id and text share their slots in input order.
+    """``docs`` with shard and slot; rows of one id and text share their slots in the order of a hash of all columns.
 
-    The narrow keys are ranked and joined back by id, checksum and the occurrence among equal keys.
+    Columns of these two names are replaced. The narrow keys are ranked and joined back by id, checksum and the occurrence among equal keys.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = docs.select(row, F.col("doc_id").alias("doc_id"), F.xxhash64(text).alias("mark"))
+    given = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(
+        F.struct(*given).alias("row"), F.xxhash64(*given).alias("all"), F.col("doc_id").alias("doc_id"), F.xxhash64(text).alias("mark")
+    )
     same = W.partitionBy("doc_id", "mark")
     placed = shard_rows(keyed.select("doc_id", "mark"), shards, points)
-    left = keyed.withColumn("nth", F.row_number().over(same.orderBy("mark")))
+    left = keyed.withColumn("nth", F.row_number().over(same.orderBy("all")))
     right = placed.withColumn("nth", F.row_number().over(same.orderBy("shard", "slot"))).select(
         F.col("doc_id").alias("k_id"), F.col("mark").alias("k_mark"), F.col("nth").alias("k_nth"), "shard", "slot"
     )
     met = left.join(
         right, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("mark") == F.col("k_mark")) & (F.col("nth") == F.col("k_nth"))
     )
+    clash = {"shard", "slot"} & {c.lower() for c in docs.columns}
+    if clash:
+        met = met.withColumn("row", F.col("row").dropFields(*[c for c in docs.columns if c.lower() in clash]))
     return met.select("row.*", "shard", "slot")
