@@ -3,8 +3,8 @@
 Windows of 20 words are the edges of a De Bruijn graph. Edges are compared where they share an anchor, so
 neighbouring edges travel together; equal edges meet, their source words are compared, and every
 occurrence but the first is a repeated edge with its own and the first one's coordinates. Repeated
-edges that follow one another on both sides form a nonbranching path: Spark joins find the edges
-that no path leads into or out of, and the n-th such beginning is paired with the n-th end.
+edges that follow one another on both sides form a nonbranching path: Spark joins their ends by
+place and lane, and only the outer ends of each path are left.
 """
 
 from __future__ import annotations
@@ -23,15 +23,15 @@ from .common import cut_lineage, partitions, text_bytes
 from .suffix_dedup import BUCKET_BYTES, PACKED, SAMPLE_BYTES, SAMPLE_KEYS, assemble, keyed, pack_documents
 
 WINDOW = 20
-LEAD = 6
+LEAD = 4
 """Words of an anchor."""
 
-SLICE = 1 << 17
+SLICE = 1 << 16
 """Words handled at once."""
 
-PATHS = "id long, mark long, start long, edges long, first_id long, first_mark long, first_start long, gram binary"
+PATHS = "lane long, id long, mark long, start long, end long, gram binary"
 REPORT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-_PATHS = pa.schema([(n, pa.int64()) for n in "id mark start edges first_id first_mark first_start".split()] + [("gram", pa.binary())])
+_PATHS = pa.schema([(n, pa.int64()) for n in "lane id mark start end".split()] + [("gram", pa.binary())])
 _PACKED = pa.schema([("group", pa.int32()), ("blob", pa.binary())])
 
 
@@ -89,7 +89,7 @@ def _dealer(split: np.ndarray):
     hot = sp.hot_keys(split)
 
     def deal(batches):
-        for batch in batches:
+        for batch in sp.larger(batches):
             data, ends, counts = _word_bytes(batch)
             ids, marks = sp.columns_of(batch, "id", "mark")
             parts = list(_slices(data, ends, counts))
@@ -102,14 +102,14 @@ def _dealer(split: np.ndarray):
             starts = np.concatenate(([0], ends + 1))
             is_hot = np.isin(keys, hot)
             for number, at in sp.by_group(sp.buckets_of(keys, marks[doc], split)):
-                used, local = np.unique(doc[at], return_inverse=True)
+                used, held = np.unique(doc[at], return_counts=True)
                 low = starts[begin[at]]
                 size = ends[end[at] + WINDOW - 1] + 1 - low
                 blob = sp.pack(
                     ids[used],
                     marks[used],
-                    local.astype(np.int32),
-                    begin[at] - counts[doc[at]],
+                    held.astype(np.uint32),
+                    sp.gaps(doc[at], begin[at] - counts[doc[at]]),
                     (end[at] - begin[at] + 1).astype(np.uint8),
                     is_hot[at].astype(np.uint8),
                     data[sp.ragged(low, size)],
@@ -152,7 +152,8 @@ def _match(batches):
     ids, marks, doc, start, windows, hot, payload, seen = [], [], [], [], [], [], [], 0
     for blob in blobs:
         a, b, c, d, e, f, g = sp.unpack(blob)
-        ids.append(a), marks.append(b), doc.append(c + seen), start.append(d), windows.append(e), hot.append(f), payload.append(g)
+        ids.append(a), marks.append(b), doc.append(np.repeat(np.arange(seen, seen + len(a)), c)), start.append(sp.places_of(c, d))
+        windows.append(e), hot.append(f), payload.append(g)
         seen += len(a)
     del blobs
     ids, marks, doc, start, hot, payload = map(np.concatenate, (ids, marks, doc, start, hot, payload))
@@ -200,7 +201,11 @@ def _match(batches):
             table = table[at]
             for k in range(0, len(table), 1 << 15):
                 t = table[k : k + (1 << 15)]
-                values = [ids[t[:, 0]], marks[t[:, 0]], t[:, 1], edges[k : k + (1 << 15)], t[:, 2], t[:, 3], t[:, 4]]
+                own, mark = ids[t[:, 0]], marks[t[:, 0]]
+                lane = np.zeros(len(t), np.uint64)
+                for part in (own, mark, t[:, 2], t[:, 3], t[:, 1] - t[:, 4]):
+                    lane = sp.mix(lane * sp.STEP + part.astype(np.uint64))
+                values = [lane.view(np.int64), own, mark, t[:, 1], t[:, 1] + edges[k : k + (1 << 15)]]
                 yield pa.RecordBatch.from_arrays([*[pa.array(v) for v in values], pa.nulls(len(t), pa.binary())], schema=_PATHS)
     if hot.any():
         chosen = np.flatnonzero(hot)
@@ -209,47 +214,44 @@ def _match(batches):
         for k in range(0, len(left), 4096):
             p, q = left[k : k + 4096], span[k : k + 4096]
             grams = [payload[a:b].tobytes() for a, b in zip(starts[p].tolist(), ends[p + WINDOW - 1].tolist())]
-            own, begin = ids[doc[q]], start[q] + p - offset[q]
-            values = [own, marks[doc[q]], begin, np.ones(len(p), np.int64), own, marks[doc[q]], begin]
+            begin = start[q] + p - offset[q]
+            values = [np.zeros(len(p), np.int64), ids[doc[q]], marks[doc[q]], begin, begin + 1]
             yield pa.RecordBatch.from_arrays([*[pa.array(v) for v in values], pa.array(grams, pa.binary())], schema=_PATHS)
 
 
 def repeated_edges(rows: DataFrame, total: int, parts: int) -> DataFrame:
-    """Stretches of repeated edges: (id, mark, start), how many edges, and where the same words come first."""
+    """Stretches of repeated edges (lane, id, mark, start, end): edges start to end of a document come earlier elsewhere.
+
+    A lane stands for the document, the place of the first occurrence and the distance between both.
+    """
     split = _splitters(rows, total, parts)
     dealt = rows.mapInArrow(_dealer(split), PACKED).repartitionById(parts, "group")
-    # Both sides of the joins below read the same stretches.
-    found = cut_lineage(dealt.mapInArrow(_match, PATHS))
-    edges = found.where("gram IS NULL").drop("gram")
+    found = dealt.mapInArrow(_match, PATHS)
     if not len(sp.hot_keys(split)):
-        return edges
+        return found.drop("gram")
+    found = cut_lineage(found)
     first = F.min(F.struct("id", "start", "mark")).over(W.partitionBy("gram"))
     across = found.where("gram IS NOT NULL").withColumn("first", first)
-    across = across.where((F.col("first.id") != F.col("id")) | (F.col("first.start") != F.col("start"))).select(
-        "id", "mark", "start", "edges",
-        F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"), F.col("first.start").alias("first_start"),
-    )
-    return edges.unionByName(across)
+    lane = F.xxhash64("id", "mark", "first.id", "first.mark", F.col("start") - F.col("first.start"))
+    across = across.where((F.col("first.id") != F.col("id")) | (F.col("first.start") != F.col("start"))).withColumn("lane", lane)
+    return found.where("gram IS NULL").drop("gram").unionByName(across.select("lane", "id", "mark", "start", "end"))
 
 
 def compact(edges: DataFrame) -> DataFrame:
-    """Nonbranching paths: stretches joined where one's end is the other's start, here and at the first occurrence.
+    """Nonbranching paths (id, mark, start, end): stretches of a lane joined where one ends and another starts.
 
-    All stretches of a path share document, first document and distance between the two (``lag``).
-    A stretch that none leads into begins a path, one that leads into none ends it; in the order of
-    their starts, beginnings and ends alternate, so the n-th of each belong together.
+    Spark meets the two ends on (lane, place): a start and an end at one place cancel out, as no path
+    begins or ends there. What is left of a lane is starts and ends in turn, each start with the
+    path's end behind it. One shuffle, by lane; a lane holds no more stretches than its document.
     """
-    lane = ["id", "mark", "first_id", "first_mark", "lag"]
-    lanes = edges.select(
-        "id", "mark", "first_id", "first_mark", (F.col("start") - F.col("first_start")).alias("lag"),
-        "start", (F.col("start") + F.col("edges")).alias("end"),
-    ).distinct()
-    nth = W.partitionBy(*lane).orderBy("at")
-    begins = lanes.join(lanes.withColumnRenamed("start", "_s").withColumnRenamed("end", "start"), [*lane, "start"], "left_anti")
-    ends = lanes.join(lanes.withColumnRenamed("end", "_e").withColumnRenamed("start", "end"), [*lane, "end"], "left_anti")
-    begins = begins.select(*lane, F.col("start").alias("at")).withColumn("nth", F.row_number().over(nth))
-    ends = ends.select(*lane, F.col("end").alias("at")).withColumn("nth", F.row_number().over(nth))
-    return begins.withColumnRenamed("at", "start").join(ends.withColumnRenamed("at", "end"), [*lane, "nth"]).drop("nth")
+    start = F.struct(F.col("start").alias("at"), F.lit(1).alias("sign"))
+    end = F.struct(F.col("end").alias("at"), F.lit(-1).alias("sign"))
+    places = edges.repartition("lane").select("lane", "id", "mark", F.explode(F.array(start, end)).alias("p"))
+    joined = places.groupBy("lane", F.col("p.at").alias("at")).agg(
+        F.first("id").alias("id"), F.first("mark").alias("mark"), F.sum("p.sign").alias("sign")
+    )
+    behind = F.lead("at").over(W.partitionBy("lane").orderBy("at"))
+    return joined.where("sign <> 0").withColumn("end", behind).where("sign > 0").select("id", "mark", F.col("at").alias("start"), "end")
 
 
 def _packer(groups: int):

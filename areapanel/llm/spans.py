@@ -31,9 +31,11 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 def chain(first: np.ndarray, second: np.ndarray, ahead: int) -> np.ndarray:
-    """Hash of a sequence from the hashes of its halves, the second ``ahead`` places on."""
+    """Polynomial hash of a sequence from those of its halves, the second ``ahead`` places on."""
     n = max(0, len(second) - ahead)
-    return mix(first[:n] * STEP + second[ahead : ahead + n])
+    out = first[:n] * U64(pow(int(STEP), ahead, 1 << 64))
+    out += second[ahead : ahead + n]
+    return out
 
 
 def gram_hashes(units: np.ndarray, size: int) -> np.ndarray:
@@ -47,7 +49,7 @@ def gram_hashes(units: np.ndarray, size: int) -> np.ndarray:
         if size & length:
             out = level if out is None else chain(out, level, done)
             done += length
-    return out
+    return mix(out)
 
 
 def sliding_least(values: np.ndarray, size: int) -> np.ndarray:
@@ -95,10 +97,11 @@ def hot_keys(splitters: np.ndarray) -> np.ndarray:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed value."""
+    """Arrays as one compressed value; numbers are stored byte plane by byte plane."""
     parts = [np.ascontiguousarray(a) for a in arrays]
     head = b"".join(struct.pack("<cq", p.dtype.char.encode(), p.nbytes) for p in parts)
-    return zstandard.ZstdCompressor(level=1).compress(bytes([len(parts)]) + head + b"".join(p.tobytes() for p in parts))
+    body = b"".join((p.view(np.uint8).reshape(-1, p.itemsize).T if p.itemsize > 1 else p).tobytes() for p in parts)
+    return zstandard.ZstdCompressor(level=3).compress(bytes([len(parts)]) + head + body)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
@@ -106,11 +109,43 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     at, out = 1 + 9 * raw[0], []
     for i in range(raw[0]):
         kind, size = struct.unpack_from("<cq", raw, 1 + 9 * i)
-        out.append(np.frombuffer(raw, np.dtype(kind.decode()), size // np.dtype(kind.decode()).itemsize, at))
+        dtype = np.dtype(kind.decode())
+        plain = np.frombuffer(raw, np.uint8, size, at)
+        if dtype.itemsize > 1:
+            plain = np.ascontiguousarray(plain.reshape(dtype.itemsize, -1).T).reshape(-1)
+        out.append(plain.view(dtype))
         at += size
     return out
 
 
+def larger(batches: Iterator[pa.RecordBatch], most: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to about ``most`` bytes, so that what is packed from one compresses well."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def gaps(owners: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Ascending places of each owner as distances to the one before."""
+    out = np.diff(places, prepend=0)
+    first = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
+    out[first] = places[first]
+    return out.astype(np.uint32) if not len(out) or out.max() < 1 << 32 else out
+
+
+def places_of(counts: np.ndarray, distances: np.ndarray) -> np.ndarray:
+    """The places behind ``gaps``, from the number of places of each owner."""
+    total = np.cumsum(distances.astype(np.int64))
+    before = np.concatenate(([0], total))[np.cumsum(counts) - counts]
+    return total - np.repeat(before, counts)
+
+
 def columns_of(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
 

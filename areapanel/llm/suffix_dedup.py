@@ -21,15 +21,15 @@ from . import spans as sp
 from .common import cut_lineage, partitions, text_bytes
 
 WINDOW = 50
-LEAD = 12
-"""Leading bytes of a suffix that decide its bucket; five bits of each make the sort key."""
+LEAD = 9
+"""Leading bytes of a suffix that decide its bucket; seven bits of each make the sort key."""
 
 BUCKET_BYTES = 4 << 20
 SAMPLE_BYTES = 4 << 20
 SAMPLE_KEYS = 1 << 15
 """Sort keys sampled from one Arrow batch of sampled documents at most."""
 
-SLICE = 1 << 20
+SLICE = 1 << 17
 """Windows handled at once, so that a very long text needs no more memory than a short one."""
 
 MATCHED = "group int, blob binary, gram binary, id long, mark long, start long"
@@ -65,7 +65,7 @@ def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 def _sort_keys(data: np.ndarray, anchors: np.ndarray) -> np.ndarray:
     keys = np.zeros(len(anchors), np.uint64)
     for j in range(LEAD):
-        keys = (keys << np.uint64(5)) | (data[anchors + j] & 31).astype(np.uint64)
+        keys = (keys << np.uint64(7)) | (data[anchors + j] & 127).astype(np.uint64)
     return keys
 
 
@@ -91,7 +91,7 @@ def _dealer(split: np.ndarray):
     hot = sp.hot_keys(split)
 
     def deal(batches):
-        for batch in batches:
+        for batch in sp.larger(batches):
             data, offsets = sp.texts_of(batch)
             ids, marks = sp.columns_of(batch, "id", "mark")
             parts = [x for x in _slices(data, offsets)]
@@ -105,13 +105,13 @@ def _dealer(split: np.ndarray):
             is_hot = np.isin(keys, hot)
             bucket = sp.buckets_of(keys, marks[doc], split)
             for number, at in sp.by_group(bucket):
-                used, local = np.unique(doc[at], return_inverse=True)
+                used, counts = np.unique(doc[at], return_counts=True)
                 windows = end[at] - begin[at] + 1
                 blob = sp.pack(
                     ids[used],
                     marks[used],
-                    local.astype(np.int32),
-                    begin[at] - offsets[doc[at]],
+                    counts.astype(np.uint32),
+                    sp.gaps(doc[at], begin[at] - offsets[doc[at]]),
                     windows.astype(np.uint8),
                     is_hot[at].astype(np.uint8),
                     data[sp.ragged(begin[at], windows + WINDOW - 1)],
@@ -161,7 +161,8 @@ def _matcher(groups: int):
         ids, marks, doc, start, windows, hot, payload, seen = [], [], [], [], [], [], [], 0
         for blob in blobs:
             a, b, c, d, e, f, g = sp.unpack(blob)
-            ids.append(a), marks.append(b), doc.append(c + seen), start.append(d), windows.append(e), hot.append(f), payload.append(g)
+            ids.append(a), marks.append(b), doc.append(np.repeat(np.arange(seen, seen + len(a)), c)), start.append(sp.places_of(c, d))
+            windows.append(e), hot.append(f), payload.append(g)
             seen += len(a)
         del blobs
         ids, marks, doc, start, hot = map(np.concatenate, (ids, marks, doc, start, hot))
@@ -236,7 +237,7 @@ def pack_documents(groups: int):
     """Texts packed by group of documents; fewer, larger rows than one per document."""
 
     def pack_texts(batches):
-        for batch in batches:
+        for batch in sp.larger(batches):
             data, offsets = sp.texts_of(batch)
             ids, marks = sp.columns_of(batch, "id", "mark")
             for group, at in sp.by_group((marks.astype(np.uint64) % np.uint64(groups)).astype(np.int64)):
