@@ -27,7 +27,8 @@ BLOCK_BYTES = 16 << 20
 END = b" "
 """The end of a text among the words; no word holds a space."""
 
-STOP = "</s>"
+STOP = " </s>"
+"""The end among the pieces. Like the bytes it is named with a space, so that no word holds its name."""
 MARK = "▁"
 REPORT = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -61,26 +62,39 @@ def read_vocabulary(path: str = VOCABULARY) -> Pieces:
             if MARK not in piece[1:]:
                 pieces[piece] = -math.log(1.0 + abs(model.get_score(i)))
     last = min(pieces.values(), default=0.0)
-    pieces |= {f"<0x{b:02X}>": last for b in range(256)} | {STOP: 0.0}
+    pieces |= {f" <0x{b:02X}>": last for b in range(256)} | {STOP: 0.0}
     return pieces
 
 
-def edges(word: str, pieces: Pieces, longest: int) -> list[list[tuple[int, float, list[str]]]]:
-    """For each place of the word the pieces that end there: where they begin, weight, and names.
+def endings(pieces: Pieces) -> dict[str, float | None]:
+    """Every piece with its weight, and every ending of one that is no piece itself with None.
 
-    A character that is no piece is spelled by its bytes.
+    A search for the pieces that end at a place stops at the first text that no piece ends with.
     """
+    known: dict[str, float | None] = {piece[at:]: None for piece in pieces for at in range(1, len(piece))}
+    return known | pieces
+
+
+def spelled(character: str) -> list[str]:
+    """The byte pieces of a character that is no piece."""
+    return [f" <0x{b:02X}>" for b in character.encode()]
+
+
+def edges(word: str, known: dict[str, float | None]) -> list[list[tuple[int, float]]]:
+    """For each place of the word, where the pieces that end there begin, and their weights."""
     text = MARK + word
-    ending: list[list[tuple[int, float, list[str]]]] = [[] for _ in range(len(text) + 1)]
+    ending: list[list[tuple[int, float]]] = [[]]
     for end in range(1, len(text) + 1):
-        for begin in range(max(0, end - longest), end):
-            piece = text[begin:end]
-            weight = pieces.get(piece)
-            if weight is not None:
-                ending[end].append((begin, weight, [piece]))
+        here = []
+        for begin in range(end - 1, -1, -1):
+            weight = known.get(text[begin:end], STOP)
+            if weight.__class__ is float:
+                here.append((begin, weight))
             elif begin == end - 1:
-                spelled = [f"<0x{b:02X}>" for b in piece.encode()]
-                ending[end].append((begin, sum(pieces[x] for x in spelled), spelled))
+                here.append((begin, sum([known[x] for x in spelled(text[begin])])))
+            if weight is STOP:
+                break
+        ending.append(here)
     return ending
 
 
@@ -88,32 +102,35 @@ def log_sum(terms: list[float]) -> float:
     if len(terms) == 1:
         return terms[0]
     top = max(terms)
-    return top + math.log(sum(math.exp(t - top) for t in terms)) if top > -math.inf else top
+    return top + math.log(sum([math.exp(t - top) for t in terms]))
 
 
 def forward(ending) -> list[float]:
     """Log-likelihood of every beginning of a word, over all its segmentations."""
     alpha = [0.0]
     for here in ending[1:]:
-        alpha.append(log_sum([alpha[begin] + weight for begin, weight, _ in here]))
+        alpha.append(log_sum([alpha[begin] + weight for begin, weight in here]))
     return alpha
 
 
-def expected_pieces(word: str, times: float, pieces: Pieces, longest: int, into: Counter) -> None:
+def expected_pieces(word: str, times: float, known: dict[str, float | None], into: Counter) -> None:
     """Adds the expected number of each piece over all segmentations of a word."""
-    ending = edges(word, pieces, longest)
+    text = MARK + word
+    ending = edges(word, known)
     alpha = forward(ending)
-    leaving: list[list[tuple[int, float, list[str]]]] = [[] for _ in ending]
-    for end, here in enumerate(ending):
-        for begin, weight, names in here:
-            leaving[begin].append((end, weight, names))
-    beta = [0.0] * len(ending)
-    for begin in range(len(ending) - 2, -1, -1):
-        beta[begin] = log_sum([weight + beta[end] for end, weight, _ in leaving[begin]])
-        for end, weight, names in leaving[begin]:
-            share = times * math.exp(alpha[begin] + weight + beta[end] - alpha[-1])
-            for name in names:
-                into[name] += share
+    behind: list[list[float]] = [[] for _ in ending]
+    behind[-1].append(0.0)
+    for end in range(len(text), 0, -1):
+        beta = log_sum(behind[end])
+        for begin, weight in ending[end]:
+            behind[begin].append(weight + beta)
+            share = times * math.exp(alpha[begin] + weight + beta - alpha[-1])
+            piece = text[begin:end]
+            if end - begin > 1 or known.get(piece) is not None:
+                into[piece] += share
+            else:
+                for name in spelled(piece):
+                    into[name] += share
 
 
 HELD_WORDS = 1 << 17
@@ -157,7 +174,7 @@ def learned_pieces(words: DataFrame, vocabulary: Pieces) -> Pieces:
 
     What comes back is bounded by the vocabulary. Each piece starts with a count of one.
     """
-    longest = max(map(len, vocabulary))
+    known = endings(vocabulary)
 
     def expect(batches):
         for batch in batches:
@@ -166,7 +183,7 @@ def learned_pieces(words: DataFrame, vocabulary: Pieces) -> Pieces:
                 if word == END:
                     into[STOP] += times
                 else:
-                    expected_pieces(word.decode(errors="replace"), times, vocabulary, longest, into)
+                    expected_pieces(word.decode(errors="replace"), times, known, into)
             yield pa.RecordBatch.from_arrays([pa.array(list(into)), pa.array(list(into.values()), pa.float64())], names=["piece", "n"])
 
     found = words.where("n > 0").mapInArrow(expect, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
@@ -179,12 +196,12 @@ def learned_pieces(words: DataFrame, vocabulary: Pieces) -> Pieces:
 
 def scored_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     """(word, n, log10 of its marginal probability)."""
-    longest = max(map(len, pieces))
+    known = endings(pieces)
 
     def score(batches):
         for batch in batches:
             logs = [
-                pieces[STOP] if w == END else forward(edges(w.decode(errors="replace"), pieces, longest))[-1]
+                pieces[STOP] if w == END else forward(edges(w.decode(errors="replace"), known))[-1]
                 for w in batch.column(0).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
@@ -220,31 +237,25 @@ def _scorer(tokens: int, distinct: int):
     under = tokens + 1 * (distinct + 1)
 
     def score(batches):
-        known: dict[bytes, tuple[int, float]] = {}
-        blobs = []
+        number: dict[bytes, int] = {}
+        counts, logs, blobs = [], [], []
         for batch in batches:
-            for blob, word, n, log in zip(*[c.to_pylist() for c in batch.columns]):
-                if word is None:
-                    blobs.append(blob)
-                else:
-                    known[word] = (n, log)
-        base = {n: math.log10((n + 1) / under) for n in {n for n, _ in known.values()}}
+            blob, word, n, log = batch.columns
+            asked = word.is_valid()
+            blobs += blob.filter(word.is_null()).to_pylist()
+            for w in word.filter(asked).to_pylist():
+                number[w] = len(number)
+            counts.append(n.filter(asked).to_numpy(zero_copy_only=False).astype(np.int64))
+            logs.append(log.filter(asked).to_numpy(zero_copy_only=False).astype(np.float64))
+        counts, logs = np.concatenate(counts), np.concatenate(logs)
+        base = np.log10((counts + 1) / under)
         for blob in blobs:
             rows = []
             for own, words in _texts(blob):
-                found = [known[w] for w in words]
-                found.append(known[END])
-                rows.append(
-                    (
-                        None if own == sp.LAST else own,
-                        held_out(own),
-                        len(found),
-                        sum(1 for n, _ in found if n),
-                        tokens,
-                        math.fsum([base[n] for n, _ in found]),
-                        math.fsum([log for _, log in found]),
-                    )
-                )
+                words.append(END)
+                at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                shown = (None if own == sp.LAST else own, held_out(own))
+                rows.append((*shown, len(at), int((counts[at] > 0).sum()), tokens, float(base[at].sum()), float(logs[at].sum())))
             yield sp.rows_batch(_REPORT, rows)
 
     return score
