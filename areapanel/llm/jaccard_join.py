@@ -4,9 +4,9 @@
 2. Coarse bound. The matrix has one column per node and one row per shingle; all other nodes are one
    group, and its union is the shingles that another node has too. A node can only link if its overlap
    with that union reaches the threshold. This leaves the near copies.
-3. Pivots. Nodes that share their first shingle in the common order are a group; its smallest node is
-   the pivot. A node close to its pivot joins the pivot's class.
-4. Groups. Linked nodes share one of their first shingles (prefix filter), so nodes of different
+3. Pivots. Nodes that share the least shingle of some order are a group; its smallest node is the
+   pivot. Nodes close to a pivot join its class, so that most near copies are of one class already.
+4. Groups. Linked nodes share one of their rarest shingles (prefix filter), so nodes of different
    classes that could link meet under such a shingle. They are cut into groups of similar size; the
    overlap of a query with a group's token union bounds its overlap with every member, and only groups that
    reach the threshold are opened and compared.
@@ -30,6 +30,9 @@ from .suffix_dedup import BUCKET_BYTES, PACKED, keyed
 
 SHINGLE = 5
 PERCENT = 75
+ORDERS = 6
+"""Orders of tokens that pivots are sought by."""
+
 MEMBERS = 64
 """Nodes in a group of the matrix."""
 
@@ -203,63 +206,146 @@ def hot_tokens(sets: DataFrame, count: int) -> np.ndarray:
     return np.sort(np.array([r["token"] for r in found.collect()], np.int64).view(np.uint64))
 
 
-def ordered(tokens: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """The common order: rare tokens by hash, then hot ones by hash."""
-    late = np.isin(tokens, hot)
-    return np.concatenate((tokens[~late], tokens[late]))
+OFTEN = (1 << 32) - 1
 
 
-def _first_tokens(hot: np.ndarray, only_one: bool):
-    def first(batches):
-        for batch in batches:
-            nodes, classes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out_node, out_class, out_token = [], [], []
-            for node, klass, blob in zip(nodes, classes, batch.column(2).to_pylist()):
-                tokens = np.frombuffer(blob, np.uint64)
-                prefix = 1 if only_one else len(tokens) - int(needed(len(tokens))) + 1
-                kept = ordered(tokens, hot)[:prefix]
-                out_node += [node] * len(kept)
-                out_class += [klass] * len(kept)
-                out_token.append(kept)
-            values = np.concatenate(out_token).astype(np.uint64).view(np.int64) if out_token else np.zeros(0, np.int64)
+def _blobs_by_bucket(nodes: np.ndarray, owner: np.ndarray, tokens: np.ndarray, counts: np.ndarray, buckets: np.ndarray):
+    """Packed (nodes, tokens of each, tokens, counts) per bucket; nodes are two numbers each."""
+    for group, at in sp.by_group(buckets):
+        used, sizes = np.unique(owner[at], return_counts=True)
+        at = at[np.argsort(owner[at], kind="stable")]
+        yield sp.rows_batch(_PACKED, [(group, sp.pack(nodes[used].reshape(-1), sizes.astype(np.uint32), tokens[at], counts[at]))])
+
+
+def _unpacked(batches):
+    """All (node numbers, owner of each token, tokens, counts) of a bucket, each node once."""
+    names, owners, tokens, counts, seen = [np.zeros((0, 2), np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], 0
+    for batch in batches:
+        for blob in batch.column(1).to_pylist():
+            name, sizes, values, number = sp.unpack(blob)
+            names.append(name.reshape(-1, 2))
+            owners.append(np.repeat(np.arange(seen, seen + len(sizes)), sizes))
+            tokens.append(values)
+            counts.append(number)
+            seen += len(sizes)
+    name, inverse = np.unique(np.concatenate(names), axis=0, return_inverse=True)
+    return name, inverse.reshape(-1)[np.concatenate(owners)] if seen else np.concatenate(owners), np.concatenate(tokens), np.concatenate(counts)
+
+
+def ranked_sets(sets: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
+    """(node, tokens): the size of a node's set, and its tokens that another node has too, rarest first, then by hash.
+
+    Tokens no other node has are counted in the size only. Hot tokens are not counted; they come last.
+    """
+
+    def deal(batches):
+        for batch in sp.larger(batches):
+            nodes = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64).reshape(-1, 2)
+            lists = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+            owner, tokens = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists)
+            late = np.isin(tokens, hot)
+            often = np.where(late, OFTEN, 1).astype(np.uint32)
+            yield from _blobs_by_bucket(nodes, owner, tokens, often, (np.where(late, nodes[owner, 0], tokens) % np.uint64(parts)).astype(np.int64))
+
+    def count(batches):
+        nodes, owner, tokens, counts = _unpacked(batches)
+        if not len(tokens):
+            return
+        order = np.argsort(tokens, kind="stable")
+        ranked = tokens[order]
+        first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        met = np.diff(np.append(first, len(ranked)))
+        counts = counts.copy()
+        counts[order] = np.maximum(counts[order], np.repeat(np.minimum(met, OFTEN), met).astype(np.uint32))
+        kept = counts > 1
+        owner, tokens, counts = owner[kept], tokens[kept], counts[kept]
+        yield from _blobs_by_bucket(nodes, owner, tokens, counts, (nodes[owner, 0] % np.uint64(parts)).astype(np.int64))
+
+    def gather(batches):
+        nodes, owner, tokens, counts = _unpacked(batches)
+        order = np.lexsort((tokens, counts, owner))
+        bounds = np.searchsorted(owner[order], np.arange(len(nodes) + 1))
+        tokens = tokens[order]
+        for k in range(0, len(nodes), 512):
+            part = range(k, min(k + 512, len(nodes)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_node, pa.binary()), pa.array(out_class, pa.binary()), pa.array(values)], names=["node", "class", "token"]
+                [
+                    pa.array([nodes[i].tobytes() for i in part], pa.binary()),
+                    pa.array([tokens[bounds[i] : bounds[i + 1]].tobytes() for i in part], pa.binary()),
+                ],
+                names=["node", "shared"],
             )
 
-    return first
+    met = sets.select("node", "tokens").mapInArrow(deal, PACKED).repartitionById(parts, "group").mapInArrow(count, PACKED)
+    shared = met.repartitionById(parts, "group").mapInArrow(gather, "node binary, shared binary")
+    size = F.floor(F.octet_length("tokens") / 8).cast("long")
+    return sets.select("node", size.alias("n")).join(shared, "node").select("node", "n", F.col("shared").alias("tokens"))
+
+
+def _prefix(batches):
+    """The rarest tokens of each node: as many as a linked node must share one of, less those it has alone."""
+    for batch in batches:
+        nodes, classes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        out_node, out_class, out_token = [], [], [np.zeros(0, np.uint64)]
+        for node, klass, n, blob in zip(nodes, classes, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            tokens = np.frombuffer(blob, np.uint64)
+            kept = tokens[: max(0, n - needed(n) + 1 - (n - len(tokens)))]
+            out_node += [node] * len(kept)
+            out_class += [klass] * len(kept)
+            out_token.append(kept)
+        values = np.concatenate(out_token).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(out_node, pa.binary()), pa.array(out_class, pa.binary()), pa.array(values)], names=["node", "class", "token"]
+        )
+
+
+def _least_tokens(batches):
+    """The least token of each node in each of several orders; near copies share most of them."""
+    for batch in batches:
+        nodes, out = batch.column(0).to_pylist(), []
+        for blob in batch.column(1).to_pylist():
+            tokens = np.frombuffer(blob, np.uint64)
+            out.append([sp.mix(tokens ^ np.uint64(k * 0x5851F42D4C957F2D % (1 << 64))).min() if len(tokens) else k for k in range(1, ORDERS + 1)])
+        values = np.array(out, np.uint64).reshape(-1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([n for n in nodes for _ in range(ORDERS)], pa.binary()), pa.array(values)], names=["node", "token"])
 
 
-def linked(x: np.ndarray, y: np.ndarray) -> bool:
+def linked(x: np.ndarray, y: np.ndarray, n: int, m: int) -> bool:
+    """Whether sets of n and m tokens link, from those of their tokens that they may share."""
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+    return 100 * both >= PERCENT * (n + m - both)
 
 
 def _to_pivot(batches):
     for batch in batches:
         pairs = zip(*[c.to_pylist() for c in batch.columns])
-        near = [(node, pivot if linked(np.frombuffer(t, np.uint64), np.frombuffer(p, np.uint64)) else node) for node, t, pivot, p in pairs]
+        near = [
+            (node, pivot if linked(np.frombuffer(t, np.uint64), np.frombuffer(p, np.uint64), n, m) else node) for node, n, t, pivot, m, p in pairs
+        ]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in near], pa.binary()) for i in (0, 1)], names=["node", "class"])
 
 
-def pivot_classes(sets: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(node, class): the pivot of the node's first token where the two link, else the node itself."""
-    own = sets.select("node", F.col("node").alias("class"), "tokens")
-    first = own.mapInArrow(_first_tokens(hot, True), "node binary, class binary, token long").select("node", "token")
-    pivots = first.groupBy("token").agg(F.min("node").alias("pivot"))
-    paired = first.join(pivots, "token").select("node", "pivot")
-    with_pivot = paired.join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("pivot_tokens")), "pivot")
-    both = with_pivot.join(sets.select("node", "tokens"), "node").select("node", "tokens", "pivot", "pivot_tokens")
-    return both.mapInArrow(_to_pivot, "node binary, class binary")
+def pivot_classes(sets: DataFrame) -> DataFrame:
+    """(node, class): nodes joined by the links to their pivots, the smallest nodes with the same least token."""
+    least = sets.select("node", "tokens").mapInArrow(_least_tokens, "node binary, token long")
+    pivots = least.groupBy("token").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    paired = least.join(pivots, "token").where("node <> pivot").select("node", "pivot").distinct()
+    with_pivot = paired.join(sets.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("tokens").alias("pivot_tokens")), "pivot")
+    both = with_pivot.join(sets, "node").select("node", "n", "tokens", "pivot", "m", "pivot_tokens")
+    links = both.mapInArrow(_to_pivot, "node binary, class binary").select(F.col("node").alias("a"), F.col("class").alias("b"))
+    found = sets.select("node").join(components(links), "node", "left")
+    return found.select("node", F.coalesce("root", "node").alias("class"))
 
 
-def meetings(sets: DataFrame, classes: DataFrame, hot: np.ndarray) -> DataFrame:
+def meetings(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """(meeting, side, node, class): nodes of different classes that share one of their first tokens.
 
-    A meeting is a token's list of nodes; of equal lists one is kept. Nodes are sorted by class into
-    blocks, and a long list becomes one meeting per pair of blocks, except for pairs within one class.
+    Lists of nodes that overlap form a family; a family of up to BLOCK nodes is one meeting. In larger
+    families a meeting is a token's list of nodes; of equal lists one is kept. Nodes are sorted by class
+    into blocks, and a long list becomes one meeting per pair of blocks, except for pairs within a class.
     """
-    given = sets.join(classes, "node").select("node", "class", "tokens")
-    prefix = given.mapInArrow(_first_tokens(hot, False), "node binary, class binary, token long")
+    given = sets.join(classes, "node").select("node", "class", "n", "tokens")
+    prefix = given.mapInArrow(_prefix, "node binary, class binary, token long")
     lists = prefix.groupBy("token").agg(
         F.count(F.lit(1)).alias("m"),
         F.min("class").alias("low"),
@@ -268,7 +354,15 @@ def meetings(sets: DataFrame, classes: DataFrame, hot: np.ndarray) -> DataFrame:
         F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("sign2"),
     )
     mixed = lists.where("low < high").groupBy("sign", "sign2", "m").agg(F.min("token").alias("token"))
-    listed = prefix.join(mixed.select("token", "m"), "token")
+    listed = cut_lineage(prefix.join(mixed.select("token"), "token"))
+    hubs = listed.groupBy("token").agg(F.min("node").alias("hub"))
+    tied = listed.join(hubs, "token").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    family = listed.select("node").distinct().join(components(tied), "node", "left").select("node", F.coalesce("root", "node").alias("family"))
+    size = family.groupBy("family").count()
+    family = cut_lineage(family.join(size, "family"))
+    small = family.where(F.col("count") <= BLOCK).join(classes, "node")
+    whole = small.select(F.xxhash64("family").alias("meeting"), F.lit(0).alias("side"), "node", "class")
+    listed = listed.join(family.where(F.col("count") > BLOCK).select("node"), "node", "left_semi")
     rank = F.row_number().over(W.partitionBy("token").orderBy("class", "node")) - 1
     blocked = cut_lineage(listed.withColumn("block", F.floor(rank / BLOCK).cast("int")))
     blocks = blocked.groupBy("token", "block").agg(F.min("class").alias("low"), F.max("class").alias("high"))
@@ -282,7 +376,7 @@ def meetings(sets: DataFrame, classes: DataFrame, hot: np.ndarray) -> DataFrame:
         .join(pairs.where("block < block2").select("token", "block2", "meeting"), ["token", "block2"])
         .select("meeting", F.lit(1).alias("side"), "node", "class")
     )
-    return left.unionByName(right)
+    return whole.unionByName(left).unionByName(right)
 
 
 def _compare(table: pa.Table) -> pa.Table:
@@ -290,6 +384,7 @@ def _compare(table: pa.Table) -> pa.Table:
     side = table.column("side").to_numpy()
     nodes, classes = table.column("node").to_pylist(), table.column("class").to_pylist()
     sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
+    size = table.column("n").to_pylist()
     parent = {c: c for c in classes}
 
     def root(c):
@@ -300,21 +395,20 @@ def _compare(table: pa.Table) -> pa.Table:
 
     one_block = not side.any()
     queries = np.flatnonzero(side == 0)
-    members = sorted(queries if one_block else np.flatnonzero(side == 1), key=lambda i: (len(sets[i]), nodes[i]))
+    members = sorted(queries if one_block else np.flatnonzero(side == 1), key=lambda i: (size[i], nodes[i]))
     groups = [members[k : k + MEMBERS] for k in range(0, len(members), MEMBERS)]
     unions = [np.unique(np.concatenate([sets[i] for i in g])) for g in groups]
     found = []
     for q in queries:
         mine = sets[q]
         for group, union in zip(groups, unions):
-            sizes = [len(sets[group[0]]), len(sets[group[-1]])]
-            if sizes[1] < needed(len(mine)) or PERCENT * sizes[0] > 100 * len(mine):
+            if size[group[-1]] < needed(size[q]) or PERCENT * size[group[0]] > 100 * size[q]:
                 continue
-            if len(np.intersect1d(mine, union, assume_unique=True)) < needed(len(mine)):
+            if len(np.intersect1d(mine, union, assume_unique=True)) < needed(size[q]):
                 continue
             for i in group:
                 a, b = root(classes[q]), root(classes[i])
-                if a != b and linked(mine, sets[i]):
+                if a != b and linked(mine, sets[i], size[q], size[i]):
                     parent[max(a, b)] = min(a, b)
                     found.append((min(classes[q], classes[i]), max(classes[q], classes[i])))
     return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())}, schema=_LINKS)
@@ -347,9 +441,9 @@ def node_components(docs: DataFrame) -> DataFrame:
     live = cut_lineage(near_copies(rows, nodes, parts))
     texts = rows.join(live.select("id", "mark", "node"), ["id", "mark"]).select("node", "text").dropDuplicates(["node"])
     sets = cut_lineage(texts.mapInArrow(_open_sets, "node binary, tokens binary"))
-    hot = hot_tokens(sets, live.count())
-    classes = cut_lineage(pivot_classes(sets, hot))
-    met = meetings(sets, classes, hot).join(sets, "node")
+    sets = cut_lineage(ranked_sets(sets, hot_tokens(sets, live.count()), parts))
+    classes = cut_lineage(pivot_classes(sets))
+    met = meetings(sets, classes).join(sets, "node")
     across = met.groupBy("meeting").applyInArrow(_compare, LINKS)
     stars = classes.where("node <> class").select(F.col("node").alias("a"), F.col("class").alias("b"))
     return nodes.join(components(stars.unionByName(across)), "node", "left")
