@@ -83,7 +83,7 @@ def compiled(texts: dict[str, str]) -> tuple[list[str], dict[str, int], np.ndarr
                 table[s, letters[c]] = (base + q) * 2
         tables.append(table)
         base += len(states)
-    return languages, letters, np.concatenate(tables)
+    return languages, letters, np.concatenate(tables) if tables else np.zeros((0, width), np.int32)
 
 
 def bases(languages: list[str], texts: dict[str, str]) -> list[int]:
