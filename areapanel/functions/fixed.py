@@ -56,10 +56,29 @@ OUTCOME_COLUMNS = [
 
 # Families of fixed or slowly moving area features.
 AEZ_PREFIX = "AEZ_"
-AEZ_ZONES = (
-    4000, 7000, 9000, 10000, 12000, 17000, 19000, 20000, 25000, 28000, 30000,
-    31000, 32000, 33000, 34000, 35000, 36000, 38000, 40000, 42000, 43000,
-)
+AEZ_COLUMNS = [
+    "AEZ_4000",
+    "AEZ_7000",
+    "AEZ_9000",
+    "AEZ_10000",
+    "AEZ_12000",
+    "AEZ_17000",
+    "AEZ_19000",
+    "AEZ_20000",
+    "AEZ_25000",
+    "AEZ_28000",
+    "AEZ_30000",
+    "AEZ_31000",
+    "AEZ_32000",
+    "AEZ_33000",
+    "AEZ_34000",
+    "AEZ_35000",
+    "AEZ_36000",
+    "AEZ_38000",
+    "AEZ_40000",
+    "AEZ_42000",
+    "AEZ_43000",
+]
 STATIC_FAMILIES = {
     "asap_land_cover": ["crop", "range"],
     "river_distance": ["distance_to_river"],
@@ -137,20 +156,27 @@ SCOPES = (0, 6, 12)
 DEFAULT_THRESHOLD = 0.2
 SCORE_COLUMNS = [target + "_score" for target in TARGETS]
 PRED_COLUMNS = [target + "_pred" for target in TARGETS]
-PREDICTION_COLUMNS = (
-    ["area_id", "year", "month", "_row_id"]
-    + [column for pair in zip(SCORE_COLUMNS, PRED_COLUMNS) for column in pair]
-    + [
-        "overall_phase_pred",
-        "feature_period",
-        "target_period",
-        "scope_months",
-        "model_package_id",
-        "source_input",
-    ]
-)
+PREDICTION_COLUMNS = [
+    "area_id",
+    "year",
+    "month",
+    "_row_id",
+    "phase2_worse_score",
+    "phase2_worse_pred",
+    "phase3_worse_score",
+    "phase3_worse_pred",
+    "phase4_worse_score",
+    "phase4_worse_pred",
+    "phase5_worse_score",
+    "phase5_worse_pred",
+    "overall_phase_pred",
+    "feature_period",
+    "target_period",
+    "scope_months",
+    "model_package_id",
+    "source_input",
+]
 
-AEZ_COLUMNS = [f"{AEZ_PREFIX}{zone}" for zone in AEZ_ZONES]
 STATIC_FEATURE_COLUMNS = (
     AEZ_COLUMNS + [column for columns in STATIC_FAMILIES.values() for column in columns] + [COASTLINE_FEATURE]
 )

@@ -45,3 +45,8 @@ def normalize_null_tokens(df: DataFrame, vocabulary: str = "inference") -> DataF
             for f in df.schema.fields
         ]
     )
+
+
+def present(number: Column) -> Column:
+    """A number, or null where it is missing as NaN."""
+    return F.when(~F.isnan(number.cast("double")), number)

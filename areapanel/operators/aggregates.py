@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import month_index
+from ..functions.nulls import present
 from .quality import missingness
 
 
@@ -93,16 +94,18 @@ def family_profile(panel: DataFrame, codebook: DataFrame, static_columns: Sequen
 
 
 def compare_with_reference(
-    observed: DataFrame, reference: DataFrame, value: str, keys: Sequence[str] = ("area_id", "year", "month")
+    observed: DataFrame, reference: DataFrame | None, value: str, keys: Sequence[str] = ("area_id", "year", "month")
 ) -> DataFrame:
     """One row: status, matched pairs, largest absolute difference, correlation."""
     needed = {*keys, value}
     spark = observed.sparkSession
     schema = "status string, matched_observations bigint, max_abs_diff double, correlation double"
+    if reference is None:
+        return spark.createDataFrame([("not_provided", None, None, None)], schema)
     if not needed <= set(observed.columns) or not needed <= set(reference.columns):
         return spark.createDataFrame([("malformed_reference", None, None, None)], schema)
-    theirs = reference.select(*keys, _col(value).alias("_reference"))
-    pairs = observed.select(*keys, _col(value).alias("_observed")).join(theirs, list(keys), "inner")
+    theirs = reference.select(*keys, present(_col(value)).alias("_reference"))
+    pairs = observed.select(*keys, present(_col(value)).alias("_observed")).join(theirs, list(keys), "inner")
     gap = F.abs(F.col("_observed") - F.col("_reference"))
     both = F.col("_observed").isNotNull() & F.col("_reference").isNotNull()
     stats = pairs.agg(

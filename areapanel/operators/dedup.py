@@ -63,13 +63,13 @@ def with_surrogate_ids(
 ) -> DataFrame:
     """Give rows without an id one id per distinct location, counted from max id + ``gap``.
 
-    Both branches see the same scan, so the two halves always add up to the input.
+    Rows whose location is incomplete keep a null id, so the two halves add up to the input.
     """
     top = df.agg(F.max(_col(id_column)).alias("top")).first()["top"] or 0
     known = df.where(_col(id_column).isNotNull())
     unknown = df.where(_col(id_column).isNull()).drop(id_column)
-    places = with_row_ids(unknown.select(*location).distinct(), location, id_column, int(top) + gap)
+    places = with_row_ids(unknown.select(*location).dropna().distinct(), location, id_column, int(top) + gap)
     id_type = df.schema[id_column].dataType
     return known.unionByName(
-        unknown.join(places.withColumn(id_column, _col(id_column).cast(id_type)), list(location)).select(*df.columns)
+        unknown.join(places.withColumn(id_column, _col(id_column).cast(id_type)), list(location), "left").select(*df.columns)
     )

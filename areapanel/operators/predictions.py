@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import AREA_MONTH, PRED_COLUMNS, PREDICTION_COLUMNS, SCOPES, SCORE_COLUMNS
 from ..functions.keys import parse_feature_month, target_period, to_number, trim_key
-from ..functions.nulls import normalize_null_tokens
+from ..functions.nulls import normalize_null_tokens, present
 from .dedup import with_row_ids
 from .quality import QualityError, require_columns, require_same_universe, require_unique, require_zero
 from .scoring import non_monotone
@@ -88,7 +88,8 @@ def require_prediction_contract(
 
 
 def alignment(predictions: DataFrame, base: DataFrame) -> DataFrame:
-    """Predictions whose row id or admin code differs from the base row of the same key."""
+    """Predictions whose row id or admin code differs from the base row of the same key; both need ``_row_id``."""
+    require_columns(base, ["_row_id"], "base input")
     kept = [c for c in ("_row_id", "admin_code") if c in base.columns and c in predictions.columns]
     side = base.select(*AREA_MONTH, *[F.col(c).alias(f"_base_{c}") for c in kept])
     joined = predictions.select(*AREA_MONTH, *kept).join(side, AREA_MONTH, "left")
@@ -112,7 +113,7 @@ def regression_diff(predictions: DataFrame, reference: DataFrame) -> DataFrame:
     pairs = predictions.join(theirs, key, "inner")
     counts = [F.count_if(~F.col(c).eqNullSafe(F.col(f"_ref_{c}"))).alias(f"n_{c}") for c in EXACT_COLUMNS]
     for c in SCORE_COLUMNS:
-        gap = F.abs(F.col(c) - F.col(f"_ref_{c}"))
+        gap = present(F.abs(F.col(c) - F.col(f"_ref_{c}")))
         counts += [F.count_if(gap > 0).alias(f"n_{c}"), F.max(F.when(gap > 0, gap)).alias(f"g_{c}")]
     summed = pairs.groupBy("scope_months").agg(*counts)
     rows = [

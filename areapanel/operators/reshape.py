@@ -61,7 +61,7 @@ def wide_to_long(
             F.lit(year).alias("year"),
             F.lit(month).alias("month"),
             *[
-                (_col(names[b]).cast("double") if b in names else F.lit(None).cast("double")).alias(
+                (_col(names[b]).try_cast("double") if b in names else F.lit(None).cast("double")).alias(
                     feature if b is None else f"{feature}_{b}"
                 )
                 for b in bands
@@ -96,11 +96,11 @@ def years_to_long(
 ) -> DataFrame:
     """Year columns (``2019`` or ``2019 [YR2019]``) to rows with an integer year, nulls dropped."""
     years = [c for c in df.columns if c != id_column and c not in drop]
-    long = df.select(_col(id_column).alias(id_alias), *[_col(c).cast("double").alias(c) for c in years]).unpivot(
+    long = df.select(_col(id_column).alias(id_alias), *[_col(c).try_cast("double").alias(c) for c in years]).unpivot(
         [id_alias], [f"`{c}`" for c in years], "_name", value
     )
     return long.where(F.col(value).isNotNull()).select(
-        id_alias, F.split("_name", " ")[0].cast("int").alias("year"), value
+        id_alias, F.split("_name", " ")[0].try_cast("int").alias("year"), value
     )
 
 

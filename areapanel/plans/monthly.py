@@ -71,7 +71,7 @@ def assemble_month(
 ) -> Assembly:
     """Left-join the static table and the month's panel slice (and extras) to the scaffold.
 
-    Every scaffold row stays, once. Static columns win over panel columns of the same name.
+    Every scaffold row of the target month stays, once. Static columns win over panel columns of the same name.
     ``on_duplicate`` is ``"first"`` (by ``order``) or ``"fail"``. With ``check`` the gates run
     first, as small aggregates; without it the result is one lazy plan.
     """
@@ -82,7 +82,8 @@ def assemble_month(
     static_columns = [c for c in static.columns if c not in STATIC_ID_COLUMNS]
     carried = source_columns(panel.columns, static_columns)
 
-    rows = with_area_id(scaffold).select(
+    target = scaffold.where((Q.as_int(scaffold, "year") == year) & (Q.as_int(scaffold, "month") == month))
+    rows = with_area_id(target).select(
         "area_id", "admin_code", "lat", "lon", F.lit(year).alias("year"), F.lit(month).alias("month")
     )
     by_area = with_area_id(static).select("area_id", *[_col(c) for c in static_columns], F.lit(True).alias("_static_hit"))
@@ -93,6 +94,8 @@ def assemble_month(
         blank = {"blank area_id": F.col("area_id") == ""}
         Q.require_single_month(scaffold, year, month, "scaffold")
         Q.require_zero(rows, blank, "scaffold")
+        unreadable = Q.as_int(panel, "year").isNull() | Q.as_int(panel, "month").isNull()
+        Q.require_zero(panel, {"unreadable year or month": unreadable}, "panel", non_empty=False)
         Q.require_unique(rows, ["area_id"], "scaffold")
         Q.require_zero(by_area, blank, "static features", non_empty=False)
         Q.require_unique(by_area, ["area_id"], "static features")

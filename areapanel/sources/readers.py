@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import RASTER_NAME_PATTERNS
-from ..functions.nulls import strip
+from ..functions.nulls import present, strip
 
 
 def read_panel(spark: SparkSession, path: str, numeric: Sequence[str] = (), integer: Sequence[str] = ()) -> DataFrame:
@@ -19,9 +19,9 @@ def read_panel(spark: SparkSession, path: str, numeric: Sequence[str] = (), inte
     df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
     return df.select(
         *[
-            F.col(f"`{c}`").try_cast("double").alias(c)
+            present(F.col(f"`{c}`").try_cast("double")).alias(c)
             if c in numeric
-            else F.col(f"`{c}`").try_cast("double").try_cast("int").alias(c)
+            else present(F.col(f"`{c}`").try_cast("double")).try_cast("int").alias(c)
             if c in integer
             else F.col(f"`{c}`")
             for c in df.columns
@@ -44,6 +44,10 @@ def union_extracts(parts: Iterable[DataFrame], columns: Sequence[str]) -> DataFr
     return united
 
 
+# Top-level members of a feature collection.
+COLLECTION_MEMBERS = ["type", "features", "name", "crs", "bbox"]
+
+
 def _year_from_path() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]{4})[^/]*$", 1).try_cast("int")
 
@@ -60,14 +64,23 @@ def combine_yearly(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         own = F.col("source_year").cast("int") if "source_year" in raw.columns else F.lit(None).cast("int")
         return named.withColumn("source_year", F.coalesce(own, F.col("_year"))).drop("_year")
     features = named.select(F.explode("features").alias("f"), "_year")
+    records = [c for c in raw.columns if c not in COLLECTION_MEMBERS]
     fields = features.schema["f"].dataType.fieldNames()
     properties = features.schema["f"].dataType["properties"].dataType.fieldNames() if "properties" in fields else []
     own = F.col("f.properties.source_year").cast("int") if "source_year" in properties else F.lit(None).cast("int")
-    return features.select(
+    from_features = features.select(
         *[F.col(f"f.`{c}`").alias(c) for c in fields if c != "properties"],
         *[F.col(f"f.properties.`{c}`").alias(c) for c in properties if c != "source_year"],
         F.coalesce(own, F.col("_year")).alias("source_year"),
     )
+    if not records:
+        return from_features
+    # Lists read together with collections: their records have no features.
+    given = F.col("source_year").try_cast("int") if "source_year" in records else F.lit(None).cast("int")
+    from_lists = named.where("features IS NULL").select(
+        *[F.col(f"`{c}`") for c in records if c != "source_year"], F.coalesce(given, F.col("_year")).alias("source_year")
+    )
+    return from_features.unionByName(from_lists, allowMissingColumns=True)
 
 
 _ZONE_SCHEMA = """
