@@ -14,7 +14,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import spans as sp
@@ -32,12 +31,10 @@ SAMPLE_KEYS = 1 << 15
 SLICE = 1 << 17
 """Windows handled at once, so that a very long text needs no more memory than a short one."""
 
-MATCHED = "group int, blob binary, gram binary, id long, mark long, start long"
+MATCHED = "group int, blob binary, across boolean"
 PACKED = "group int, blob binary"
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_MATCHED = pa.schema(
-    [("group", pa.int32()), ("blob", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("mark", pa.int64()), ("start", pa.int64())]
-)
+_MATCHED = pa.schema([("group", pa.int32()), ("blob", pa.binary()), ("across", pa.bool_())])
 _PACKED = pa.schema([("group", pa.int32()), ("blob", pa.binary())])
 
 
@@ -200,37 +197,37 @@ def _matcher(groups: int):
             first = start[span] + gone - offset[span]
             d, s, e = sp.covered_runs(doc[span], first, first + WINDOW)
             for group, at in sp.by_group((marks[d].astype(np.uint64) % np.uint64(groups)).astype(np.int64)):
-                yield sp.rows_batch(_MATCHED, [(group, sp.pack(ids[d[at]], marks[d[at]], s[at], e[at]), None, None, None, None)])
+                yield sp.rows_batch(_MATCHED, [(group, sp.pack(ids[d[at]], marks[d[at]], s[at], e[at]), False)])
         if hot.any():
             chosen = np.flatnonzero(hot)
             left = np.setdiff1d(sp.ragged(offset[chosen], windows[chosen]), gone, assume_unique=True)
             span = np.searchsorted(offset, left, "right") - 1
-            for at in range(0, len(left), 4096):
-                p, q = left[at : at + 4096], span[at : at + 4096]
-                grams = payload[p[:, None] + np.arange(WINDOW)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.nulls(len(p), pa.int32()),
-                        pa.nulls(len(p), pa.binary()),
-                        pa.array([g.tobytes() for g in grams], pa.binary()),
-                        pa.array(ids[doc[q]]),
-                        pa.array(marks[doc[q]]),
-                        pa.array(start[q] + p - offset[q]),
-                    ],
-                    schema=_MATCHED,
-                )
+            grams = payload[left[:, None] + np.arange(WINDOW)]
+            goal = (sp.gram_hashes(grams.T.astype(np.uint64) + np.uint64(1), WINDOW)[0] % np.uint64(groups)).astype(np.int64)
+            for group, at in sp.by_group(goal):
+                own, place = doc[span[at]], start[span[at]] + left[at] - offset[span[at]]
+                yield sp.rows_batch(_MATCHED, [(group, sp.pack(ids[own], marks[own], place, grams[at].reshape(-1)), True)])
 
     return match
 
 
-def _packer(groups: int):
-    def pack_runs(batches):
-        for batch in batches:
-            ids, marks, start = sp.columns_of(batch, "id", "mark", "start")
-            for group, at in sp.by_group((marks.astype(np.uint64) % np.uint64(groups)).astype(np.int64)):
-                yield sp.rows_batch(_PACKED, [(group, sp.pack(ids[at], marks[at], start[at], start[at] + WINDOW))])
+def _across(groups: int):
+    """The last compare: survivors of hot suffixes from all their buckets, equal windows side by side."""
 
-    return pack_runs
+    def compare(batches):
+        found = [sp.unpack(bytes(x)) for batch in batches for x in batch.column(1).to_pylist()]
+        if not found:
+            return
+        ids, marks, start, grams = (np.concatenate([f[i] for f in found]) for i in range(4))
+        _, number = np.unique(np.ascontiguousarray(grams).view(f"V{WINDOW}"), return_inverse=True)
+        least = np.full(number.max() + 1, sp.LAST, np.int64)
+        np.minimum.at(least, number, ids)
+        late = np.flatnonzero(ids > least[number])
+        for group, at in sp.by_group((marks[late].astype(np.uint64) % np.uint64(groups)).astype(np.int64)):
+            at = late[at]
+            yield sp.rows_batch(_PACKED, [(group, sp.pack(ids[at], marks[at], start[at], start[at] + WINDOW))])
+
+    return compare
 
 
 def pack_documents(groups: int):
@@ -301,10 +298,8 @@ def duplicate_runs(rows: DataFrame, total: int, parts: int) -> DataFrame:
     if not len(sp.hot_keys(split)):
         return matched.select("group", "blob")
     matched = cut_lineage(matched)
-    across = matched.where("gram IS NOT NULL").withColumn("least", F.min("id").over(W.partitionBy("gram"))).where("id > least")
-    return matched.where("gram IS NULL").select("group", "blob").unionByName(
-        across.select("id", "mark", "start").mapInArrow(_packer(parts), PACKED)
-    )
+    across = matched.where("across").select("group", "blob").repartitionById(parts, "group").mapInArrow(_across(parts), PACKED)
+    return matched.where("not across").select("group", "blob").unionByName(across)
 
 
 def suffix_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
