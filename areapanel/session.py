@@ -44,8 +44,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder all executors share; the files go when the tables that read them do."""
+    """Checkpoint into the folder all executors share; the files go when the tables that read them do.
+
+    Spark removes the shuffle files behind a cut once the driver has collected the plan that made
+    them. A driver with little to do hardly collects, so it is asked to after each cut.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    cut = df.checkpoint(eager=True)
+    context._jvm.System.gc()
+    return cut
