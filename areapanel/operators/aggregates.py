@@ -164,24 +164,42 @@ def moments(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return row.select(F.inline(long))
 
 
+def _between(low: float, high: float, part: float) -> float:
+    """Linear between two neighbours; infinite where one of them is, NaN between opposite infinities."""
+    if part == 0 or low == high:
+        return low
+    return low + (high - low) * part if math.isfinite(high - low) else low * (1 - part) + high * part
+
+
 def order_statistics(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int = 4096, settle: int = 4096
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], most_rows: int = 65_536, group: int = 32
 ) -> dict[str, list[float | None]]:
     """Exact quantiles (linear between ranks) of whole columns, without sorting or gathering them.
 
-    A sketch brackets each wanted rank and one counting pass places the bracket. Each further
-    pass counts values in equal-width buckets of the interval that still holds the rank, then
-    narrows the interval to one bucket. When it holds at most ``settle`` rows, or one value,
-    those give the exact answer. A pass moves at most ``buckets`` counts per column and rank;
-    hot values only raise a count.
+    Infinities are counted apart. A sketch brackets each wanted rank of the finite values and one
+    counting pass places the bracket. Each further pass counts values in equal-width buckets of the
+    interval that still holds the rank, then narrows the interval to one bucket, whose least and
+    greatest value fall apart in the next pass, so it ends. Intervals with few rows, or one value, give
+    the exact answer. Columns are taken ``group`` at a time; a pass returns about ``most_rows`` rows
+    in all, shared among the open intervals, and hot values only raise a count.
     """
-    numbers = {c: F.when(~F.isnan(_col(c).cast("double")), _col(c).cast("double")) for c in columns}
+    found: dict[str, list[float | None]] = {}
+    for k in range(0, len(columns), group):
+        found.update(_order_statistics(df, list(columns[k : k + group]), probabilities, most_rows))
+    return found
+
+
+def _order_statistics(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], most_rows: int) -> dict[str, list[float | None]]:
+    given = {c: _col(c).cast("double") for c in columns}
+    numbers = {c: F.when(F.abs(x) < F.lit(math.inf), x) for c, x in given.items()}
     slack = 4.0 / _SKETCH
     lows = [max(0.0, p - slack) for p in probabilities]
     highs = [min(1.0, p + slack) for p in probabilities]
     wide = df.agg(
         *[a for i, c in enumerate(columns) for a in (
             F.count(numbers[c]).alias(f"n{i}"),
+            F.count_if(given[c] == -math.inf).alias(f"least{i}"),
+            F.count_if(given[c] == math.inf).alias(f"most{i}"),
             F.min(numbers[c]).alias(f"lo{i}"),
             F.max(numbers[c]).alias(f"hi{i}"),
             F.percentile_approx(numbers[c], [*lows, *highs], _SKETCH).alias(f"q{i}"),
@@ -198,9 +216,14 @@ def order_statistics(
                 brackets.append(F.count_if(numbers[c].between(lo, hi)).alias(f"w{i}_{j}"))
     placed = df.agg(*brackets).first() if brackets else None
     for i, _ in enumerate(columns):
-        n = wide[f"n{i}"]
-        for j, p in enumerate(probabilities if n else []):
-            for rank in {math.floor(p * (n - 1)), math.ceil(p * (n - 1))}:
+        n, least = wide[f"n{i}"], wide[f"least{i}"]
+        every = least + n + wide[f"most{i}"]
+        for j, p in enumerate(probabilities if every else []):
+            for place in {math.floor(p * (every - 1)), math.ceil(p * (every - 1))}:
+                rank = place - least
+                if not 0 <= rank < n:
+                    wanted[i][rank] = {"lo": None, "hi": None, "value": -math.inf if rank < 0 else math.inf}
+                    continue
                 below, within = placed[f"b{i}_{j}"], placed[f"w{i}_{j}"]
                 if below <= rank < below + within:
                     lo, hi = wide[f"q{i}"][j], wide[f"q{i}"][len(probabilities) + j]
@@ -223,11 +246,15 @@ def order_statistics(
         if not groups:
             break
         slots = list(groups)
+        share = max(64, most_rows // len(slots))
         entries, touched = [], F.lit(False)
         for k, (i, lo, hi) in enumerate(slots):
             x = numbers[columns[i]]
-            small = groups[slots[k]][0]["state"]["rows"] <= settle
-            bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * buckets), F.lit(buckets - 1)).cast("int")
+            # Halves do not overflow; a width that vanishes holds a few values only.
+            width = hi / 2 - lo / 2
+            small = groups[slots[k]][0]["state"]["rows"] <= share or width == 0
+            step = F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width or 1.0) * share)
+            bucket = F.least(step, F.lit(share - 1)).cast("int")
             touched = touched | x.between(lo, hi)
             entries.append(
                 F.when(
@@ -253,14 +280,15 @@ def order_statistics(
                     seen += n
     result: dict[str, list[float | None]] = {}
     for i, c in enumerate(columns):
-        n, values = wide[f"n{i}"], []
+        least, values = wide[f"least{i}"], []
+        every = least + wide[f"n{i}"] + wide[f"most{i}"]
         for p in probabilities:
-            if not n:
+            if not every:
                 values.append(None)
                 continue
-            at = p * (n - 1)
-            low, high = wanted[i][math.floor(at)]["value"], wanted[i][math.ceil(at)]["value"]
-            values.append(low + (high - low) * (at - math.floor(at)))
+            at = p * (every - 1)
+            low, high = (wanted[i][place - least]["value"] for place in (math.floor(at), math.ceil(at)))
+            values.append(_between(low, high, at - math.floor(at)))
         result[c] = values
     return result
 

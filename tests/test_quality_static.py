@@ -56,7 +56,7 @@ def test_order_statistics_match_sorting(spark):
     data = [(rng.gauss(0, 1e6), float(rng.randint(0, 3)), 7.0 if i % 3 else rng.random()) for i in range(20_000)]
     df = spark.createDataFrame(data, "a double, b double, c double").withColumn("d", F.lit(None).cast("double"))
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = A.order_statistics(df, ["a", "b", "c", "d"], probs, buckets=64, settle=50)
+    got = A.order_statistics(df, ["a", "b", "c", "d"], probs, most_rows=64, group=2)
     for i, c in enumerate("abc"):
         values = sorted(r[i] for r in data)
         for p, q in zip(probs, got[c]):
@@ -67,6 +67,18 @@ def test_order_statistics_match_sorting(spark):
     assert A.medians(df, ["b"])["b"] == statistics.median(r[1] for r in data)
 
 
+def test_order_statistics_with_infinities(spark):
+    inf = float("inf")
+    values = [float(i) for i in range(5_000)] + [inf] * 5_000 + [-inf] * 2 + [float("nan")] + [1e308, -1e308, 5e-324]
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    ranked = sorted(v for v in values if v == v)
+    probs = [0.0, 0.25, 0.4, 0.75, 1.0]
+    want = [A._between(ranked[int(at)], ranked[min(int(at) + 1, len(ranked) - 1)], at - int(at)) for at in (p * (len(ranked) - 1) for p in probs)]
+    assert A.order_statistics(df, ["a"], probs, most_rows=64)["a"] == want
+    both = spark.createDataFrame([(inf,), (inf,)], "a double")
+    assert A.medians(both, ["a"])["a"] == inf
+
+
 def test_constant_columns(spark):
     df = spark.createDataFrame([(1, 2.0, None), (1, 3.0, None)], "same int, varies double, empty double")
     assert A.drop_constant_columns(df).columns == ["varies", "empty"]
