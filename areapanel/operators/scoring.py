@@ -26,31 +26,44 @@ def score(df: DataFrame, models: Mapping[str, Any], features: Sequence[str], kee
     closure and score Arrow batches where the rows already are; nothing is shuffled. A score
     that is not a finite number, or a wrong number of scores, fails the job.
     """
-    missing = [t for t in TARGETS if t not in models]
-    if missing:
-        raise ScoringError(f"missing required models: {', '.join(missing)}")
-    bad = [t for t in TARGETS if not hasattr(models[t], "predict")]
-    if bad:
-        raise ScoringError(f"models without predict(): {', '.join(bad)}")
-    fitted = {t: models[t] for t in TARGETS}
+    return score_all(df, {0: models}, features, keep).drop("_scope")
+
+
+def score_all(df: DataFrame, models: Mapping[int, Mapping[str, Any]], features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """As :func:`score` for several scopes, a row per input row and scope, with the scope as ``_scope``.
+
+    Every Arrow batch is read and shipped once and scored by all scopes' models.
+    """
+    fitted = {}
+    for scope, by_target in models.items():
+        missing = [t for t in TARGETS if t not in by_target]
+        if missing:
+            raise ScoringError(f"missing required models: {', '.join(missing)}")
+        bad = [t for t in TARGETS if not hasattr(by_target[t], "predict")]
+        if bad:
+            raise ScoringError(f"models without predict(): {', '.join(bad)}")
+        fitted[int(scope)] = {t: by_target[t] for t in TARGETS}
     names, kept = list(features), list(keep)
 
     # Nothing of this package is referenced inside, so workers need only the models' own code.
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = batch[kept].reset_index(drop=True)
-            for target, model in fitted.items():
-                raw = pd.Series(model.predict(batch[names])).reset_index(drop=True)
-                if len(raw) != len(batch):
-                    raise ValueError(f"model {target} score length {len(raw)} does not match {len(batch)} rows")
-                scores = pd.to_numeric(raw, errors="coerce").astype("float64")
-                if not scores.abs().lt(float("inf")).all():
-                    raise ValueError(f"model {target} scores must be numeric and finite")
-                out[target + "_score"] = scores
-            yield out
+            for scope, by_target in fitted.items():
+                out = batch[kept].reset_index(drop=True)
+                out["_scope"] = pd.Series([scope] * len(batch), dtype="int32")
+                for target, model in by_target.items():
+                    raw = pd.Series(model.predict(batch[names])).reset_index(drop=True)
+                    if len(raw) != len(batch):
+                        raise ValueError(f"model {target} score length {len(raw)} does not match {len(batch)} rows")
+                    scores = pd.to_numeric(raw, errors="coerce").astype("float64")
+                    if not scores.abs().lt(float("inf")).all():
+                        raise ValueError(f"model {target} scores must be numeric and finite")
+                    out[target + "_score"] = scores
+                yield out
 
     rows = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, *names])])
     fields = [rows.schema[c] for c in kept] + [T.StructField(c, T.DoubleType()) for c in SCORE_COLUMNS]
+    fields.insert(len(kept), T.StructField("_scope", T.IntegerType()))
     return rows.mapInPandas(run, T.StructType(fields))
 
 
@@ -104,14 +117,14 @@ def decode(scored: DataFrame, thresholds: Mapping[str, float] | None = None, pol
 
 
 def enrich(
-    predictions: DataFrame, feature_month: str, scope_months: int, model_package_id: str, source_input: str
+    predictions: DataFrame, feature_month: str, scope_months: int | Column, model_package_id: str, source_input: str
 ) -> DataFrame:
     """Periods, scope, model and source as columns; year and month from the feature month if absent."""
     year, month = (int(p) for p in feature_month.split("-"))
     extra = {
         "feature_period": F.lit(feature_month),
         "target_period": target_period(F.lit(feature_month), scope_months),
-        "scope_months": F.lit(int(scope_months)),
+        "scope_months": scope_months if isinstance(scope_months, Column) else F.lit(int(scope_months)),
         "model_package_id": F.lit(model_package_id),
         "source_input": F.lit(source_input),
     }
@@ -133,12 +146,6 @@ def score_scopes(
     thresholds: Mapping[str, float] | None = None,
     policy: str = "cummax",
 ) -> DataFrame:
-    """Predictions of every scope as one table."""
-    parts = [
-        enrich(decode(score(matrix, by_target, features, keep), thresholds, policy), feature_month, scope, model_package_id, source_input)
-        for scope, by_target in models.items()
-    ]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    return united
+    """Predictions of every scope as one table, from one pass over the matrix."""
+    decoded = decode(score_all(matrix, models, features, keep), thresholds, policy)
+    return enrich(decoded, feature_month, F.col("_scope"), model_package_id, source_input).drop("_scope")

@@ -37,6 +37,14 @@ def test_constant_models_decode(matrix):
     assert (row["phase2_worse_pred"], row["phase5_worse_pred"]) == (1, 0)
 
 
+def test_scopes_share_one_pass(matrix):
+    by = {s: models(0.8, 0.3 + s / 12, 0.1, 0.1) for s in (0, 6)}
+    out = M.score_scopes(matrix, by, ["feature"], ["area_id"], "2026-04", "pkg", "in", {"default": 0.5})
+    assert rows(out.where("area_id = 'A'"), "scope_months", "target_period", "overall_phase_pred") == [(0, "2026-04", 2), (6, "2026-10", 3)]
+    assert out.count() == 6 and "_scope" not in out.columns
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+
+
 def test_monotonicity(spark):
     scores = spark.createDataFrame([("A", 0.1, 0.8, 0.1, 0.1), ("B", 0.8, 0.8, 0.1, 0.1)], "area_id string, " + ", ".join(f"{t}_score double" for t in TARGETS))
     fixed = M.decode(scores, {"default": 0.5}, "cummax")
