@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.fixed import AREA_MONTH
+from ..functions.fixed import AREA_MONTH, LAND_SURFACE_BANDS
 from ..operators import dedup, joins, reshape, series
 from ..operators.aggregates import latest_month
 from ..operators.quality import universe
@@ -303,7 +303,9 @@ def u4_month_universe(spark, sf_dir):
 
 # ---- reshape -------------------------------------------------------------------------------------------
 
-_WIDE_MONTHS = [(1998, m) for m in range(1, 13)]
+#: Years of the given tables, and the month columns of a wide table.
+_YEARS = range(1995, 2002)
+_WIDE_MONTHS = [(y, m) for y in _YEARS for m in range(1, 13)]
 _WIDE_CELLS_SQL = ", ".join(
     f"CAST(sum(CASE WHEN year = {y} AND month = {m} THEN price_sum END) AS BIGINT) AS \"{y}_{m:02d}\"" for y, m in _WIDE_MONTHS
 )
@@ -325,7 +327,7 @@ def r5_long_to_wide(spark, sf_dir):
     "r1_wide_to_long",
     f"""
 WITH {MONTHLY_SQL}, ids AS (SELECT DISTINCT area_id FROM monthly),
-months AS (SELECT 1998 AS year, CAST(m AS INTEGER) AS month FROM range(1, 13) AS t(m))
+months AS (SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month FROM range(1995, 2002) AS a(y), range(1, 13) AS t(m))
 SELECT i.area_id, k.year, k.month, CAST(m.price_sum AS DOUBLE) AS price
 FROM ids i CROSS JOIN months k LEFT JOIN monthly m ON m.area_id = i.area_id AND m.year = k.year AND m.month = k.month""",
 )
@@ -351,11 +353,11 @@ def r2_selected_month(spark, sf_dir):
     f"""
 WITH {MONTHLY_SQL}
 SELECT CAST(area_id AS VARCHAR) AS country_code_3, year, CAST(sum(price_sum) AS DOUBLE) AS "CPI"
-FROM monthly WHERE year BETWEEN 1995 AND 2000 GROUP BY ALL""",
+FROM monthly GROUP BY ALL""",
 )
 def r3_year_unpivot(spark, sf_dir):
     """Year columns with a suffix to rows, nulls dropped."""
-    cells = [F.sum(F.when(F.col("year") == y, F.col("price_sum"))).alias(f"{y} [YR{y}]") for y in range(1995, 2001)]
+    cells = [F.sum(F.when(F.col("year") == y, F.col("price_sum"))).alias(f"{y} [YR{y}]") for y in _YEARS]
     wide = monthly_orders(spark, sf_dir).groupBy(F.col("area_id").cast("string").alias("Country Code")).agg(*cells)
     texts = {c: F.lit("x") for c in ("Country Name", "Series Name", "Series Code")}
     return indicator(wide.withColumns(texts), "CPI")
@@ -364,44 +366,43 @@ def r3_year_unpivot(spark, sf_dir):
 _BANDS_SQL = """
 bands AS (
   SELECT l_suppkey AS region_id, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month, l_linenumber AS b,
-         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS q FROM lineitem WHERE year(l_shipdate) IN (1996, 1997) GROUP BY ALL)"""
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS q FROM lineitem GROUP BY ALL)"""
+_BANDS = range(1, 8)
 
 
 @query(
     "r4_band_pivot",
     f"""
 WITH {_BANDS_SQL}, ids AS (SELECT DISTINCT region_id, year FROM bands), months AS (SELECT CAST(m AS INTEGER) AS month FROM range(1, 13) AS t(m))
-SELECT i.region_id AS area_id, i.year, k.month, CAST(sum(q) FILTER (b = 1) AS DOUBLE) AS x_B1, CAST(sum(q) FILTER (b = 2) AS DOUBLE) AS x_B2,
-       CAST(sum(q) FILTER (b = 3) AS DOUBLE) AS x_B3
+SELECT i.region_id AS area_id, i.year, k.month, {", ".join(f"CAST(sum(q) FILTER (b = {b}) AS DOUBLE) AS x_B{b}" for b in _BANDS)}
 FROM ids i CROSS JOIN months k LEFT JOIN bands s ON s.region_id = i.region_id AND s.year = i.year AND s.month = k.month
 GROUP BY ALL""",
 )
 def r4_band_pivot(spark, sf_dir):
-    """Two wide extracts with month and band columns, united as one long table with band columns."""
+    """A wide extract a year with month and band columns, united as one long table with band columns."""
     line = table(spark, sf_dir, "lineitem")
 
     def part(y):
         cells = [
             F.sum(F.when((F.month("l_shipdate") == m) & (F.col("l_linenumber") == b), F.col("l_quantity").cast("bigint"))).alias(f"{y}_{m:02d}_B{b}")
             for m in range(1, 13)
-            for b in (1, 2, 3)
+            for b in _BANDS
         ]
         return line.where(F.year("l_shipdate") == y).groupBy(F.col("l_suppkey").alias("region_id")).agg(*cells)
 
-    return reshape.bands_to_long([part(1996), part(1997)], "x")
+    return reshape.bands_to_long([part(y) for y in _YEARS], "x")
 
 
 @query(
     "r4_bands_to_columns",
     f"""
 WITH {_BANDS_SQL}
-SELECT region_id AS area_id, year, month, CAST(max(q) FILTER (b = 1) AS BIGINT) AS "B1", CAST(max(q) FILTER (b = 2) AS BIGINT) AS "B2" FROM bands GROUP BY ALL""",
+SELECT region_id AS area_id, year, month, {", ".join(f'CAST(max(q) FILTER (b = {b}) AS BIGINT) AS "B{b}"' for b in _BANDS)} FROM bands GROUP BY ALL""",
 )
 def r4_bands_to_columns(spark, sf_dir):
     """Band rows to band columns from an explicit band list."""
     rows = (
         table(spark, sf_dir, "lineitem")
-        .where(F.year("l_shipdate").isin(1996, 1997))
         .groupBy(
             F.col("l_suppkey").alias("area_id"),
             F.year("l_shipdate").alias("year"),
@@ -410,7 +411,7 @@ def r4_bands_to_columns(spark, sf_dir):
         )
         .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
     )
-    return reshape.long_bands_to_columns(rows, "q", ["B1", "B2"])
+    return reshape.long_bands_to_columns(rows, "q", [f"B{b}" for b in _BANDS])
 
 
 @query(
@@ -596,22 +597,21 @@ def w10_surrogate(spark, sf_dir):
 # ---- band names, base-input gate ------------------------------------------------------------------------
 
 
-@query(
-    "p21_band_names",
-    """
-SELECT l_suppkey AS region_id, CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 1) AS BIGINT) AS "Evap_tavg_mean",
-       round(stddev_pop(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 1), 4) AS "Evap_tavg_stdDev",
-       CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = 2) AS BIGINT) AS "LWdown_f_tavg_mean"
-FROM lineitem GROUP BY ALL""",
+_QUANTITY_SQL = "(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber = {b})"
+_NAMED_SQL = ", ".join(
+    f'CAST(sum{_QUANTITY_SQL.format(b=b)} AS BIGINT) AS "{name}_mean", round(stddev_pop{_QUANTITY_SQL.format(b=b)}, 4) AS "{name}_stdDev"'
+    for b, name in zip(_BANDS, LAND_SURFACE_BANDS)
 )
+
+
+@query("p21_band_names", f"SELECT l_suppkey AS region_id, {_NAMED_SQL} FROM lineitem GROUP BY ALL")
 def p21_band_names(spark, sf_dir):
     """Band columns to variable names by position."""
-    quantity = F.col("l_quantity").cast("bigint")
-    first, second = (F.when(F.col("l_linenumber") == b, quantity) for b in (1, 2))
-    bands = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("region_id")).agg(
-        F.sum(first).alias("B1_x"), F.round(F.stddev_pop(first), 4).alias("B1_y"), F.sum(second).alias("B2_x")
-    )
-    return reshape.rename_bands(bands)
+    cells = []
+    for b in _BANDS:
+        value = F.when(F.col("l_linenumber") == b, F.col("l_quantity").cast("bigint"))
+        cells += [F.sum(value).alias(f"B{b}_x"), F.round(F.stddev_pop(value), 4).alias(f"B{b}_y")]
+    return reshape.rename_bands(table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("region_id")).agg(*cells))
 
 
 @query(
