@@ -12,11 +12,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import spans as sp
 from .common import cut_lineage, partitions, text_bytes
+from .lattice import MARK, STOP, Lattice, Pieces, edges, endings, forward  # noqa: F401
 from .suffix_dedup import PACKED, keyed, pack_documents
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -27,9 +29,6 @@ BLOCK_BYTES = 16 << 20
 END = b" "
 """The end of a text among the words; no word holds a space."""
 
-STOP = " </s>"
-"""The end among the pieces. Like the bytes it is named with a space, so that no word holds its name."""
-MARK = "▁"
 REPORT = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
@@ -39,7 +38,6 @@ _REPORT = pa.schema(
 )
 _COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 _ASKED = pa.schema([("group", pa.int32()), ("word", pa.binary())])
-Pieces = dict[str, float]
 
 
 def held_out(doc_id: int) -> bool:
@@ -66,73 +64,6 @@ def read_vocabulary(path: str = VOCABULARY) -> Pieces:
     return pieces
 
 
-def endings(pieces: Pieces) -> dict[str, float | None]:
-    """Every piece with its weight, and every ending of one that is no piece itself with None.
-
-    A search for the pieces that end at a place stops at the first text that no piece ends with.
-    """
-    known: dict[str, float | None] = {piece[at:]: None for piece in pieces for at in range(1, len(piece))}
-    return known | pieces
-
-
-def spelled(character: str) -> list[str]:
-    """The byte pieces of a character that is no piece."""
-    return [f" <0x{b:02X}>" for b in character.encode()]
-
-
-def edges(word: str, known: dict[str, float | None]) -> list[list[tuple[int, float]]]:
-    """For each place of the word, where the pieces that end there begin, and their weights."""
-    text = MARK + word
-    ending: list[list[tuple[int, float]]] = [[]]
-    for end in range(1, len(text) + 1):
-        here = []
-        for begin in range(end - 1, -1, -1):
-            weight = known.get(text[begin:end], STOP)
-            if weight.__class__ is float:
-                here.append((begin, weight))
-            elif begin == end - 1:
-                here.append((begin, sum([known[x] for x in spelled(text[begin])])))
-            if weight is STOP:
-                break
-        ending.append(here)
-    return ending
-
-
-def log_sum(terms: list[float]) -> float:
-    if len(terms) == 1:
-        return terms[0]
-    top = max(terms)
-    return top + math.log(sum([math.exp(t - top) for t in terms]))
-
-
-def forward(ending) -> list[float]:
-    """Log-likelihood of every beginning of a word, over all its segmentations."""
-    alpha = [0.0]
-    for here in ending[1:]:
-        alpha.append(log_sum([alpha[begin] + weight for begin, weight in here]))
-    return alpha
-
-
-def expected_pieces(word: str, times: float, known: dict[str, float | None], into: Counter) -> None:
-    """Adds the expected number of each piece over all segmentations of a word."""
-    text = MARK + word
-    ending = edges(word, known)
-    alpha = forward(ending)
-    behind: list[list[float]] = [[] for _ in ending]
-    behind[-1].append(0.0)
-    for end in range(len(text), 0, -1):
-        beta = log_sum(behind[end])
-        for begin, weight in ending[end]:
-            behind[begin].append(weight + beta)
-            share = times * math.exp(alpha[begin] + weight + beta - alpha[-1])
-            piece = text[begin:end]
-            if end - begin > 1 or known.get(piece) is not None:
-                into[piece] += share
-            else:
-                for name in spelled(piece):
-                    into[name] += share
-
-
 HELD_WORDS = 1 << 17
 """Distinct words a task holds before it passes its counts on."""
 
@@ -174,17 +105,19 @@ def learned_pieces(words: DataFrame, vocabulary: Pieces) -> Pieces:
 
     What comes back is bounded by the vocabulary. Each piece starts with a count of one.
     """
-    known = endings(vocabulary)
+    lattice = Lattice(vocabulary)
 
     def expect(batches):
+        counts, others = np.zeros(len(lattice.names)), Counter()
         for batch in batches:
-            into: Counter = Counter()
-            for word, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if word == END:
-                    into[STOP] += times
-                else:
-                    expected_pieces(word.decode(errors="replace"), times, known, into)
-            yield pa.RecordBatch.from_arrays([pa.array(list(into)), pa.array(list(into.values()), pa.float64())], names=["piece", "n"])
+            words, times = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
+            of_ends = pc.equal(words, pa.scalar(END, words.type)).to_numpy(zero_copy_only=False)
+            others[STOP] += float(times[of_ends].sum())
+            texts = [w.decode(errors="replace") for w in words.filter(pa.array(~of_ends)).to_pylist()]
+            lattice.expected(texts, times[~of_ends], counts, others)
+        for at in np.flatnonzero(counts).tolist():
+            others[lattice.names[at]] += float(counts[at])
+        yield pa.RecordBatch.from_arrays([pa.array(list(others), pa.string()), pa.array(list(others.values()), pa.float64())], names=["piece", "n"])
 
     found = words.where("n > 0").mapInArrow(expect, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
     counts = {piece: 1.0 for piece in vocabulary}
@@ -196,17 +129,14 @@ def learned_pieces(words: DataFrame, vocabulary: Pieces) -> Pieces:
 
 def scored_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     """(word, n, log10 of its marginal probability)."""
-    known = endings(pieces)
+    lattice = Lattice(pieces)
 
     def score(batches):
         for batch in batches:
-            logs = [
-                pieces[STOP] if w == END else forward(edges(w.decode(errors="replace"), known))[-1]
-                for w in batch.column(0).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.array(logs, np.float64) / math.log(10.0))], names=["word", "n", "log"]
-            )
+            words = batch.column(0)
+            logs = lattice.likelihoods([w.decode(errors="replace") for w in words.to_pylist()])
+            logs[pc.equal(words, pa.scalar(END, words.type)).to_numpy(zero_copy_only=False)] = pieces[STOP]
+            yield pa.RecordBatch.from_arrays([words, batch.column(1), pa.array(logs / math.log(10.0))], names=["word", "n", "log"])
 
     return words.mapInArrow(score, "word binary, n long, log double")
 
