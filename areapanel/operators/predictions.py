@@ -128,9 +128,22 @@ def regression_diff(predictions: DataFrame, reference: DataFrame) -> DataFrame:
     return summed.select("scope_months", F.inline(F.array(*rows))).where(F.col("mismatch_count") > 0)
 
 
-def require_no_regression(predictions: DataFrame, reference: DataFrame) -> list[dict]:
-    """Same keys and equal exact columns, or raise; returns the advisory score differences."""
+def require_no_regression(
+    predictions: DataFrame, reference: DataFrame, feature_month: str | None = None, scopes: Sequence[int] = SCOPES
+) -> list[dict]:
+    """Same keys and equal exact columns, or raise; returns the advisory score differences.
+
+    The reference must itself hold the contract with every scope, so two equally incomplete tables
+    do not pass. Its month is that of the predictions unless one is named.
+    """
+    require_columns(reference, PREDICTION_COLUMNS, "reference prediction")
     require_same_universe(predictions, reference, [*AREA_MONTH, "scope_months"], "reference prediction")
+    if feature_month is None:
+        row = predictions.select("feature_period").first()
+        if row is None:
+            raise QualityError("prediction has no rows")
+        feature_month = row["feature_period"]
+    require_prediction_contract(reference, feature_month, scopes=scopes)
     rows = [r.asDict() for r in regression_diff(predictions, reference).collect()]
     hard = [r for r in rows if r["kind"] == "hard"]
     if hard:

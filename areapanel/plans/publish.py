@@ -23,10 +23,49 @@ _MANIFEST = (
 )
 
 
+#: Reports that must have passed before a release, and those that may have passed with warnings.
+REQUIRED_PASSED = ("base_input", "inference")
+MAY_WARN = ("zonal",)
+_CLAIM = "feature_month string, generation int, publication string"
+
+
 class ReleaseConflict(RuntimeError):
     """Another run published in between, or this run id is taken."""
 
 
+def require_statuses(statuses: Mapping[str, str] | None) -> None:
+    """Base input and inference passed; any other report passed, the zonal one perhaps with warnings."""
+    given = {name: "absent" for name in REQUIRED_PASSED} | dict(statuses or {})
+    failed = {k: v for k, v in given.items() if v != "passed" and not (k in MAY_WARN and v == "passed_with_warnings")}
+    if failed:
+        raise QualityError(f"reports not passed: {failed}")
+
+
+def _claims(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.option("recursiveFileLookup", "true").schema(_CLAIM).json(f"{root}/claims")
+    except AnalysisException:
+        return None
+
+
+def _latest(rows: DataFrame | None, feature_month: str) -> int:
+    if rows is None:
+        return 0
+    return rows.where(F.col("feature_month") == feature_month).agg(F.max("generation").alias("g")).first()["g"] or 0
+
+
+def claim_generation(spark: SparkSession, root: str, feature_month: str, generation: int, publication: str) -> None:
+    """Write a claim in a folder of its own, then read all: whoever sees another's claim gives way.
+
+    Of two publishers at least one reads after both have written, so both never go on. If both
+    see each other, both raise and the generation stays unused.
+    """
+    spark.createDataFrame([(feature_month, generation, publication)], _CLAIM).write.json(f"{root}/claims/{publication}")
+    same = (F.col("feature_month") == feature_month) & (F.col("generation") == generation)
+    if _claims(spark, root).where(same & (F.col("publication") != publication)).limit(1).count():
+        raise ReleaseConflict(f"generation {generation} of {feature_month} is claimed by another run")
+
+
 def _manifests(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(_MANIFEST).json(f"{root}/manifest")
@@ -71,22 +110,17 @@ def publish_month(
     """Run every gate, copy the artefacts into ``runs/{run_id}``, then append the manifest row.
 
     Readers start from the manifest, so an interrupted run is never visible. A run id can be
-    used once. If two runs race for one generation the first row wins and the other raises.
+    used once. If two runs race for one generation, at most one returns and any other raises.
+    ``statuses`` must name ``base_input`` and ``inference`` as passed.
     """
-    failed = {k: v for k, v in (statuses or {}).items() if v not in ("passed", "passed_with_warnings")}
-    if failed:
-        raise QualityError(f"reports not passed: {failed}")
+    require_statuses(statuses)
     year, month = (int(p) for p in feature_month.split("-"))
     # Computed once: the gates see the very rows that are written, and scoring runs only once.
     base, predictions = cut_lineage(base), cut_lineage(predictions)
     validate_base_input(base, scaffold, year, month)
     require_prediction_contract(predictions, feature_month, base, model_package_id, scopes)
 
-    history = _manifests(spark, root)
-    previous = None
-    if history is not None:
-        previous = history.where(F.col("feature_month") == feature_month).agg(F.max("generation").alias("g")).first()["g"]
-    generation = (previous or 0) + 1
+    generation = 1 + max(_latest(_manifests(spark, root), feature_month), _latest(_claims(spark, root), feature_month))
     target = f"{root}/runs/{run_id}"
     try:
         write_table(base, f"{target}/base_input")
@@ -108,6 +142,7 @@ def publish_month(
     files = spark.read.parquet(f"{root}/checksums/{run_id}").agg(
         F.count(F.lit(1)).cast("int").alias("files"), F.sum("length").alias("bytes")
     )
+    claim_generation(spark, root, feature_month, generation, publication)
     files.select(
         F.lit(feature_month).alias("feature_month"),
         F.lit(run_id).alias("run_id"),

@@ -229,3 +229,9 @@ def test_regression_diff(predicted):
         P.require_no_regression(table, table.withColumn("overall_phase_pred", F.lit(5)))
     with pytest.raises(QualityError, match="universe"):
         P.require_no_regression(table, table.where("area_id <> 'A'"))
+    one_scope = table.where("scope_months = 6")
+    with pytest.raises(QualityError, match="missing prediction scopes"):
+        P.require_no_regression(one_scope, one_scope)
+    broken = table.withColumn("overall_phase_pred", F.lit(9))
+    with pytest.raises(QualityError, match="bad_overall_phase_pred"):
+        P.require_no_regression(broken, broken)

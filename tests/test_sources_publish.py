@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from areapanel.operators.quality import QualityError
 from areapanel.operators.scoring import decode, enrich
 from areapanel.functions.fixed import TARGETS
+from areapanel.plans import publish as publish_plan
 from areapanel.plans.publish import ReleaseConflict, manifest_history, publish_month, read_current
 from areapanel.sources import lineage, readers, sinks
 from conftest import rows
@@ -82,13 +83,36 @@ def release(spark):
     return base, parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+PASSED = {"base_input": "passed", "inference": "passed"}
+
+
+def test_two_publishers_never_both_return(spark, release, tmp_path, monkeypatch):
+    base, predictions = release
+    root = str(tmp_path / "release")
+
+    def publish(run):
+        return publish_month(spark, root, run, "2026-04", base, base, predictions, "model", statuses=PASSED)
+
+    def rival(*args):
+        monkeypatch.setattr(publish_plan, "file_lineage", lineage.file_lineage)
+        won.append(publish("rival"))
+        return lineage.file_lineage(*args)
+
+    won: list[dict] = []
+    monkeypatch.setattr(publish_plan, "file_lineage", rival)
+    with pytest.raises(ReleaseConflict, match="claimed"):
+        publish("late")
+    assert [w["run_id"] for w in won] == ["rival"] == [read_current(spark, root, "2026-04")["run_id"]]
+    assert publish("next")["generation"] == 2
+
+
 def test_publish(spark, release, tmp_path):
     base, predictions = release
     root = str(tmp_path / "release")
     report = base.select(F.lit("passed").alias("status")).limit(1)
 
     def publish(run, **changes):
-        given = {"base": base, "predictions": predictions, "statuses": {"zonal": "passed_with_warnings"}} | changes
+        given = {"base": base, "predictions": predictions, "statuses": PASSED | {"zonal": "passed_with_warnings"}} | changes
         return publish_month(spark, root, run, "2026-04", scaffold=base, model_package_id="model", reports={"qa": report}, **given)
 
     with pytest.raises(QualityError):
@@ -99,7 +123,10 @@ def test_publish(spark, release, tmp_path):
     with pytest.raises(ReleaseConflict):
         publish("run-1")
     for broken in (
-        {"statuses": {"zonal": "failed"}},
+        {"statuses": PASSED | {"zonal": "failed"}},
+        {"statuses": PASSED | {"inference": "passed_with_warnings"}},
+        {"statuses": {"inference": "passed"}},
+        {"statuses": None},
         {"base": base.where("area_id = '1'")},
         {"predictions": predictions.withColumn("overall_phase_pred", F.lit(7))},
     ):
