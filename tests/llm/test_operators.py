@@ -18,6 +18,7 @@ from areapanel.llm.de_bruijn_dedup import de_bruijn_dedup  # noqa: E402
 from areapanel.llm.decontamination import decontaminate, overlaps  # noqa: E402
 from areapanel.llm.jaccard_join import jaccard_join, keep_one_of_each  # noqa: E402
 from areapanel.llm.language_id import language_id  # noqa: E402
+from areapanel.llm.lattice import expected_pieces  # noqa: E402
 from areapanel.llm.mixing import mix, mixing_report  # noqa: E402
 from areapanel.llm.quality_rules import quality_rules  # noqa: E402
 from areapanel.llm.secret_scan import RULES, brute_spans, secret_scan  # noqa: E402
@@ -120,10 +121,22 @@ def test_scores(docs):
             counts.update(words)
     n, v = sum(counts.values()), len(counts)
     want = {i: sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words) for i, words in texts}
+    vocabulary = lm.read_vocabulary()
+    known, expected = lm.endings(vocabulary), Counter(dict.fromkeys(vocabulary, 1.0))
+    expected[lm.STOP] += counts[lm.END]
+    for word, times in counts.items():
+        if word != lm.END:
+            expected_pieces(word.decode(errors="replace"), times, known, expected)
+    total = math.fsum(expected.values())
+    pieces = {piece: math.log(c / total) for piece, c in expected.items()}
+    known, logs = lm.endings(pieces), {lm.END: pieces[lm.STOP]}
+    for word in {w for _, words in texts for w in words} - {lm.END}:
+        logs[word] = lm.forward(lm.edges(word.decode(errors="replace"), known))[-1]
+    score = {i: sum(logs[w] for w in words) / math.log(10) for i, words in texts}
     for r in lm.lm_scoring(docs, block_bytes=1 << 15).collect():
         assert r["train_tokens"] == n
         assert math.isclose(r["base_score"], want[r["doc_id"]], rel_tol=1e-9)
-        assert r["score"] < 0
+        assert math.isclose(r["score"], score[r["doc_id"]], rel_tol=1e-9)
 
 
 def test_lattice_sums_all_segmentations():
