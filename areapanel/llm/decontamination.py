@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ MASKS = ("1111", "1101001", "1010101")
 LONG = 15
 """Words from which on an item is sure to meet one of MASKS; shorter ones can slip through (11011100110111)."""
 
+#: Words of shorter items, from and to, and the masks that they are sure to meet.
+SHORT_MASKS = ((1, 1, ("1",)), (2, 2, ("11",)), (3, LONG - 1, ("111", "1101", "1011")))
+
 SHARE = 70
 """Per cent of an item's words that must stand at their places in a document."""
 
@@ -54,12 +58,30 @@ def seeds(texts: DataFrame, key: str, masks: Sequence[str] = MASKS) -> DataFrame
     return places.select(key, "place", F.explode(F.array(*hashed)).alias("seed")).where("seed IS NOT NULL")
 
 
+def masks_by_size(benchmark: DataFrame, masks: Sequence[str] = MASKS) -> list[tuple[int, int | None, Sequence[str]]]:
+    """(least words, most words, masks) of the sizes that the benchmark has items of, so that documents get no other seeds."""
+    kinds = [*SHORT_MASKS, (LONG, None, masks)]
+    size = F.size(plain_words(F.col("text")))
+    has = benchmark.agg(*[F.max(_between(size, low, high)).alias(f"_{k}") for k, (low, high, _) in enumerate(kinds)]).first()
+    return [kind for kind, there in zip(kinds, has) if there]
+
+
+def _between(size: Column, low: int, high: int | None) -> Column:
+    return size >= low if high is None else size.between(low, high)
+
+
 def seed_hits(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
     """(doc_id, item_id, lag): where seeds meet, and how far the document's place is ahead of the item's."""
-    wanted = seeds(benchmark.select("item_id", "text"), "item_id", masks).select("item_id", F.col("place").alias("_place"), "seed").distinct()
+    kinds = masks_by_size(benchmark, masks)
+    size = F.size(plain_words(F.col("text")))
+    parts = [seeds(benchmark.where(_between(size, low, high)).select("item_id", "text"), "item_id", own) for low, high, own in kinds]
+    # A benchmark without words has no seeds; its texts stand in for the empty table.
+    wanted = reduce(DataFrame.unionAll, parts) if parts else seeds(benchmark.select("item_id", "text"), "item_id", masks)
+    wanted = wanted.select("item_id", F.col("place").alias("_place"), "seed").distinct()
     if wanted.count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)
-    met = seeds(docs.select("doc_id", "text"), "doc_id", masks).join(wanted, "seed")
+    every = list(dict.fromkeys(mask for _, _, own in kinds for mask in own)) or masks
+    met = seeds(docs.select("doc_id", "text"), "doc_id", every).join(wanted, "seed")
     return met.select("doc_id", "item_id", (F.col("place") - F.col("_place")).alias("lag")).distinct()
 
 
@@ -68,9 +90,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS
 
     At a hit the whole item is laid along the document and words at equal places are counted; words
     may be replaced in between. One row per document and item, the best alignment, first on ties. MASKS
-    miss no alignment with SHARE or a RUN of items of LONG words or more; they promise nothing below these
-    bounds or for shorter items. Null and empty texts have no seeds. Rows that share a doc_id are one
-    document; null ids meet null ids. Other columns are ignored.
+    for items of LONG words or more, and SHORT_MASKS for the others, miss no alignment with SHARE or a RUN;
+    they promise nothing below these bounds. Null and empty texts have no seeds. Rows that share a doc_id
+    are one document; null ids meet null ids. Other columns are ignored.
     """
     hits = seed_hits(docs, benchmark, masks).select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), "lag")
     texts = docs.select("doc_id", F.col("text").alias("_text"))

@@ -27,6 +27,8 @@ def brute(docs, bench):
     out = {}
     for (d, text), (i, item) in product(docs, bench):
         have, want = words(text), words(item)
+        if not want:
+            continue
         for lag in range(1 - len(want), len(have)):
             same = [0 <= j + lag < len(have) and have[j + lag] == w for j, w in enumerate(want)]
             run = longest_run(same)
@@ -90,3 +92,23 @@ def test_replaced_words(spark):
     right = brute(docs, bench)
     assert found(spark, docs, bench) == right
     assert {d for d, *_ in right} >= {5000 + 5, 5000 + 9}
+
+
+def test_short_masks_meet_every_share():
+    for low, high, masks in D.SHORT_MASKS:
+        most = most_unseen(masks, high)
+        assert all(100 * most[n] < D.SHARE * n for n in range(low, high + 1))
+    assert [kind[0] for kind in D.SHORT_MASKS] == [1, 2, 3] and D.SHORT_MASKS[-1][1] + 1 == D.LONG
+
+
+def test_short_items(spark):
+    bench = [(n, " ".join(f"i{n}w{j}" for j in range(n))) for n in range(1, 17)] + [(99, None), (98, " ,. ")]
+    docs = [(1000 * n, item) for n, item in bench if n < 98] + [(7, None), (8, "of nothing")]
+    for n, item in bench[:16]:
+        docs.append((1000 * n + 500, f"before, {item} after"))
+        # Every way to replace one word, and two.
+        pairs = [{a, b} for a in range(n) for b in range(a, n)]
+        docs += [(1000 * n + 1 + k, "x " + changed(item, [j not in gone for j in range(n)])) for k, gone in enumerate(pairs)]
+    right = brute(docs, bench)
+    assert found(spark, docs, bench) == right
+    assert {(1000 * n, n) for n in range(1, 17)} <= {r[:2] for r in right}
