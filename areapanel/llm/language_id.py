@@ -14,7 +14,7 @@ FOLDS = 3
 
 SAMPLE_DOCS = 48
 SAMPLE_CHARS = 400
-"""The bounded sample each language is learned from: so many documents, so many characters of each."""
+"""The bounded sample each language is learned from: so many different texts, so many characters of each."""
 
 LANGUAGES = 64
 """Languages learned at most, the most frequent first; bounds what is sent to the tasks."""
@@ -99,17 +99,19 @@ def training_text(docs: DataFrame) -> dict[str, str]:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(fold != HELD_OUT, F.lit(True)))
     common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select(F.col("lang").alias("_lang"))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("text"), "doc_id")
-    # Spark limits each partition to the first rows per language before the shuffle.
+    start = F.substring("text", 1, SAMPLE_CHARS)
+    starts = labelled.select("lang", F.xxhash64(start).alias("mark"), start.alias("text"))
+    # Copies are one text: only hashes are shuffled to rank them, then the few picked texts are read.
+    order = W.partitionBy("lang").orderBy("mark")
+    ranked = starts.select("lang", "mark").distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS)
+    wanted = ranked.join(common, F.col("lang") == F.col("_lang"), "left_semi").select(F.col("lang").alias("_lang"), F.col("mark").alias("_mark"))
     picked = (
-        labelled.select("lang", "doc_id", "text")
-        .withColumn("nth", F.row_number().over(order))
-        .where(F.col("nth") <= SAMPLE_DOCS)
-        .join(common, F.col("lang") == F.col("_lang"), "left_semi")
-        .select("lang", "nth", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        starts.join(F.broadcast(wanted), (F.col("lang") == F.col("_lang")) & (F.col("mark") == F.col("_mark")), "left_semi")
+        .groupBy("lang", "mark")
+        .agg(F.min("text").alias("text"))
     )
     texts: dict[str, list[str]] = {}
-    for row in sorted(picked.collect(), key=lambda r: (r["lang"], r["nth"])):
+    for row in sorted(picked.collect(), key=lambda r: (r["lang"], r["mark"])):
         texts.setdefault(row["lang"], []).append(normal(row["text"]))
     return {k: " ".join(v) for k, v in texts.items() if any(v)}
 
