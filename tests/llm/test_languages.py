@@ -25,3 +25,38 @@ def test_copies_are_one_text(spark):
     sample = L.training_text(spark.createDataFrame(copies + others, KIND))["xx"].split()
     # All 48 places hold texts that differ.
     assert len(sample) == 2 * L.SAMPLE_DOCS and len(set(sample)) == L.SAMPLE_DOCS + 2
+
+
+def many_languages(n):
+    """Documents of n languages, each with letters of its own."""
+    out = []
+    for k in range(n):
+        letters = [chr(0x4E00 + 20 * k + j) for j in range(20)]
+        text = [" ".join(spelled(7 * d + 13 * j + 400, letters) for j in range(12)) for d in range(6)]
+        out += [(100 * k + d, f"l{k:03d}", t) for d, t in enumerate(text)]
+    return out
+
+
+def test_every_label_is_learned(spark):
+    rows = many_languages(70)
+    docs = spark.createDataFrame(rows, KIND)
+    said = {r["doc_id"]: r["lang_pred"] for r in L.language_id(docs).collect()}
+    assert said == {d: lang for d, lang, _ in rows}
+    assert L.keep_known(docs).count() == len(rows)
+
+
+def test_blocks_say_the_same(spark, monkeypatch):
+    rows = many_languages(6) + [(9001, None, None), (9002, "l000", " 12 "), (9002, "l000", "x"), (None, None, "the end")]
+    rows += [(8000, None, rows[0][2]), (8001, None, rows[0][2][:20] + rows[10][2][:30])]
+    docs = spark.createDataFrame(rows, KIND)
+
+    def told():
+        said = [(r["doc_id"], r["held_out"], r["lang_pred"], round(r["score"], 9), r["phrase_rate"]) for r in L.language_id(docs).collect()]
+        return sorted(said, key=str), sorted(L.keep_known(docs).collect(), key=str)
+
+    whole = told()
+    assert len(L.blocks(L.training_text(docs))) == 1
+    monkeypatch.setattr(L, "CELLS", 60_000)
+    assert 1 < len(L.blocks(L.training_text(docs))) < 7
+    assert told() == whole
+    assert {d for d, *_ in whole[1]} >= {8000} and len(whole[0]) == len(rows)
