@@ -290,19 +290,19 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 PHRASES_PER_CHAR = 0.6
-"""Texts that need more phrases even in the best language are none of the learned ones."""
+"""Texts that need more phrases after the first even in the best language are none of the learned ones."""
 
 
 def keep_known(docs: DataFrame, most: float = PHRASES_PER_CHAR) -> DataFrame:
     """``docs`` without the rows whose language is ``und`` or that are far from every learned one. No shuffle for one block of languages."""
     parts = blocks(training_text(docs.select("doc_id", "lang", "text")))
     if len(parts) > 1:
-        near = best_of_blocks(docs.select("text"), parts).where(F.col("phrases") <= most * F.col("n")).select(F.col("key").alias("_key"))
+        near = best_of_blocks(docs.select("text"), parts).where(F.col("phrases") - 1 <= most * F.col("n")).select(F.col("key").alias("_key"))
         return docs.join(near, text_key() == F.col("_key"), "left_semi")
     best = _best(_counter(parts[0]))
 
     def keep(batches):
         for batch in batches:
-            yield batch.filter(pa.array([bool(x) and x[3] <= most * x[4] for x in best(_texts_of(batch))], pa.bool_()))
+            yield batch.filter(pa.array([bool(x) and x[3] - 1 <= most * x[4] for x in best(_texts_of(batch))], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

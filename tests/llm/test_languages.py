@@ -60,3 +60,16 @@ def test_blocks_say_the_same(spark, monkeypatch):
     assert 1 < len(L.blocks(L.training_text(docs))) < 7
     assert told() == whole
     assert {d for d, *_ in whole[1]} >= {8000} and len(whole[0]) == len(rows)
+
+
+def test_short_clean_texts_stay(spark, monkeypatch):
+    rows = [(k, "en", "we all go to the sea and be as is one of a few " + spelled(k, "abcdefghij")) for k in range(30)]
+    short = ["a", "I", "to", "az", "the", "seg", "is it"]
+    foreign = ["ж", "жш", "жшю", "жшющ жшющ", "- 1 -", None]
+    asked = [(1000 + k, None, t) for k, t in enumerate(short)] + [(2000 + k, None, t) for k, t in enumerate(foreign)]
+    more = [(3000 + k, "de", "wir gehen alle an das meer " + spelled(k, "klmnopqrst")) for k in range(30)]
+    docs = spark.createDataFrame(rows + more + asked, KIND)
+    right = {d for d, _, _ in rows + more} | {1000 + k for k in range(len(short))}
+    assert {r["doc_id"] for r in L.keep_known(docs).collect()} == right
+    monkeypatch.setattr(L, "CELLS", 1)
+    assert {r["doc_id"] for r in L.keep_known(docs).collect()} == right
