@@ -126,7 +126,7 @@ def _deal(parts: int):
                 blob = sp.pack(
                     (name & np.uint64(0xFFFFFFFF)).astype(np.uint32),
                     (name >> np.uint64(32)).astype(np.uint16),
-                    np.minimum(sizes, 65535).astype(np.uint16),
+                    sizes.astype(np.uint32),
                     (tokens[at] >> np.uint64(32)).astype(np.uint32),
                 )
                 yield sp.rows_batch(_PACKED, [(group, blob)])
