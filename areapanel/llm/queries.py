@@ -10,7 +10,9 @@ from .jaccard_join import jaccard_join
 from .language_id import language_id
 from .lm_scoring import lm_scoring
 from .mixing import MIXING_SQL, mixing_report
+from .packing import pack
 from .quality_rules import quality_rules
+from .ranked_search import SEARCH_SQL, ranked_search
 from .secret_scan import secret_scan
 from .sharding import sharding
 from .suffix_dedup import suffix_dedup
@@ -76,3 +78,15 @@ def op6(spark, sf_dir):
 def op3(spark, sf_dir):
     """Shingles and component of every document."""
     return jaccard_join(documents(spark, sf_dir))
+
+
+@llm_query(query, "op11_packing")
+def op11(spark, sf_dir):
+    """Pieces of every document and the sequences they lie in."""
+    return pack(documents(spark, sf_dir))
+
+
+@llm_query(query, "op12_ranked_search", SEARCH_SQL)
+def op12(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
