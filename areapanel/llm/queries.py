@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..catalog import Registry
+from .collocations import COLLOCATIONS_SQL, collocations
 from .common import documents, llm_query
 from .de_bruijn_dedup import SUBSTRING_SQL, de_bruijn_dedup
 from .decontamination import overlaps
@@ -90,3 +91,9 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     """The ten best documents of every benchmark item."""
     return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@llm_query(query, "op13_collocations", COLLOCATIONS_SQL)
+def op13(spark, sf_dir):
+    """The best phrases of every language."""
+    return collocations(documents(spark, sf_dir))
