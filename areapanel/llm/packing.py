@@ -40,6 +40,9 @@ CHUNKS = 1 << 19
 CHUNK_BYTES = 64
 """Longer chunks are not remembered."""
 
+JOINED = 64
+"""Chunks given to the tokenizer as one text."""
+
 GRAPH = tk.byte_class((0x21, 0x7E))
 SPACE = tk.byte_class((0x09, 0x0D), (0x20, 0x20))
 PIECES = "part long, place long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -71,15 +74,30 @@ class Encoder:
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.known = Tokenizer.from_file(vocabulary), {}
+        names = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(names.values()) + 1, np.int64)
+        self.n_bytes[list(names.values())] = [len(name) for name in names]  # a character of a name is a byte of text
+
+    def encode(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each chunk. Chunks that may follow one another go in one text, whose ids are split by their bytes."""
+        texts = [b"".join(chunks[at : at + JOINED]).decode() for at in range(0, len(chunks), JOINED)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        ids = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(c) for c in chunks])) + 1 if chunks else []
+        packed, cuts = ids.tobytes(), [0, *(4 * np.asarray(ends, np.int64)).tolist()]
+        return [packed[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     def chunk_ids(self, chunks: list[bytes]) -> list[bytes]:
         if len(self.known) > CHUNKS:
             self.known.clear()
         out = [self.known.get(c) for c in chunks]
         missing = [i for i, ids in enumerate(out) if ids is None]
-        found = self.tokenizer.encode_batch([chunks[i].decode() for i in missing], add_special_tokens=False)
-        for i, encoded in zip(missing, found):
-            out[i] = np.array(encoded.ids, np.uint32).tobytes()
+        inner = [i for i in missing if chunks[i][:1] == b" " and 0x21 <= chunks[i][-1] <= 0x7E]
+        for i, ids in zip(inner, self.encode([chunks[i] for i in inner])):
+            out[i] = ids
+        for i in missing:
+            if out[i] is None:
+                out[i] = np.array(self.tokenizer.encode(chunks[i].decode(), add_special_tokens=False).ids, np.uint32).tobytes()
             if len(chunks[i]) <= CHUNK_BYTES:
                 self.known[chunks[i]] = out[i]
         return out
