@@ -34,7 +34,7 @@ WORD = ~(BREAK | tk.byte_class((0x09, 0x09), (0x20, 0x20)))
 FRONTIER = 1 << 16
 """Phrases grown or counted in one pass: what the driver and each task hold of them."""
 
-SHARES = (0.125, 0.3, 0.6, 1.0)
+SHARES = (0.3, 1.0)
 """Part of a language's frequent word occurrences whose words are first words after each round."""
 
 HELD = 1 << 22
@@ -110,7 +110,7 @@ class Corpus:
         )
         frequent = said.groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= support)
         numbered = with_row_ids(frequent, ["lang", "f", "word"], "gid", 1)
-        self.words = cut_lineage(numbered.select(F.col("gid").cast("int").alias("gid"), "lang", "word", "f"))
+        self.words = numbered.select(F.col("gid").cast("int").alias("gid"), "lang", "word", "f")
         found = said.join(self.words, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("code", "gid")).alias("found"))
         met = blocks.select("block", "lang", F.size("words").alias("n"), "codes").join(found, "block", "left")
         recoded = met.select("lang", "n", "codes", F.col("found.code").alias("code"), F.col("found.gid").alias("gid"))
@@ -224,13 +224,14 @@ def _rest(k: Column) -> list[Column]:
     return [F.element_at(padded, (k + i).cast("int")).alias(w) for i, w in enumerate(WORDS, 1)]
 
 
-def _sets(rows: list) -> tuple[dict[int, Phrases], list[tuple]]:
-    """Phrases of each size, and (size, number, words) of each."""
+def _sets(rows: list, *others: str) -> tuple[dict[int, Phrases], list[tuple]]:
+    """Phrases of each size, and (size, number, words and other columns) of each."""
     by_size: dict[int, list] = {}
     for r in rows:
-        by_size.setdefault(r["size"], []).append([r[w] for w in WORDS])
-    sets = {size: Phrases(np.array(found, np.int32)[:, :size]) for size, found in by_size.items()}
-    return sets, [(size, number, *words) for size, found in by_size.items() for number, words in enumerate(found)]
+        by_size.setdefault(r["size"], []).append(r)
+    sets = {size: Phrases(np.array([[r[w] for w in WORDS[:size]] for r in found], np.int32)) for size, found in by_size.items()}
+    names = [*WORDS, *others]
+    return sets, [(size, number, *[r[c] for c in names]) for size, found in by_size.items() for number, r in enumerate(found)]
 
 
 def _floor_score(a: Column, n: Column, l: Column, r: Column) -> Column:
@@ -284,9 +285,9 @@ class Miner:
             self.taken[lang] = at, mass
         return ranges
 
-    def extend(self, ranges: dict[str, tuple[int, int]], frontier: DataFrame | None) -> DataFrame:
+    def extend(self, ranges: dict[str, tuple[int, int]], frontier: list) -> DataFrame:
         """Phrases a word longer than the frontier's, with their counts, where they have the support."""
-        sets, numbered = _sets(frontier.collect()) if frontier is not None else ({}, [])
+        sets, numbered = _sets(frontier, "lang", "f1")
         counted = self.corpus.ids.mapInArrow(_extended(ranges, sets), COUNTED).groupBy("size", "key")
         sums = counted.agg(F.sum("a").alias("a"), F.min("prev").alias("low"), F.max("prev").alias("high")).where(F.col("a") >= self.support)
         last = F.col("key").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
@@ -294,42 +295,42 @@ class Miner:
             "size", F.shiftright("key", 32).cast("int").alias("number"), last.alias("last"), "a",
             ((F.col("low") == F.col("high")) & (F.col("low") > 0)).alias("left_same"),
         )
-        if frontier is None:
+        if not frontier:
             words = self.corpus.words.select(F.col("gid").alias("number"), "lang", F.col("f").alias("f1"))
             zero = [F.lit(0).alias(w) for w in WORDS[2:]]
             out = grown.join(words, "number").select(
                 "lang", "f1", F.col("number").alias("w1"), F.col("last").alias("w2"), *zero, F.lit(2).alias("size"), "a", "left_same"
             )
         else:
-            kind = "size int, number int, " + ", ".join(f"{w} int" for w in WORDS)
-            table = self.spark.createDataFrame(numbered, kind).join(frontier.select(*WORDS, "lang", "f1"), WORDS)
+            kind = "size int, number int, " + ", ".join(f"{w} int" for w in WORDS) + ", lang string, f1 long"
+            table = self.spark.createDataFrame(numbered, kind)
             words = [F.when(F.col("size") == i - 1, F.col("last")).otherwise(F.col(w)).alias(w) for i, w in enumerate(WORDS, 1)]
             out = grown.join(table, ["size", "number"]).select("lang", "f1", *words, (F.col("size") + 1).alias("size"), "a", "left_same")
         return cut_lineage(out)
 
+    def batches(self, level: DataFrame) -> Iterator[list]:
+        """The phrases of a level that can grow, FRONTIER at a time, best bounds first."""
+        level = level.where(F.col("size") < LONGEST).select("lang", "f1", "size", *WORDS)
+        found = level.limit(FRONTIER + 1).collect()
+        if len(found) <= FRONTIER:
+            if found:
+                yield found
+            return
+        share = (F.col("f1") / F.col("n")).alias("_share")
+        ranked = with_row_ids(level.join(self.names, "lang").select(*level.columns, share), ["_share", *WORDS], "_rank")
+        at = 0
+        while found := ranked.where((F.col("_rank") >= at) & (F.col("_rank") < at + FRONTIER)).collect():
+            yield found
+            at += FRONTIER
+
     def grow(self, ranges: dict[str, tuple[int, int]]) -> None:
         """Grow the words of the ranges, and then what comes of them, best bounds first."""
-        waiting = [self.extend(ranges, None)]
-        self.grams.append(waiting[0])
+        waiting = [self.extend(ranges, [])]
+        self.rests = []  # a rest may be among what is grown now
         while waiting:
             level = waiting.pop(0)
-            level = level.where(F.col("size") < LONGEST)
-            count = level.count()
-            if not count:
-                continue
-            if count <= FRONTIER:
-                batches = [level]
-            else:
-                share = (F.col("f1") / F.col("n")).alias("_share")
-                ranked = with_row_ids(level.join(self.names, "lang").select(*level.columns, share), ["_share", *WORDS], "_rank")
-                batches = [
-                    ranked.where((F.col("_rank") >= at) & (F.col("_rank") < at + FRONTIER)).select(*level.columns)
-                    for at in range(0, count, FRONTIER)
-                ]
-            for batch in batches:
-                grown = self.extend({}, batch)
-                self.grams.append(grown)
-                waiting.append(grown)
+            self.grams.append(level)
+            waiting += [self.extend({}, found) for found in self.batches(level)]
 
     def _union(self, frames: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.unionByName, frames)
@@ -342,7 +343,7 @@ class Miner:
             (F.col("size") == LONGEST) | (~F.col("left_same") & (F.coalesce(F.col("longer"), F.lit(0)) < F.col("a")))
         )
         words = self.corpus.words.select(F.col("gid").alias("w1"), *[F.lit(0).alias(w) for w in WORDS[1:]], F.col("f").alias("a"))
-        known = self._union([words, *[g.select(*WORDS, "a") for g in self.grams], *self.rests]).dropDuplicates(WORDS)
+        known = self._union([words, *[g.select(*WORDS, "a") for g in self.grams], *self.rests])
         cuts = alive.join(self.names, "lang").select(
             "lang", "n", "a", "size", F.struct(*WORDS).alias("phrase"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"), *WORDS
         )
