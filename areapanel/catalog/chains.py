@@ -91,8 +91,8 @@ def j9_conflict_chain(spark, sf_dir):
 WITH {POINTS_SQL}, {PRICES_SQL},
 points AS (
   SELECT lat, long AS lon, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, avg(change + 100) AS price
-  FROM extracts WHERE year(date) IN (1996, 1997) GROUP BY ALL HAVING avg(change) IS NOT NULL),
-scaffold AS (SELECT lat, lon, year, month, min(point_id) AS point_id FROM right_points WHERE year IN (1996, 1997) GROUP BY ALL),
+  FROM extracts GROUP BY ALL HAVING avg(change) IS NOT NULL),
+scaffold AS (SELECT lat, lon, year, month, min(point_id) AS point_id FROM right_points GROUP BY ALL),
 pairs AS (SELECT s.*, p.price, p.lat AS plat, p.lon AS plon, {haversine_sql('s.lat', 's.lon', 'p.lat', 'p.lon')} AS km FROM scaffold s JOIN points p USING (year, month)),
 best AS (SELECT *, row_number() OVER (PARTITION BY point_id, year, month ORDER BY km, plat, plon) AS rn FROM pairs)
 SELECT s.point_id, s.lat, s.lon, s.year, s.month, round(b.price, 6) AS "FAO_price", round(b.km, 6) AS market_distance
@@ -103,7 +103,7 @@ def j10_price_chain(spark, sf_dir):
     """Price extracts to the nearest price point per place and month."""
     scaffold = right_points(spark, sf_dir).select("point_id", "lat", "lon", "year", "month")
     points = R.price_points(_extracts(spark, sf_dir))
-    out = R.price_features(scaffold, points, (1996, 1), (1997, 12), order=["point_id"])
+    out = R.price_features(scaffold, points, (1995, 1), (2001, 12), order=["point_id"])
     return out.withColumns({c: F.round(c, 6) for c in ("FAO_price", "market_distance")})
 
 

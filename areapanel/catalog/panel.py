@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..functions.fixed import AREA_MONTH, LAND_SURFACE_BANDS
+from ..functions.fixed import LAND_SURFACE_BANDS
 from ..operators import dedup, joins, reshape, series
 from ..operators.aggregates import latest_month
-from ..operators.quality import universe
 from ..plans.indicators import indicator
 from ..plans.monthly import assemble_month, assembly_summary
 from ..plans.scaffold import month_universe, monthly_scaffold
+from ..session import cut_lineage, shared_folder
+from ..sources.sinks import read_chunks, write_chunks
 from . import Registry
 from .views import (
     LAST_MONTH,
@@ -380,17 +383,15 @@ GROUP BY ALL""",
 )
 def r4_band_pivot(spark, sf_dir):
     """A wide extract a year with month and band columns, united as one long table with band columns."""
-    line = table(spark, sf_dir, "lineitem")
-
-    def part(y):
-        cells = [
-            F.sum(F.when((F.month("l_shipdate") == m) & (F.col("l_linenumber") == b), F.col("l_quantity").cast("bigint"))).alias(f"{y}_{m:02d}_B{b}")
-            for m in range(1, 13)
-            for b in _BANDS
-        ]
-        return line.where(F.year("l_shipdate") == y).groupBy(F.col("l_suppkey").alias("region_id")).agg(*cells)
-
-    return reshape.bands_to_long([part(y) for y in _YEARS], "x")
+    line = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("region_id"),
+        F.year("l_shipdate").alias("year"),
+        F.month("l_shipdate").alias("month"),
+        F.col("l_linenumber").alias("band"),
+        F.col("l_quantity").cast("bigint").alias("q"),
+    )
+    extract = reshape.bands_to_wide(line, "q", _BANDS, combine=F.sum)
+    return reshape.bands_to_long([extract(y) for y in _YEARS], "x")
 
 
 @query(
@@ -414,21 +415,31 @@ def r4_bands_to_columns(spark, sf_dir):
     return reshape.long_bands_to_columns(rows, "q", [f"B{b}" for b in _BANDS])
 
 
-@query(
-    "s10_union_columns",
-    f"""
-WITH {MONTHLY_SQL}
-SELECT area_id AS region_id, CAST(sum(price_sum) FILTER (year = 1997 AND month = 1) AS BIGINT) AS "1997_01", CAST(NULL AS BIGINT) AS "1998_01" FROM monthly WHERE area_id % 2 = 0 GROUP BY ALL
-UNION ALL
-SELECT area_id, NULL, CAST(sum(price_sum) FILTER (year = 1998 AND month = 1) AS BIGINT) FROM monthly WHERE area_id % 2 = 1 GROUP BY ALL""",
+_HALVES = [[(y, m) for y, m in _WIDE_MONTHS if (y <= 1998) == first] for first in (True, False)]
+_HALVES_SQL = " UNION ALL ".join(
+    f"SELECT area_id AS region_id, {_WIDE_CELLS_SQL} FROM monthly WHERE year {sign} 1998 GROUP BY area_id" for sign in ("<=", ">")
 )
-def s10_union_columns(spark, sf_dir):
-    """Parts with different columns, united by name; what a part lacks is null."""
+
+
+def _half_extracts(spark, sf_dir):
+    """Two wide extracts that split the months between them."""
     rows = monthly_orders(spark, sf_dir).withColumnRenamed("area_id", "region_id")
-    parts = [
-        reshape.long_to_wide(rows.where(F.col("region_id") % 2 == side), "price_sum", [(y, 1)]) for side, y in ((0, 1997), (1, 1998))
-    ]
-    return reshape.union_columns(parts)
+    early = F.col("year") <= 1998
+    return [reshape.long_to_wide(rows.where(part), "price_sum", months) for part, months in zip((early, ~early), _HALVES)]
+
+
+@query("s10_union_columns", f"WITH {MONTHLY_SQL} {_HALVES_SQL}")
+def s10_union_columns(spark, sf_dir):
+    """Extracts with different month columns, united by name over all months; what a part lacks is null."""
+    return reshape.union_columns(_half_extracts(spark, sf_dir))
+
+
+@query("s10_chunked_write", f"WITH {MONTHLY_SQL} {_HALVES_SQL}")
+def s10_chunked_write(spark, sf_dir):
+    """The same extracts written chunk by chunk, and read back under the union of their columns."""
+    folder = f"{shared_folder(spark)}/chunks-{uuid.uuid4().hex}"
+    write_chunks(_half_extracts(spark, sf_dir), folder)
+    return cut_lineage(read_chunks(spark, folder))
 
 
 # ---- windows -----------------------------------------------------------------------------------------
@@ -446,6 +457,24 @@ def w1_lag12(spark, sf_dir):
     return series.with_history(rows, ["price_sum", "order_cnt"], kinds="l").drop("price_sum", "order_cnt")
 
 
+_CALENDAR = "OVER (PARTITION BY m.area_id ORDER BY m.year * 12 + m.month - 1 RANGE BETWEEN"
+
+
+@query(
+    "w1_calendar_lag",
+    f"""
+WITH {MONTHLY_SQL}
+SELECT m.area_id, m.year, m.month, p.price_sum AS price_sum_l12,
+       round(avg(m.price_sum) {_CALENDAR} 11 PRECEDING AND CURRENT ROW), 4) AS price_sum_m12,
+       round(avg(m.price_sum) {_CALENDAR} 23 PRECEDING AND 12 PRECEDING), 4) AS price_sum_v12
+FROM monthly m LEFT JOIN monthly p ON p.area_id = m.area_id AND p.year = m.year - 1 AND p.month = m.month""",
+)
+def w1_calendar_lag(spark, sf_dir):
+    """W1, W2, W3 by the calendar: a panel with missing months, where 12 rows earlier is not 12 months earlier."""
+    out = series.with_calendar_history(monthly_orders(spark, sf_dir).select("area_id", "year", "month", "price_sum"), ["price_sum"])
+    return out.drop("price_sum").withColumns({c: F.round(c, 4) for c in ("price_sum_m12", "price_sum_v12")})
+
+
 @query(
     "w2_roll12",
     f"""
@@ -612,18 +641,3 @@ def p21_band_names(spark, sf_dir):
         value = F.when(F.col("l_linenumber") == b, F.col("l_quantity").cast("bigint"))
         cells += [F.sum(value).alias(f"B{b}_x"), F.round(F.stddev_pop(value), 4).alias(f"B{b}_y")]
     return reshape.rename_bands(table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("region_id")).agg(*cells))
-
-
-@query(
-    "q13_base_input_gate",
-    """
-SELECT count(*) AS common_keys, CAST(0 AS BIGINT) AS left_only_keys, CAST(0 AS BIGINT) AS right_only_keys, CAST(0 AS BIGINT) AS left_repeats, CAST(0 AS BIGINT) AS right_repeats
-FROM customer""",
-)
-def q13_base_input_gate(spark, sf_dir):
-    """The assembled rows are the scaffold's rows, each once."""
-    base = assembly(spark, sf_dir, (TARGET_YEAR, TARGET_MONTH)).base
-    scaffold = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("area_id"), F.lit(TARGET_YEAR).alias("year"), F.lit(TARGET_MONTH).alias("month")
-    )
-    return universe(base, scaffold, AREA_MONTH)

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.coerce import unreadable
+from ..functions.fixed import OUTCOME_COLUMNS, SCHEMAS, STATIC_FEATURE_COLUMNS
+from ..operators import gates as G
 from ..operators import quality as Q
+from ..plans.monthly import base_input_gate, zonal_gate
 from ..sources.lineage import file_lineage
 from . import Registry
-from .views import PANEL_SQL, TARGET_MONTH, TARGET_YEAR, lat_of, lat_sql, lon_of, lon_sql, monthly_orders, panel, spine, table
+from .views import MONTHLY_SQL, PANEL_SQL, TARGET_MONTH, TARGET_YEAR, monthly_orders, panel, spine, table
 
 query = Registry()
 
@@ -54,41 +57,148 @@ def q5_duplicates(spark, sf_dir):
     return Q.duplicate_summary(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-_PANEL_ROWS = f"""
-SELECT CAST(area_id AS VARCHAR) AS admin_code, {lat_sql('area_id')} AS lat, {lon_sql('area_id')} AS lon, year, month, price_sum AS overall_phase FROM panel
-UNION ALL SELECT CAST(area_id AS VARCHAR), {lat_sql('area_id')}, {lon_sql('area_id')}, year, month, NULL FROM panel WHERE area_id % 50 = 1"""
-
-_MODE_CHECKS = {
-    "rows": "count(*)",
-    "duplicate_rows": "count(*) - count(DISTINCT (admin_code, lat, lon, year, month))",
-    "blank_admin_code": "count(*) FILTER (false)",
-    "blank_lat": "count(*) FILTER (false)",
-    "blank_lon": "count(*) FILTER (false)",
-    "blank_year": "count(*) FILTER (false)",
-    "blank_month": "count(*) FILTER (false)",
-    "invalid_year": "count(*) FILTER (false)",
-    "invalid_month": "count(*) FILTER (false)",
-    "invalid_lat": "count(*) FILTER (abs(lat) > 90)",
-    "invalid_lon": "count(*) FILTER (abs(lon) > 180)",
-    "present_overall_phase": "count(overall_phase)",
-    "min_month_index": "min(year * 12 + month - 1)",
-    "max_month_index": "max(year * 12 + month - 1)",
+# ---- gates over rows broken in known places ---------------------------------------------------
+
+_BROKEN = {
+    "area_id": "CASE WHEN o_orderkey % 127 = 0 THEN '' ELSE CAST(o_custkey AS {t}) END",
+    "admin_code": "CASE WHEN o_orderkey % 131 = 0 THEN 'x' WHEN o_orderkey % 127 = 0 THEN '' ELSE CAST(o_custkey AS {t}) END",
+    "lat": "CASE WHEN o_orderkey % 107 = 0 THEN '91.5' WHEN o_orderkey % 109 = 0 THEN '' ELSE CAST(o_custkey % 90 AS {t}) END",
+    "lon": "CASE WHEN o_orderkey % 113 = 0 THEN 'east' ELSE CAST(o_custkey % 180 AS {t}) END",
+    "year": "CASE WHEN o_orderkey % 101 = 0 THEN 'x' WHEN o_orderkey % 97 = 0 THEN '' WHEN o_orderkey % 89 = 0 THEN concat(CAST(year(o_orderdate) AS {t}), '.0') ELSE CAST(year(o_orderdate) AS {t}) END",
+    "month": "CASE WHEN o_orderkey % 103 = 0 THEN '13' WHEN o_orderkey % 83 = 0 THEN '0' ELSE CAST(month(o_orderdate) AS {t}) END",
+    **{c: f"CASE WHEN o_orderkey % {i} = 0 THEN '' ELSE CAST(o_orderkey % 5 AS {{t}}) END" for i, c in enumerate(OUTCOME_COLUMNS[:5], 3)},
+    "phase5_percent": "CAST(NULL AS {t})",
+    "estimated_population": "CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE '10' END",
+    **{c: "'1'" for c in STATIC_FEATURE_COLUMNS},
+}
+_BROKEN_SQL = "broken AS (SELECT " + ", ".join(f"""{e.format(t='VARCHAR')} AS "{c}\"""" for c, e in _BROKEN.items()) + " FROM orders)"
+_READ_SQL = """
+read AS (SELECT *, CAST(trunc(try_cast(year AS DOUBLE)) AS INTEGER) AS y, CAST(trunc(try_cast(month AS DOUBLE)) AS INTEGER) AS m,
+                try_cast(lat AS DOUBLE) AS la, try_cast(lon AS DOUBLE) AS lo FROM broken)"""
+_GATE_ROW = """SELECT '{gate}' AS gate, '{check}' AS "check", CAST({value} AS BIGINT) AS value, {passed} AS passed FROM read"""
+
+
+def _mode_sql(mode):
+    """The checks of one schema written out, row by row."""
+    rules = SCHEMAS[mode]
+    found = [("missing_columns", "0 * count(*)", "true"), ("rows", "count(*)", "count(*) > 0")]
+
+    def none(check, bad):
+        found.append((check, f"count(*) FILTER ({bad})", f"count(*) FILTER ({bad}) = 0"))
+
+    for c in rules["nonblank"]:
+        none(f"blank_{c}", f"coalesce({c}, '') = ''")
+    none("invalid_year", "y IS NULL")
+    none("invalid_month", "m IS NULL OR m NOT BETWEEN 1 AND 12")
+    none("invalid_lat", "lat <> '' AND (la IS NULL OR abs(la) > 90)")
+    none("invalid_lon", "lon <> '' AND (lo IS NULL OR abs(lo) > 180)")
+    if rules["same_id"]:
+        none("id_mismatch", "area_id <> admin_code")
+    for c in OUTCOME_COLUMNS:
+        have = f"count(*) FILTER (coalesce({c}, '') <> '')"
+        found.append((f"present_{c}", have, f"{have} > 0" if rules["outcomes"] else "true"))
+    index = "(y * 12 + m - 1) FILTER (m BETWEEN 1 AND 12)"
+    found += [("min_month_index", f"min{index}", "true"), ("max_month_index", f"max{index}", "true")]
+    extra = f"count(*) - count(DISTINCT ({', '.join(rules['key'])}))"
+    found.append(("duplicate_rows", extra, f"{extra} = 0"))
+    return [_GATE_ROW.format(gate=mode, check=c, value=v, passed=p) for c, v, p in found]
+
+
+@query("q10_schema_modes", f"WITH {_BROKEN_SQL}, {_READ_SQL} " + " UNION ALL ".join(r for mode in SCHEMAS for r in _mode_sql(mode)))
+def q10_schema_modes(spark, sf_dir):
+    """Every check of the five schemas in one aggregate and a shuffle for each of three keys."""
+    return G.schema_gates(table(spark, sf_dir, "orders").select(*[F.expr(e.format(t="STRING")).alias(c) for c, e in _BROKEN.items()]))
+
+
+_BASE = {
+    "area_id": "CASE WHEN c_custkey % 19 = 0 THEN ' ' ELSE concat(CAST(c_custkey AS {t}), '.0') END",
+    "admin_code": "CASE WHEN c_custkey % 29 = 0 THEN 'x' WHEN c_custkey % 19 = 0 THEN '' ELSE CAST(c_custkey AS {t}) END",
+    "year": "1998",
+    "month": "CASE WHEN c_custkey % 17 = 0 THEN 7 ELSE 6 END",
 }
+_BASE_SQL = (
+    "base AS (SELECT " + ", ".join(f"{e.format(t='VARCHAR')} AS {c}" for c, e in _BASE.items())
+    + ", CASE WHEN c_custkey % 19 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS id FROM customer, range(2) AS t(again)"
+    + " WHERE c_custkey % 13 <> 0 AND (again = 0 OR c_custkey % 23 = 0))"
+)
 
 
 @query(
-    "q10_schema_modes",
-    f"WITH {PANEL_SQL}, rows AS ({_PANEL_ROWS}) "
-    + " UNION ALL ".join(f"""SELECT '{c}' AS "check", CAST({e} AS BIGINT) AS value FROM rows""" for c, e in _MODE_CHECKS.items()),
+    "q13_base_input_gate",
+    f"""
+WITH {_BASE_SQL}, frame AS (SELECT CAST(c_custkey AS VARCHAR) AS id, 1998 AS year, 6 AS month FROM customer),
+read AS (
+  SELECT (SELECT count(*) FROM base WHERE id = '') AS blank_id, (SELECT count(*) FROM base WHERE admin_code = 'x' ) AS bad_id,
+         (SELECT count(*) FROM base WHERE month <> 6) AS other, (SELECT count(*) FROM base) AS n,
+         (SELECT count(*) FROM (SELECT id, year, month FROM frame EXCEPT SELECT id, year, month FROM base)) AS missing,
+         (SELECT count(*) FROM (SELECT id, year, month FROM base EXCEPT SELECT id, year, month FROM frame)) AS extra,
+         (SELECT count(*) FROM (SELECT id, year, month FROM base INTERSECT SELECT id, year, month FROM frame)) AS common,
+         (SELECT count(*) FROM base) - (SELECT count(*) FROM (SELECT DISTINCT id, year, month FROM base)) AS again)
+SELECT gate, "check", CAST(value AS BIGINT) AS value, passed FROM (
+  SELECT unnest([
+    {{'gate': 'base input', 'check': 'blank_area_id', 'value': blank_id, 'passed': blank_id = 0}},
+    {{'gate': 'base input', 'check': 'blank_year', 'value': 0, 'passed': true}},
+    {{'gate': 'base input', 'check': 'blank_month', 'value': 0, 'passed': true}},
+    {{'gate': 'base input', 'check': 'id_mismatch', 'value': bad_id, 'passed': bad_id = 0}},
+    {{'gate': 'base input', 'check': 'other_month', 'value': other, 'passed': other = 0}},
+    {{'gate': 'base input', 'check': 'universe_missing_keys', 'value': missing, 'passed': missing = 0}},
+    {{'gate': 'base input', 'check': 'universe_extra_keys', 'value': extra, 'passed': extra = 0}},
+    {{'gate': 'base input', 'check': 'common_keys', 'value': common, 'passed': true}},
+    {{'gate': 'base input', 'check': 'duplicate_rows', 'value': again, 'passed': again = 0}},
+    {{'gate': 'scaffold', 'check': 'blank_area_id', 'value': 0, 'passed': true}},
+    {{'gate': 'scaffold', 'check': 'blank_year', 'value': 0, 'passed': true}},
+    {{'gate': 'scaffold', 'check': 'blank_month', 'value': 0, 'passed': true}},
+    {{'gate': 'model-input-forecast', 'check': 'missing_columns', 'value': 0, 'passed': true}},
+    {{'gate': 'model-input-forecast', 'check': 'rows', 'value': n, 'passed': n > 0}},
+    {{'gate': 'model-input-forecast', 'check': 'blank_area_id', 'value': blank_id, 'passed': blank_id = 0}},
+    {{'gate': 'model-input-forecast', 'check': 'blank_year', 'value': 0, 'passed': true}},
+    {{'gate': 'model-input-forecast', 'check': 'blank_month', 'value': 0, 'passed': true}},
+    {{'gate': 'model-input-forecast', 'check': 'invalid_year', 'value': 0, 'passed': true}},
+    {{'gate': 'model-input-forecast', 'check': 'invalid_month', 'value': 0, 'passed': true}},
+    {{'gate': 'model-input-forecast', 'check': 'min_month_index', 'value': 23981, 'passed': true}},
+    {{'gate': 'model-input-forecast', 'check': 'max_month_index', 'value': 23982, 'passed': true}},
+    {{'gate': 'model-input-forecast', 'check': 'duplicate_rows', 'value': again, 'passed': again = 0}}], recursive := true)
+  FROM read)""",
 )
-def q10_schema_modes(spark, sf_dir):
-    """Every counter of a named schema in one shuffle over the keys."""
-    k = F.col("area_id")
-    rows = panel(spark, sf_dir).select(
-        k.cast("string").alias("admin_code"), lat_of(k).alias("lat"), lon_of(k).alias("lon"), "year", "month", F.col("price_sum").alias("overall_phase")
-    )
-    again = rows.where(F.col("admin_code").cast("bigint") % 50 == 1).withColumn("overall_phase", F.lit(None).cast("bigint"))
-    return Q.schema_metrics(rows.unionByName(again), "forecast-scaffold")
+def q13_base_input_gate(spark, sf_dir):
+    """The base-input gate over rows missing, repeated, blank, misnamed and of another month."""
+    customers = table(spark, sf_dir, "customer")
+    kept = customers.where("c_custkey % 13 <> 0").select("c_custkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("again"))
+    base = kept.where("again = 0 OR c_custkey % 23 = 0").select(*[F.expr(e.format(t="STRING")).alias(c) for c, e in _BASE.items()])
+    scaffold = customers.select("c_custkey").withColumnsRenamed({"c_custkey": "area_id"}).withColumns({"year": F.lit(1998), "month": F.lit(6)})
+    return base_input_gate(base, scaffold, 1998, 6)
+
+
+def _wide_sql(gate, ids, unique, month):
+    """Checks of one zonal table whose ids (and months) are the rows of ``ids``."""
+    own, all_ids = f"(SELECT DISTINCT area_id FROM {ids})", "(SELECT c_custkey AS area_id FROM customer)"
+    again = f"(SELECT count(*) - count(DISTINCT area_id) FROM {ids})"
+    found = [
+        ("universe_missing_keys", f"(SELECT count(*) FROM (FROM {all_ids} EXCEPT FROM {own}))", "= 0"),
+        ("universe_extra_keys", f"(SELECT count(*) FROM (FROM {own} EXCEPT FROM {all_ids}))", "= 0"),
+        ("common_keys", f"(SELECT count(*) FROM (FROM {own} INTERSECT FROM {all_ids}))", ">= 0"),
+        ("duplicate_rows", again, "= 0" if unique else ">= 0"),
+    ]
+    if month:
+        found.append(("other_month", f"(SELECT count(*) FROM {ids} WHERE NOT (year = 1998 AND month = 6))", "= 0"))
+    return [f"""SELECT '{gate}' AS gate, '{c}' AS "check", CAST({v} AS BIGINT) AS value, {v} {p} AS passed""" for c, v, p in found]
+
+
+@query(
+    "q14_zonal_gate",
+    f"""
+WITH {MONTHLY_SQL}, june AS (SELECT area_id FROM monthly WHERE year = 1998 AND month = 6 UNION ALL SELECT -1),
+summer AS (SELECT area_id, year, month FROM monthly WHERE year = 1998 AND month IN (6, 7)) """
+    + " UNION ALL ".join([*_wide_sql("wide mean", "june", False, False), *_wide_sql("long order_cnt", "summer", True, True)]),
+)
+def q14_zonal_gate(spark, sf_dir):
+    """Wide and long zonal tables with ids missing, too many and repeated, and rows of another month."""
+    monthly = monthly_orders(spark, sf_dir)
+    june = monthly.where("year = 1998 AND month = 6").select(F.col("area_id").alias("region_id"), F.col("price_sum").alias("1998_06"))
+    extra = table(spark, sf_dir, "region").where("r_regionkey = 0").select(F.lit(-1).cast("long").alias("region_id"), F.lit(None).cast("long").alias("1998_06"))
+    summer = monthly.where("year = 1998 AND month IN (6, 7)").select("area_id", "year", "month", "order_cnt")
+    scaffold = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("area_id"))
+    return zonal_gate({"mean": june.unionByName(extra)}, {"order_cnt": summer}, scaffold, 1998, 6)
 
 
 @query(

@@ -106,9 +106,6 @@ def j13_coordinate_lookup(spark, sf_dir):
     return coordinate_lookup(rows, lookup, "coast", ["seq"]).select("c_custkey", "coast")
 
 
-_BAND1 = "band = 'B1'"
-
-
 @query(
     "j20_point_in_zone",
     f"WITH {PIXELS_SQL} SELECT area_id, band, count(*) AS n_pixels, CAST(sum(value) AS BIGINT) AS total FROM inside GROUP BY ALL",
@@ -130,16 +127,14 @@ zone_months AS (
     f"""
 WITH {PIXELS_SQL}, {_SCAFFOLD_SQL}, stats AS (
   SELECT area_id, year, month, round(avg(value), 4) AS value_mean, round(stddev_pop(value), 4) AS value_std, count(*) AS value_count
-  FROM inside WHERE {_BAND1} GROUP BY ALL)
+  FROM inside GROUP BY ALL)
 SELECT area_id, year, month, value_mean, value_std, value_count FROM zone_months LEFT JOIN stats USING (area_id, year, month)""",
 )
 def a7_zonal(spark, sf_dir):
     """Zonal mean and population deviation; zones without pixels keep a row."""
     areas = zones(spark, sf_dir)
     scaffold = month_spine(areas.select("area_id"), (1995, 1), (2001, 11))
-    out = Z.zonal_statistics(
-        pixels(spark, sf_dir).where(F.col("band") == "B1"), areas, statistics=("mean", "std", "count"), scaffold=scaffold
-    )
+    out = Z.zonal_statistics(pixels(spark, sf_dir), areas, statistics=("mean", "std", "count"), scaffold=scaffold)
     return out.withColumns({c: F.round(c, 4) for c in ("value_mean", "value_std")})
 
 
@@ -166,15 +161,15 @@ def a9_zonal_bands(spark, sf_dir):
 @query(
     "a7_zone_counts",
     f"""
-WITH {PIXELS_SQL}, stats AS (SELECT area_id, count(*) AS n FROM inside WHERE year = 1998 AND month = 6 GROUP BY ALL)
-SELECT count(*) AS zone_count, count(*) FILTER (n IS NULL) AS empty_zone_count FROM boxes LEFT JOIN stats ON area_id = CAST(k AS VARCHAR)""",
+WITH {PIXELS_SQL}, {_SCAFFOLD_SQL}, stats AS (SELECT area_id, year, month, count(*) AS n FROM inside GROUP BY ALL)
+SELECT year, month, count(*) AS zone_count, count(*) FILTER (n IS NULL) AS empty_zone_count
+FROM zone_months LEFT JOIN stats USING (area_id, year, month) GROUP BY ALL""",
 )
 def a7_zone_counts(spark, sf_dir):
-    """Zones and zones without pixels in one month."""
+    """Zones, and zones without pixels, in every month."""
     areas = zones(spark, sf_dir)
-    scaffold = areas.select("area_id", F.lit(1998).alias("year"), F.lit(6).alias("month"))
-    in_month = (F.col("year") == 1998) & (F.col("month") == 6)
-    return Z.zone_counts(Z.zonal_statistics(pixels(spark, sf_dir).where(in_month), areas, scaffold=scaffold), "value_mean")
+    scaffold = month_spine(areas.select("area_id"), (1995, 1), (2001, 11))
+    return Z.zone_counts(Z.zonal_statistics(pixels(spark, sf_dir), areas, scaffold=scaffold), "value_mean", ["year", "month"])
 
 
 @query(
@@ -189,6 +184,32 @@ def s7_tile_merge(spark, sf_dir):
     return Z.merge_tiles(pixels(spark, sf_dir), 0.1).withColumn("value", F.round("value", 6))
 
 
+# Three tiles side by side that overlap by 20 and by 10 degrees.
+_TILES = {"west": (0, 50), "middle": (30, 80), "east": (70, 100)}
+_TILED_SQL = " UNION ALL ".join(f"SELECT '{t}' AS tile, * FROM cells WHERE x BETWEEN {10 * a} AND {10 * b}" for t, (a, b) in _TILES.items())
+
+
+@query(
+    "s7_blended_tiles",
+    f"""
+WITH {PIXELS_SQL},
+cells AS (SELECT year, month, band, CAST(round(lon / CAST(0.1 AS DOUBLE)) AS BIGINT) AS x, CAST(round(lat / CAST(0.1 AS DOUBLE)) AS BIGINT) AS y, value FROM pixels),
+tiled AS ({_TILED_SQL}),
+extents AS (SELECT tile, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM tiled GROUP BY tile),
+weighed AS (SELECT t.*, least(x - x0, x1 - x, y - y0, y1 - y) + 1 AS w FROM tiled t JOIN extents USING (tile))
+SELECT year, month, band, y * CAST(0.1 AS DOUBLE) AS lat, x * CAST(0.1 AS DOUBLE) AS lon,
+       round(CAST(sum(w * value) AS DOUBLE) / CAST(sum(w) AS DOUBLE), 6) AS value
+FROM weighed GROUP BY year, month, band, y, x""",
+)
+def s7_blended_tiles(spark, sf_dir):
+    """Three overlapping tiles, each pixel weighted by its distance to the border of its tile."""
+    cells = pixels(spark, sf_dir)
+    x = F.round(F.col("lon") / 0.1).cast("bigint")
+    parts = [cells.where(x.between(10 * a, 10 * b)).withColumn("tile", F.lit(t)) for t, (a, b) in _TILES.items()]
+    tiles = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return Z.merge_tiles(tiles, 0.1, tile="tile").withColumn("value", F.round("value", 6))
+
+
 @query(
     "q20_zone_ids",
     """

@@ -180,3 +180,42 @@ PREDICTION_COLUMNS = [
 STATIC_FEATURE_COLUMNS = (
     AEZ_COLUMNS + [column for columns in STATIC_FAMILIES.values() for column in columns] + [COASTLINE_FEATURE]
 )
+
+# Columns, keys and rules of the named schemas.
+SCHEMAS = {
+    "historical-panel": {
+        "required": ["admin_code", "lat", "lon", "year", "month"] + OUTCOME_COLUMNS,
+        "nonblank": ["admin_code", "lat", "lon", "year", "month"],
+        "key": ["admin_code", "lat", "lon", "year", "month"],
+        "outcomes": True,
+        "same_id": False,
+    },
+    "forecast-scaffold": {
+        "required": ["admin_code", "lat", "lon", "year", "month"],
+        "nonblank": ["admin_code", "lat", "lon", "year", "month"],
+        "key": ["admin_code", "lat", "lon", "year", "month"],
+        "outcomes": False,
+        "same_id": False,
+    },
+    "fixed-slow-area": {
+        "required": ["area_id", "admin_code", "lat", "lon"] + STATIC_FEATURE_COLUMNS,
+        "nonblank": ["area_id", "admin_code", "lat", "lon"],
+        "key": ["area_id"],
+        "outcomes": False,
+        "same_id": True,
+    },
+    "model-input-training": {
+        "required": ["area_id", "year", "month"] + OUTCOME_COLUMNS,
+        "nonblank": ["area_id", "year", "month"] + OUTCOME_COLUMNS,
+        "key": ["area_id", "year", "month"],
+        "outcomes": True,
+        "same_id": False,
+    },
+    "model-input-forecast": {
+        "required": ["area_id", "year", "month"],
+        "nonblank": ["area_id", "year", "month"],
+        "key": ["area_id", "year", "month"],
+        "outcomes": False,
+        "same_id": False,
+    },
+}

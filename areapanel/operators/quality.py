@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fixed import AREA_MONTH, OUTCOME_COLUMNS, STATIC_FEATURE_COLUMNS
+from ..functions.fixed import OUTCOME_COLUMNS
 from ..functions.keys import index_month, index_year, month_index, to_number, year_month_text
 from ..functions.nulls import is_blank, is_missing
 
@@ -228,85 +228,7 @@ def coverage(df: DataFrame, id_column: str = "area_id") -> DataFrame:
     )
 
 
-# ---- named schemas ---------------------------------------------------------------------------
-
-_PANEL_KEY = ["admin_code", "lat", "lon", "year", "month"]
-
-SCHEMAS: dict[str, dict] = {
-    "historical-panel": {"required": _PANEL_KEY + OUTCOME_COLUMNS, "nonblank": _PANEL_KEY, "key": _PANEL_KEY, "outcomes": True},
-    "forecast-scaffold": {"required": _PANEL_KEY, "nonblank": _PANEL_KEY, "key": _PANEL_KEY},
-    "fixed-slow-area": {
-        "required": ["area_id", "admin_code", "lat", "lon"] + STATIC_FEATURE_COLUMNS,
-        "nonblank": ["area_id", "admin_code", "lat", "lon"],
-        "key": ["area_id"],
-        "same_id": True,
-    },
-    "model-input-training": {
-        "required": AREA_MONTH + OUTCOME_COLUMNS,
-        "nonblank": AREA_MONTH + OUTCOME_COLUMNS,
-        "key": AREA_MONTH,
-        "outcomes": True,
-    },
-    "model-input-forecast": {"required": AREA_MONTH, "nonblank": AREA_MONTH, "key": AREA_MONTH},
-}
-
-
-def schema_metrics(df: DataFrame, mode: str) -> DataFrame:
-    """All counters of a named schema as long rows ``check, value``.
-
-    The counters are one aggregate without a shuffle; repeats need the keys to meet, so a second
-    aggregate shuffles the key columns and nothing else.
-    """
-    rules = SCHEMAS[mode]
-    require_columns(df, rules["required"], mode)
-    checks: dict[str, Column] = blank_checks(df, rules["nonblank"])
-    if "year" in df.columns and "month" in df.columns:
-        checks |= date_checks(df)
-    if "lat" in df.columns and "lon" in df.columns:
-        checks |= coordinate_checks(df)
-    if rules.get("same_id"):
-        checks |= id_mismatch_check()
-    outcomes = [c for c in OUTCOME_COLUMNS if c in df.columns]
-    for c in outcomes:
-        checks[f"present_{c}"] = ~_blank(df, c)
-    extra: list[Column] = []
-    if "invalid_year" in checks:
-        year, month = as_int(df, "year"), as_int(df, "month")
-        index = F.when(month.between(1, 12), year * 12 + month - 1)
-        extra = [F.min(index).alias("min_month_index"), F.max(index).alias("max_month_index")]
-    counted = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(checks[c]).alias(c) for c in checks], *extra
-    ).withColumn("_one", F.lit(1))
-    repeats = duplicate_summary(df, rules["key"]).select("duplicate_rows", F.lit(1).alias("_one"))
-    total = counted.join(repeats, "_one").drop("_one")
-    rows = F.array(
-        *[F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("value")) for c in total.columns]
-    )
-    return total.select(F.inline(rows))
-
-
-def schema_failures(metrics: Mapping[str, int], mode: str) -> list[str]:
-    """What the counters of :func:`schema_metrics` say is wrong, first reason first."""
-    rules = SCHEMAS[mode]
-    if not metrics["rows"]:
-        return ["table has no rows"]
-    failures = [f"{c}={v}" for c, v in metrics.items() if c.startswith("blank_") and v]
-    failures += [f"{c}={metrics[c]}" for c in ("duplicate_rows",) if metrics[c]]
-    failures += [f"{c}={v}" for c, v in metrics.items() if c.startswith("invalid_") and v]
-    failures += [f"{c}={metrics[c]}" for c in ("id_mismatch",) if metrics.get(c)]
-    if rules.get("outcomes"):
-        failures += [f"{c}=0" for c, v in metrics.items() if c.startswith("present_") and v == 0]
-    return failures
-
-
-def require_schema(df: DataFrame, mode: str) -> dict[str, int]:
-    metrics = {r["check"]: r["value"] for r in schema_metrics(df, mode).collect()}
-    failures = schema_failures(metrics, mode)
-    if failures:
-        raise QualityError(f"{mode}: {'; '.join(failures)}")
-    return metrics
-
-
+# ---- coverage and rates ----------------------------------------------------------------------
 def table_coverage(df: DataFrame, outcomes: Sequence[str] = OUTCOME_COLUMNS) -> DataFrame:
     """First and last valid month and the number of present values per outcome column."""
     year, month = as_int(df, "year"), as_int(df, "month")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import BAND_COLUMN_PATTERN, LAND_SURFACE_BANDS, MONTH_COLUMN_PATTERN
+from ..session import cut_lineage
 from .dedup import keep_one
 from .joins import mapped_join
 
@@ -17,6 +18,16 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _name(name: str) -> str:
+    """A column name in an expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    """A text in an expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def parse_month_column(name: str) -> tuple[int, int, str | None] | None:
     """(year, month, band) of ``YYYY_MM``, ``YYYY.Mmm`` or ``YYYY_MM_Bn``; None for other names."""
     banded = re.match(BAND_COLUMN_PATTERN, name)
@@ -56,20 +67,15 @@ def wide_to_long(
         keyed = mapped_join(df, mapping, id_column, mapping_region, mapping_area)
     if order is not None:
         keyed = keep_one(keyed, ["area_id"], order, last=True)
+    # One expression as text: hundreds of cells as Column objects cost more time than the query.
+    labels = {b: _text(feature if b is None else f"{feature}_{b}") for b in bands}
     months = [
-        F.struct(
-            F.lit(year).alias("year"),
-            F.lit(month).alias("month"),
-            *[
-                (_col(names[b]).try_cast("double") if b in names else F.lit(None).cast("double")).alias(
-                    feature if b is None else f"{feature}_{b}"
-                )
-                for b in bands
-            ],
-        )
+        f"named_struct('year', {year}, 'month', {month}, "
+        + ", ".join(f"{labels[b]}, {f'try_cast({_name(names[b])} AS DOUBLE)' if b in names else 'CAST(NULL AS DOUBLE)'}" for b in bands)
+        + ")"
         for (year, month), names in sorted(slots.items())
     ]
-    return keyed.select("area_id", F.inline(F.array(*months)))
+    return keyed.select("area_id", F.expr(f"inline(array({', '.join(months)}))"))
 
 
 def bands_to_long(parts: Iterable[DataFrame], feature: str, id_column: str = "region_id") -> DataFrame:
@@ -104,8 +110,28 @@ def years_to_long(
     )
 
 
+def slots(df: DataFrame, keys: Sequence[str], slot: Column, value: Column, combine: Callable[[Column], Column] = F.max) -> DataFrame:
+    """Per key one map ``slots`` from slot number to the combined value there.
+
+    Values are combined by hash for each key and slot first, so a key brings at most one entry a slot to
+    the map, however many rows it has. A key without any slot has an empty map.
+    """
+    cells = df.groupBy(*[_col(k) for k in keys], slot.alias("_slot")).agg(combine(value).alias("_value"))
+    entry = F.when(F.col("_slot").isNotNull(), F.struct("_slot", "_value"))
+    return cells.groupBy(*[_col(k) for k in keys]).agg(F.map_from_entries(F.collect_list(entry)).alias("slots"))
+
+
+def unfold_slots(df: DataFrame, names: Mapping[int, str], others: Sequence[str]) -> DataFrame:
+    """One column per named slot beside ``others``; a slot without a value is null."""
+    return df.selectExpr(*[_name(c) for c in others], *[f"slots[{n}] AS {_name(name)}" for n, name in names.items()])
+
+
 def long_to_wide(
-    df: DataFrame, value: str, months: Sequence[tuple[int, int]] | None = None, id_column: str = "region_id"
+    df: DataFrame,
+    value: str,
+    months: Sequence[tuple[int, int]] | None = None,
+    id_column: str = "region_id",
+    combine: Callable[[Column], Column] = F.max,
 ) -> DataFrame:
     """One column ``YYYY_MM`` per month, in calendar order.
 
@@ -113,11 +139,26 @@ def long_to_wide(
     """
     if months is None:
         months = [(r["year"], r["month"]) for r in df.select("year", "month").distinct().collect()]
-    cells = [
-        F.max(F.when((F.col("year") == y) & (F.col("month") == m), F.col(value))).alias(f"{y}_{m:02d}")
-        for y, m in sorted(months)
-    ]
-    return df.groupBy(id_column).agg(*cells)
+    month = (F.col("year") * 12 + F.col("month") - 1).cast("int")
+    names = {12 * y + m - 1: f"{y}_{m:02d}" for y, m in sorted(months)}
+    return unfold_slots(slots(df, [id_column], month, _col(value), combine), names, [id_column])
+
+
+def bands_to_wide(
+    df: DataFrame, value: str, bands: Sequence[int], id_column: str = "region_id", combine: Callable[[Column], Column] = F.max
+) -> Callable[[int], DataFrame]:
+    """Wide extracts ``YYYY_MM_Bn`` of any year, from rows with year, month and a band number.
+
+    The rows are read once: slots of all years are combined and cut, and each year's extract unfolds its own.
+    """
+    slot = (F.col("month") * (max(bands) + 1) + F.col("band")).cast("int")
+    years = cut_lineage(slots(df, [id_column, "year"], slot, _col(value), combine))
+
+    def extract(year: int) -> DataFrame:
+        names = {m * (max(bands) + 1) + b: f"{year}_{m:02d}_B{b}" for m in range(1, 13) for b in bands}
+        return unfold_slots(years.where(F.col("year") == year), names, [id_column])
+
+    return extract
 
 
 def long_bands_to_columns(

@@ -50,6 +50,36 @@ def with_history(
     return df.select("*", *added)
 
 
+def with_calendar_history(
+    df: DataFrame,
+    columns: Sequence[str],
+    area: Sequence[str] = ("area_id",),
+    order: Sequence[str] = MONTH_ORDER,
+    months: int = 12,
+    kinds: str = "lmv",
+) -> DataFrame:
+    """As :func:`with_history`, counted in calendar months where the panel lacks some.
+
+    ``x_l12`` is the value of exactly ``months`` months earlier, null where that month has no row; of
+    several rows of one month the largest. Frames run over a month index, so a month without a row shortens a
+    mean and never lets an older one in. Rows without a readable month have null columns.
+    """
+    year, month = (F.col(f"`{c}`") for c in order)
+    index = (year * 12 + month - 1).cast("int")
+    w = W.partitionBy(*area).orderBy(index.asc())
+
+    def over(frame: Column) -> Column:
+        return F.when(index.isNotNull(), frame)
+
+    recipe = {
+        "l": lambda c: over(F.max(c).over(w.rangeBetween(-months, -months))),
+        "m": lambda c: over(F.avg(c).over(w.rangeBetween(1 - months, 0))),
+        "v": lambda c: over(F.avg(c).over(w.rangeBetween(1 - 2 * months, -months))),
+    }
+    added = [recipe[k](F.col(f"`{c}`")).alias(f"{c}_{k}{months}") for k in kinds for c in columns]
+    return df.select("*", *added)
+
+
 def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     return df.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns])
 

@@ -136,20 +136,34 @@ def zonal_statistics(
     return stats if scaffold is None else scaffold.join(stats, ["area_id", *keys], "left")
 
 
-def zone_counts(stats: DataFrame, column: str) -> DataFrame:
-    """Zones and zones without any pixel."""
-    return stats.agg(F.count(F.lit(1)).alias("zone_count"), F.count_if(F.col(column).isNull()).alias("empty_zone_count"))
+def zone_counts(stats: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Zones and zones without any pixel, for each of ``keys``."""
+    return stats.groupBy(*keys).agg(F.count(F.lit(1)).alias("zone_count"), F.count_if(F.col(column).isNull()).alias("empty_zone_count"))
 
 
-def merge_tiles(tiles: DataFrame, step: float, keys: Sequence[str] = ("year", "month", "band")) -> DataFrame:
-    """One pixel per grid position and month: overlapping tiles are averaged.
+def merge_tiles(
+    tiles: DataFrame, step: float, keys: Sequence[str] = ("year", "month", "band"), tile: str | None = None
+) -> DataFrame:
+    """One pixel per grid position and month where tiles overlap.
 
-    The average stands in for distance-weighted blending along tile borders.
+    With ``tile``, the column that names a pixel's tile, values are blended: a pixel weighs its
+    distance to the nearest border of its tile in grid steps, plus one, so a tile fades out towards its
+    border. Extents are the tiles' own least and greatest positions, one row a tile. Without it,
+    values are averaged. Null values have no weight.
     """
-    placed = tiles.select(
-        *keys, F.round(F.col("lat") / step).cast("bigint").alias("_y"), F.round(F.col("lon") / step).cast("bigint").alias("_x"), "value"
-    )
-    merged = placed.groupBy(*keys, "_y", "_x").agg(F.avg("value").alias("value"))
+    places = [F.round(F.col(c) / step).cast("bigint").alias(n) for c, n in (("lat", "_y"), ("lon", "_x"))]
+    if tile is None:
+        placed = tiles.select(*keys, *places, "value")
+        merged = placed.groupBy(*keys, "_y", "_x").agg(F.avg("value").alias("value"))
+    else:
+        placed = tiles.select(*keys, F.col(f"`{tile}`").alias("_tile"), *places, "value")
+        extents = placed.groupBy("_tile").agg(
+            *[f(c).alias(f"{c}{n}") for c in ("_x", "_y") for n, f in ((0, F.min), (1, F.max))]
+        )
+        steps = F.least(*[F.col(c) - F.col(f"{c}0") for c in ("_x", "_y")], *[F.col(f"{c}1") - F.col(c) for c in ("_x", "_y")])
+        weighed = placed.join(extents, "_tile").withColumn("_w", F.when(F.col("value").isNotNull(), steps + 1))
+        total = F.sum(F.col("_w") * F.col("value")).cast("double") / F.sum("_w").cast("double")
+        merged = weighed.groupBy(*keys, "_y", "_x").agg(total.alias("value"))
     return merged.select(*keys, (F.col("_y") * step).alias("lat"), (F.col("_x") * step).alias("lon"), "value")
 
 

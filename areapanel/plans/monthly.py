@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fixed import AREA_MONTH, ENGINEERED_MARKERS, ID_COLUMNS, STATIC_ID_COLUMNS
+from ..functions.fixed import AREA_MONTH, ENGINEERED_MARKERS, ID_COLUMNS, SCHEMAS, STATIC_ID_COLUMNS
 from ..functions.keys import check_target_month, normalize_area_id, to_number, trim_key, whole_number_text
 from ..functions.nulls import is_missing
+from ..operators import gates as G
 from ..operators import quality as Q
 from ..operators.dedup import keep_one
 
@@ -164,37 +165,60 @@ def assembly_summary(assembly: Assembly) -> DataFrame:
     )
 
 
-def validate_base_input(base: DataFrame, scaffold: DataFrame, year: int, month: int) -> dict:
-    """Keys present, one month, the scaffold's rows exactly once, forecast schema."""
+def base_input_gate(base: DataFrame, scaffold: DataFrame, year: int, month: int) -> DataFrame:
+    """Keys present, one month, the scaffold's rows exactly once, forecast schema, as rows of checks.
+
+    One aggregate a table and two shuffles of keys, in one job when the rows are read.
+    """
     rows, frame = with_area_id(base), with_area_id(scaffold)
+    own = {}
     for label, table in (("base input", rows), ("scaffold", frame)):
         Q.require_columns(table, AREA_MONTH, label)
-        Q.require_zero(table, Q.blank_checks(table, AREA_MONTH, "builder"), label)
+        own[label] = G.count_rules(Q.blank_checks(table, AREA_MONTH, "builder"))
         if "admin_code" in table.columns:
             same = F.col("area_id").eqNullSafe(normalize_area_id(F.col("admin_code")))
-            Q.require_zero(table, {"id_mismatch": ~same}, label)
-    Q.require_zero(rows, Q.month_check(year, month), "base input")
+            own[label].append(G.count_rule("id_mismatch", ~same))
+    own["base input"] += G.count_rules(Q.month_check(year, month))
+    mode = "model-input-forecast"
     keys = [t.select("area_id", *[Q.as_int(t, c).alias(c) for c in ("year", "month")]) for t in (rows, frame)]
-    compared = Q.require_same_universe(*keys, AREA_MONTH, "base input and scaffold")
-    if compared["left_repeats"]:
-        raise Q.QualityError(f"base input contains duplicate keys: {compared['left_repeats']}")
-    return {**compared, "schema": Q.require_schema(rows, "model-input-forecast")}
+    return (
+        G.counted(rows, {"base input": own["base input"], **G.schema_rules(rows, [mode])})
+        .unionByName(G.counted(frame, {"scaffold": own["scaffold"]}))
+        .unionByName(G.repeats(rows, {mode: SCHEMAS[mode]["key"]}))
+        .unionByName(G.key_sets({"base input": keys[0]}, AREA_MONTH, keys[1], unique=["base input"]))
+    )
 
 
-def validate_zonal_outputs(
-    wide: Mapping[str, DataFrame], long: Mapping[str, DataFrame], scaffold: DataFrame, year: int, month: int, comparison: str
-) -> str:
-    """Wide and long zonal tables against the scaffold ids; the reference comparison only warns."""
+def validate_base_input(base: DataFrame, scaffold: DataFrame, year: int, month: int) -> dict:
+    """Raise unless every check of :func:`base_input_gate` passes."""
+    found = G.judged(base_input_gate(base, scaffold, year, month), "base input gate")
+    return {**found["base input"], "schema": found["model-input-forecast"]}
+
+
+def zonal_gate(wide: Mapping[str, DataFrame], long: Mapping[str, DataFrame], scaffold: DataFrame, year: int, month: int) -> DataFrame:
+    """Wide and long zonal tables against the scaffold ids and the month, as rows of checks.
+
+    All tables' ids meet in one shuffle; a long table must have each id once and only the target month.
+    """
     name = f"{year}_{month:02d}"
     ids = scaffold.select("area_id").distinct()
+    tables: dict[str, DataFrame] = {}
     for label, table in wide.items():
-        Q.require_columns(table, ["region_id", name], label)
-        Q.require_same_universe(table.select(F.col("region_id").alias("area_id")), ids, ["area_id"], label)
+        Q.require_columns(table, ["region_id", name], f"wide {label}")
+        tables[f"wide {label}"] = table.select(F.col("region_id").alias("area_id"))
     for label, table in long.items():
-        Q.require_columns(table, [*AREA_MONTH, label], label)
-        counts = Q.require_same_universe(table, ids, ["area_id"], label)
-        if counts["left_repeats"]:
-            raise Q.QualityError(f"{label}: row count must match scaffold")
-        Q.require_zero(table, Q.month_check(year, month), label)
+        Q.require_columns(table, [*AREA_MONTH, label], f"long {label}")
+        tables[f"long {label}"] = table.select("area_id")
+    out = G.key_sets(tables, ["area_id"], ids, unique=[f"long {label}" for label in long])
+    for label, table in long.items():
+        out = out.unionByName(G.counted(table, {f"long {label}": G.count_rules(Q.month_check(year, month))}))
+    return out
+
+
+def validate_zonal_outputs(
+    wide: Mapping[str, DataFrame], long: Mapping[str, DataFrame], scaffold: DataFrame, year: int, month: int, comparison: str
+) -> str:
+    """Raise unless :func:`zonal_gate` passes; the reference comparison only warns."""
+    G.judged(zonal_gate(wide, long, scaffold, year, month), "zonal output gate")
     advisory = ("advisory_difference", "malformed_reference", "zero_matches", "insufficient_pairs")
     return "passed_with_warnings" if comparison in advisory else "passed"

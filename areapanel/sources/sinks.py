@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,3 +43,17 @@ def write_report(report: DataFrame, path: str, overwrite: bool = False) -> None:
     """JSON lines, keys in name order."""
     ordered = report.select(*[F.col(f"`{c}`") for c in sorted(report.columns)])
     ordered.write.mode("overwrite" if overwrite else "errorifexists").json(path)
+
+
+def write_chunks(parts: Iterable[DataFrame], folder: str, mode: str = "errorifexists") -> int:
+    """Each part as a chunk of its own under ``folder``, with the columns it has; returns the number of chunks."""
+    count = 0
+    for count, part in enumerate(parts, 1):
+        part.write.mode(mode).parquet(f"{folder}/chunk={count}")
+    return count
+
+
+def read_chunks(spark: SparkSession, folder: str, key: str = "region_id") -> DataFrame:
+    """All chunks under the sorted union of their columns; what a chunk lacks is null."""
+    merged = spark.read.option("mergeSchema", "true").parquet(folder).drop("chunk")
+    return merged.select(f"`{key}`", *[f"`{c}`" for c in sorted(c for c in merged.columns if c != key)])

@@ -4,7 +4,9 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from areapanel.functions.fixed import STATIC_FEATURE_COLUMNS
 from areapanel.operators import aggregates as A
+from areapanel.operators import gates as G
 from areapanel.operators import joins as J
 from areapanel.operators import quality as Q
 from areapanel.operators import static as S
@@ -104,7 +106,7 @@ def test_reference_statuses(spark):
 
 def test_schema_modes(spark):
     good = spark.createDataFrame([("1", "1.5", "2", "2026", "4"), ("2", "1.5", "2", "2026", "4")], "admin_code string, lat string, lon string, year string, month string")
-    metrics = Q.require_schema(good, "forecast-scaffold")
+    metrics = G.require_schema(good, "forecast-scaffold")
     assert (metrics["rows"], metrics["duplicate_rows"], metrics["min_month_index"]) == (2, 0, 2026 * 12 + 3)
     broken = {
         "duplicate_rows": good.unionByName(good.limit(1)),
@@ -117,16 +119,16 @@ def test_schema_modes(spark):
     }
     for reason, df in broken.items():
         with pytest.raises(Q.QualityError, match=reason):
-            Q.require_schema(df, "forecast-scaffold")
+            G.require_schema(df, "forecast-scaffold")
     with pytest.raises(Q.QualityError, match="missing columns"):
-        Q.require_schema(good, "historical-panel")
+        G.require_schema(good, "historical-panel")
     outcomes = good.select("*", *[F.lit("1" if i else "").alias(c) for i, c in enumerate(Q.OUTCOME_COLUMNS)])
     with pytest.raises(Q.QualityError, match="present_overall_phase"):
-        Q.require_schema(outcomes, "historical-panel")
-    static = good.select(F.col("admin_code").alias("area_id"), "*", *[F.lit("1").alias(c) for c in Q.STATIC_FEATURE_COLUMNS])
-    Q.require_schema(static, "fixed-slow-area")
+        G.require_schema(outcomes, "historical-panel")
+    static = good.select(F.col("admin_code").alias("area_id"), "*", *[F.lit("1").alias(c) for c in STATIC_FEATURE_COLUMNS])
+    G.require_schema(static, "fixed-slow-area")
     with pytest.raises(Q.QualityError, match="id_mismatch"):
-        Q.require_schema(static.withColumn("admin_code", F.lit("7")), "fixed-slow-area")
+        G.require_schema(static.withColumn("admin_code", F.lit("7")), "fixed-slow-area")
 
 
 def test_column_gates(spark):
