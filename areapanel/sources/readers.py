@@ -65,6 +65,11 @@ def combine_yearly(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         return named.withColumn("source_year", F.coalesce(own, F.col("_year"))).drop("_year")
     features = named.select(F.explode("features").alias("f"), "_year")
     records = [c for c in raw.columns if c not in COLLECTION_MEMBERS]
+    # A collection's own members stay out, unless list records have fields of these names.
+    members = [c for c in raw.columns if c in COLLECTION_MEMBERS and c != "features"]
+    if members:
+        had = raw.where("features IS NULL").agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in members]).first()
+        records += [c for c in members if had[c]]
     fields = features.schema["f"].dataType.fieldNames()
     properties = features.schema["f"].dataType["properties"].dataType.fieldNames() if "properties" in fields else []
     own = F.col("f.properties.source_year").cast("int") if "source_year" in properties else F.lit(None).cast("int")

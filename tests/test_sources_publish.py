@@ -37,6 +37,10 @@ def test_yearly_json(spark, tmp_path):
     assert rows(areas, "name", "source_year") == [("a", 2020), ("b", 1999)]
     records = readers.combine_yearly(spark, [str(tmp_path / "list_2020.json"), str(tmp_path / "list_2021.json")])
     assert rows(records, "k", "source_year") == [(2020, 2020), (2021, 5), (2021, 2021), (2022, 5)]
+    (tmp_path / "mixed_2019.json").write_text(json.dumps([{"type": "t", "name": "n", "bbox": "b", "k": 1}]))
+    mixed = readers.combine_yearly(spark, [str(tmp_path / "areas_2020.json"), str(tmp_path / "mixed_2019.json")])
+    assert rows(mixed.where("k = 1"), "type", "name", "bbox", "source_year") == [("t", "n", "b", 2019)]
+    assert rows(mixed, "name", "source_year") == [("a", 2020), ("n", 2019)] and "crs" not in mixed.columns
 
 
 def test_pixels_named_by_month(spark, tmp_path):
