@@ -139,6 +139,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold an item; rows without an id are judged as one document."""
-    found = overlaps(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    """``docs`` without the documents that hold an item.
+
+    Rows without an id are judged by their texts, so equal texts share a verdict and others keep their own.
+    The rows stay inside a struct, so no column of theirs can clash.
+    """
+    given = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = F.concat(F.lit("text "), F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    key = F.when(F.col("doc_id").isNotNull(), F.concat(F.lit("id "), F.col("doc_id").cast("string"))).otherwise(own)
+    keyed = docs.select(given, key.alias("doc_id"), F.col("text").alias("text"))
+    found = overlaps(keyed.select("doc_id", "text"), benchmark).select("doc_id").distinct()
+    return keyed.select("row", "doc_id").join(found, "doc_id", "left_anti").select("row.*")

@@ -112,3 +112,15 @@ def test_short_items(spark):
     right = brute(docs, bench)
     assert found(spark, docs, bench) == right
     assert {(1000 * n, n) for n in range(1, 17)} <= {r[:2] for r in right}
+
+
+def test_rows_without_id_are_judged_singly(spark):
+    item = " ".join(f"leak{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item, 1, "a"), (None, "a clean text of its own", 2, "b"), (None, None, 3, "c"), (5, item, 4, "d"), (6, "clean", 5, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _leaked int, row string")
+    kept = D.decontaminate(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(r["_leaked"] for r in kept.collect()) == [2, 3, 5]
+    assert D.decontaminate(docs.limit(0), bench).count() == 0
+    assert D.decontaminate(docs, bench.limit(0)).count() == 5
