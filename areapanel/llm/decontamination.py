@@ -24,6 +24,9 @@ SHARE = 70
 RUN = 13
 """Or so many matching words with no two mismatches in a row."""
 
+BLOCK = 256
+"""Words of a block of a document."""
+
 BROADCAST_SEEDS = 1_000_000
 """Benchmark seeds that are sent to all executors at most (24 bytes each); beyond, both sides are shuffled."""
 
@@ -85,6 +88,39 @@ def seed_hits(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASK
     return met.select("doc_id", "item_id", (F.col("place") - F.col("_place")).alias("lag")).distinct()
 
 
+def with_own_key(table: DataFrame, key: str) -> DataFrame:
+    """(key, text) where the key is a struct of the id and the text's hash, so that rows sharing an id stay apart."""
+    return table.select(F.struct(F.col(key).alias("id"), F.xxhash64("text").alias("mark")).alias(key), "text")
+
+
+def laid_pieces(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str]) -> DataFrame:
+    """(doc_id, item_id, lag, _n, _same): per hit, whether each of the item's words stands at its place in the document.
+
+    A text with hits is split once into blocks of BLOCK words; a hit meets only the blocks under its
+    item, so its work follows the item and not the document. Places before the first block or beyond the
+    last are left out of ``_same``; they match nothing.
+    """
+    docs, benchmark = with_own_key(docs, "doc_id"), with_own_key(benchmark, "item_id").dropDuplicates(["item_id"])
+    hits = seed_hits(docs, benchmark, masks)
+    held = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
+    split = held.select("doc_id", plain_words(F.col("text")).alias("_words"))
+    count = F.ceil(F.size("_words") / BLOCK).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(F.col("_words"), b * BLOCK + 1, F.lit(BLOCK)))
+    blocks = split.where(F.size("_words") > 0).select("doc_id", F.posexplode(cut).alias("_block", "_under"))
+    items = benchmark.select("item_id", plain_words(F.col("text")).alias("_item")).withColumn("_n", F.size("_item"))
+    lag, base = F.col("lag"), F.col("_block") * BLOCK
+    low, high = F.floor(F.greatest(lag, F.lit(0)) / BLOCK).cast("int"), F.floor((lag + F.col("_n") - 1) / BLOCK).cast("int")
+    asked = hits.join(items, "item_id").withColumn("_block", F.explode(F.sequence(low, high)))
+    first = F.greatest(base - lag, F.lit(0))
+    length = F.least(F.col("_n"), base + BLOCK - lag) - first
+    asked = asked.select("doc_id", "item_id", "lag", "_n", "_block", F.slice("_item", first + 1, length).alias("_wanted"), (first + lag - base).alias("_from"))
+    under = F.slice("_under", F.col("_from") + 1, F.size("_wanted"))
+    same = F.zip_with("_wanted", under, lambda w, u: F.coalesce(w == u, F.lit(False)))
+    met = asked.join(blocks, ["doc_id", "_block"]).select("doc_id", "item_id", "lag", "_n", F.struct("_block", same.alias("same")).alias("_piece"))
+    pieces = met.groupBy("doc_id", "item_id", "lag", "_n").agg(F.array_sort(F.collect_set("_piece")).alias("_pieces"))
+    return pieces.select("doc_id", "item_id", "lag", "_n", F.flatten(F.transform("_pieces", lambda p: p["same"])).alias("_same"))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS, share: int = SHARE, run: int = RUN) -> DataFrame:
     """(doc_id, item_id, n_matched, n_item_words, longest_run, first_word) of each document that holds an item.
 
@@ -92,22 +128,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS
     may be replaced in between. One row per document and item, the best alignment, first on ties. MASKS
     for items of LONG words or more, and SHORT_MASKS for the others, miss no alignment with SHARE or a RUN;
     they promise nothing below these bounds. Null and empty texts have no seeds. Rows that share a doc_id
-    are one document; null ids meet null ids. Other columns are ignored.
+    are judged by their own texts and reported under one id; null ids are one id. Other columns are ignored.
     """
-    hits = seed_hits(docs, benchmark, masks).select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), "lag")
-    texts = docs.select("doc_id", F.col("text").alias("_text"))
-    items = benchmark.select("item_id", plain_words(F.col("text")).alias("_item_words"))
-    laid = (
-        texts.join(hits, F.col("doc_id").eqNullSafe(F.col("_doc")))
-        .join(items, F.col("_item").eqNullSafe(F.col("item_id")))
-        .select("doc_id", "item_id", "lag", "_item_words", plain_words(F.col("_text")).alias("_words"))
-    )
-    size, lag = F.size("_item_words"), F.col("lag")
-    ahead = F.concat(F.array_repeat(F.lit(None).cast("string"), -lag), F.slice("_words", F.lit(1), size + lag))
-    # The words of the document under the item; null before its start and beyond its end.
-    under = F.when(lag >= 0, F.slice("_words", lag + 1, size)).otherwise(ahead)
-    same = F.zip_with("_item_words", under, lambda w, u: F.coalesce(w == u, F.lit(False)))
-    compared = laid.select("doc_id", "item_id", "lag", same.alias("_same"))
+    compared = laid_pieces(docs, benchmark, masks)
     folded = F.aggregate(
         "_same",
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("missed"), F.lit(0).alias("best")),
@@ -120,11 +143,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS
         ),
     )
     counted = compared.select(
-        "doc_id",
-        "item_id",
+        F.col("doc_id.id").alias("doc_id"),
+        F.col("item_id.id").alias("item_id"),
         "lag",
         F.size(F.filter("_same", lambda s: s)).alias("n_matched"),
-        F.size("_same").alias("n_item_words"),
+        F.col("_n").alias("n_item_words"),
         folded["best"].alias("longest_run"),
     ).where((100 * F.col("n_matched") >= share * F.col("n_item_words")) | (F.col("longest_run") >= run))
     best = F.max(F.struct("n_matched", (-F.col("lag")).alias("back"), "n_item_words", "longest_run")).alias("_best")

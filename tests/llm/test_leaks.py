@@ -124,3 +124,28 @@ def test_rows_without_id_are_judged_singly(spark):
     assert sorted(r["_leaked"] for r in kept.collect()) == [2, 3, 5]
     assert D.decontaminate(docs.limit(0), bench).count() == 0
     assert D.decontaminate(docs, bench.limit(0)).count() == 5
+
+
+def test_blocks_of_long_texts(spark):
+    bench = [(1, "often"), (2, " ".join(f"w{j}" for j in range(700))), (3, "x y z"), (3, "other words here"), (None, "no id at all")]
+    around = [" ".join(f"f{j}" for j in range(n)) for n in (0, 250, 255, 256, 511)]
+    docs = [(k, f"{a} {bench[1][1]} {a}") for k, a in enumerate(around)]
+    docs += [(10, " ".join(bench[1][1].split()[300:])), (11, " ".join(bench[1][1].split()[:500])), (12, f"{around[2]} x y z"), (12, "other words here")]
+    docs += [(13, "x q z"), (13, "x q z"), (None, "x y z"), (None, "no id at all"), (14, f"{around[3]} often")]
+    rows = D.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    got = {tuple(r)[:4] for r in rows.collect()}
+    assert got == {r[:4] for r in brute_rows(docs, bench)}
+
+
+def brute_rows(docs, bench):
+    """As brute, where ids repeat or are null: the best of all pairs of rows under one pair of ids."""
+    best = {}
+    for d, i in product(docs, bench):
+        for _, _, n, size, run, at in brute([(0, d[1])], [(0, i[1])]):
+            best[d[0], i[0]] = max(best.get((d[0], i[0]), (0, 0)), (n, size, run, at))
+    return [(d, i, n, size, run, at) for (d, i), (n, size, run, at) in best.items()]
+
+
+def test_a_frequent_seed_in_a_long_text(spark):
+    docs = [(1, "the word " * 40_000)]
+    assert found(spark, docs, [(1, "word"), (2, "not there")]) == [(1, 1, 1, 1, 1, 1)]
