@@ -10,7 +10,7 @@ from ..functions.fixed import LAND_SURFACE_BANDS
 from ..operators import dedup, joins, reshape, series
 from ..operators.aggregates import latest_month
 from ..plans.indicators import indicator
-from ..plans.monthly import assemble_month, assembly_summary
+from ..plans.monthly import assemble_month, assembly_missingness, assembly_summary
 from ..plans.scaffold import month_universe, monthly_scaffold
 from ..session import cut_lineage, shared_folder
 from ..sources.sinks import read_chunks, write_chunks
@@ -53,8 +53,11 @@ assembled AS (
   FROM scaffold s LEFT JOIN static t USING (area_id) LEFT JOIN slice p USING (area_id))"""
 
 
-def assembly(spark, sf_dir, only=None):
-    """Scaffold, static and panel inputs from the tables; ids need normalising on the scaffold side."""
+def assembly(spark, sf_dir, only=None, check=False, repeats=False):
+    """Scaffold, static and panel inputs from the tables; ids need normalising on the scaffold side.
+
+    With ``repeats`` every 13th area's panel rows stand twice, the second dearer, and every 17th area's once more without id.
+    """
     customer = table(spark, sf_dir, "customer")
     scaffold = customer.select(
         F.expr(_RAW_ADMIN).alias("admin_code"),
@@ -89,7 +92,11 @@ def assembly(spark, sf_dir, only=None):
         F.col("price_sum").alias("price_sum__l12"),
         F.col("order_cnt").alias("order_lag1"),
     )
-    return assemble_month(scaffold, static, source, TARGET_YEAR, TARGET_MONTH, order=["price_sum"], check=False)
+    if repeats:
+        area = F.col("admin_code").cast("long")
+        dearer = source.where(area % 13 == 0).withColumn("price_sum", F.col("price_sum") + 1)
+        source = source.unionByName(dearer).unionByName(source.where(area % 17 == 0).withColumn("admin_code", F.lit(" ")))
+    return assemble_month(scaffold, static, source, TARGET_YEAR, TARGET_MONTH, order=["price_sum"], check=check)
 
 
 @query(
@@ -110,8 +117,9 @@ WITH {_ASSEMBLY_SQL}
 SELECT count(*) AS row_count, count(*) FILTER (static_hit) AS static_matched, count(*) FILTER (NOT static_hit) AS static_unmatched,
        count(*) FILTER (source_hit) AS source_matched, count(*) FILTER (NOT source_hit) AS source_unmatched,
        count(country) AS static_with_values, count(order_cnt) AS source_with_values, CAST(12 AS INTEGER) AS column_count,
+       CAST(4 AS INTEGER) AS static_feature_columns, CAST(2 AS INTEGER) AS source_feature_columns,
        (SELECT count(*) FROM monthly) AS scanned_rows,
-       (SELECT count(*) FROM slice) AS target_month_rows, CAST(0 AS BIGINT) AS duplicate_rows,
+       (SELECT count(*) FROM slice) AS target_month_rows, CAST(0 AS BIGINT) AS duplicate_rows, CAST(0 AS BIGINT) AS blank_id_rows,
        (SELECT count(*) > 0 FROM slice) AS target_month_present
 FROM assembled""",
 )
@@ -120,6 +128,57 @@ def m1_assembly_summary(spark, sf_dir):
     return assembly_summary(assembly(spark, sf_dir))
 
 
+_REPEATS_SQL = f"""{_ASSEMBLY_SQL},
+repeated AS (
+  SELECT CAST(area_id AS VARCHAR) AS area_id, year, month FROM monthly
+  UNION ALL SELECT CAST(area_id AS VARCHAR), year, month FROM monthly WHERE area_id % 13 = 0
+  UNION ALL SELECT '', year, month FROM monthly WHERE area_id % 17 = 0),
+here AS (SELECT area_id, count(*) AS n FROM repeated WHERE year = {TARGET_YEAR} AND month = {TARGET_MONTH} GROUP BY ALL)"""
+
+
+@query(
+    "j1_checked_month",
+    f"""
+WITH {_ASSEMBLY_SQL}
+SELECT area_id, admin_code, lat, lon, year, month, country, region, n_suppliers, overlap, order_cnt, price_sum FROM assembled""",
+)
+def j1_checked_month(spark, sf_dir):
+    """The gates run first; the panel has repeated rows, of which the cheapest stays, and rows without id, which match nothing."""
+    return assembly(spark, sf_dir, check=True, repeats=True).base
+
+
+@query(
+    "m1_repeated_panel",
+    f"""
+WITH {_REPEATS_SQL}
+SELECT count(*) AS row_count, count(*) FILTER (static_hit) AS static_matched, count(*) FILTER (NOT static_hit) AS static_unmatched,
+       count(*) FILTER (source_hit) AS source_matched, count(*) FILTER (NOT source_hit) AS source_unmatched,
+       count(country) AS static_with_values, count(order_cnt) AS source_with_values, CAST(12 AS INTEGER) AS column_count,
+       CAST(4 AS INTEGER) AS static_feature_columns, CAST(2 AS INTEGER) AS source_feature_columns,
+       (SELECT count(*) FROM repeated) AS scanned_rows, (SELECT CAST(sum(n) AS BIGINT) FROM here) AS target_month_rows,
+       (SELECT CAST(sum(n - 1) AS BIGINT) FROM here) AS duplicate_rows,
+       (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM here WHERE area_id = '') AS blank_id_rows,
+       (SELECT count(*) > 0 FROM here) AS target_month_present
+FROM assembled""",
+)
+def m1_repeated_panel(spark, sf_dir):
+    """M1: the summary over a panel with repeated rows and rows without id."""
+    return assembly_summary(assembly(spark, sf_dir, repeats=True))
+
+
+_BASE = ["area_id", "admin_code", "lat", "lon", "year", "month", "country", "region", "n_suppliers", "overlap", "order_cnt", "price_sum"]
+_BASE_MISSING_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing_count, CAST(count(*) - count({c}) AS DOUBLE) / count(*) AS missing_rate FROM assembled"
+    for c in _BASE
+)
+
+
+@query("m1_missingness", f"WITH {_ASSEMBLY_SQL} {_BASE_MISSING_SQL}")
+def m1_missingness(spark, sf_dir):
+    """M1: missing values of every column of the assembled month."""
+    return assembly_missingness(assembly(spark, sf_dir))
+
+
 # ---- joins ------------------------------------------------------------------------------------------
 
 

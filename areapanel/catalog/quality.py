@@ -9,7 +9,7 @@ from ..functions.fixed import OUTCOME_COLUMNS, SCHEMAS, STATIC_FEATURE_COLUMNS
 from ..operators import gates as G
 from ..operators import quality as Q
 from ..plans.monthly import base_input_gate, zonal_gate
-from ..sources.lineage import file_lineage
+from ..sources.lineage import file_lineage, lineage_with_rows, row_counts
 from . import Registry
 from .views import MONTHLY_SQL, PANEL_SQL, TARGET_MONTH, TARGET_YEAR, monthly_orders, panel, spine, table
 
@@ -282,3 +282,18 @@ def q18_missing_rates(spark, sf_dir):
 def s8_lineage(spark, sf_dir):
     """Name, size and sha256 of every table file; file facts have no SQL."""
     return file_lineage(spark, sf_dir, "*.parquet").select("name", "length", "sha256")
+
+
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+@query(
+    "s8_table_rows",
+    " UNION ALL ".join(f"SELECT '{t}.parquet' AS table_file, count(*) AS data_rows FROM {t}" for t in _TABLES),
+)
+def s8_table_rows(spark, sf_dir):
+    """File facts joined with the rows of each file by its path, added up by table."""
+    counts = [row_counts(table(spark, sf_dir, t)) for t in _TABLES]
+    files = file_lineage(spark, sf_dir, "*.parquet", checksum=False).withColumn("table_file", F.regexp_extract("path", r"([^/]+\.parquet)(/[^/]*)?$", 1))
+    found = lineage_with_rows(files.where(F.col("table_file").isin([f"{t}.parquet" for t in _TABLES])), *counts)
+    return found.groupBy("table_file").agg(F.sum("data_rows").alias("data_rows"))

@@ -124,8 +124,16 @@ def assemble_month(
     return Assembly(joined.select(*[_col(c) for c in ordered], *hits), static_columns, carried, panel, year, month)
 
 
+def assembly_missingness(assembly: Assembly) -> DataFrame:
+    """``column, missing_count, missing_rate`` of every base column, in one aggregate."""
+    return Q.missingness(assembly.base)
+
+
 def assembly_summary(assembly: Assembly) -> DataFrame:
-    """One row: sizes, key hits and value hits per join, and the panel side's counts."""
+    """One row: sizes, feature columns, key hits and value hits per join, and the panel side's counts.
+
+    Blank ids of the panel are one key, as any other id; they match nothing and are counted once more apart.
+    """
 
     def any_value(columns: Sequence[str]) -> Column:
         found = F.lit(False)
@@ -152,6 +160,7 @@ def assembly_summary(assembly: Assembly) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("scanned_rows"),
         F.coalesce(F.sum(here), F.lit(0)).alias("target_month_rows"),
         F.coalesce(F.sum(here - 1), F.lit(0)).alias("duplicate_rows"),
+        F.coalesce(F.sum(F.when(F.col("area_id") == "", here)), F.lit(0)).alias("blank_id_rows"),
     )
     return (
         left.withColumn("_one", F.lit(1))
@@ -159,6 +168,8 @@ def assembly_summary(assembly: Assembly) -> DataFrame:
         .select(
             *left.columns,
             F.lit(len(assembly.base.columns)).alias("column_count"),
+            F.lit(len(assembly.static_columns)).alias("static_feature_columns"),
+            F.lit(len(assembly.source_columns)).alias("source_feature_columns"),
             *right.columns,
             (F.col("target_month_rows") > 0).alias("target_month_present"),
         )

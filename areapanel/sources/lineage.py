@@ -6,11 +6,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def _hasher(chunk_bytes: int = 8 * 1024 * 1024):
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -52,10 +51,38 @@ def file_lineage(spark: SparkSession, path: str, pattern: str = "*", checksum: b
 
 def csv_row_counts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Data rows per CSV file, header not counted."""
-    rows = spark.read.option("header", True).option("multiLine", multi_line).csv(path)
+    return row_counts(spark.read.option("header", True).option("multiLine", multi_line).csv(path))
+
+
+def row_counts(rows: DataFrame) -> DataFrame:
+    """``path, data_rows`` of the files that ``rows`` were read from, by any reader; no column is read for it."""
     return rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("data_rows"))
 
 
+def lineage_with_rows(files: DataFrame, *counts: DataFrame) -> DataFrame:
+    """File facts with each file's data rows: 0 where a table was read and the file gave none, null where none of ``counts`` saw its kind."""
+    counted = counts[0]
+    for more in counts[1:]:
+        counted = counted.unionByName(more)
+    kinds = counted.select(_suffix("path").alias("_kind")).distinct()
+    # Row metadata name a file as a quoted URI, the listing as a plain one.
+    unquoted = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
+    bare = counted.select(_local(unquoted).alias("_plain"), "data_rows")
+    met = files.withColumns({"_plain": _local(F.col("path")), "_kind": _suffix("path")}).join(bare, "_plain", "left")
+    known = met.join(kinds.withColumn("_read", F.lit(True)), "_kind", "left")
+    rows = F.coalesce("data_rows", F.when(F.col("_read"), 0)).cast("long")
+    return known.select(*[F.col(f"`{c}`") for c in files.columns], rows.alias("data_rows"))
+
+
+def _local(path: Column) -> Column:
+    """One spelling of file:/x and file:///x."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _suffix(path: str) -> Column:
+    return F.regexp_extract(path, r"\.([^./]+)$", 1)
+
+
 def missing_files(expected: DataFrame, found: DataFrame, name: str = "name") -> DataFrame:
     """Expected file names that were not found."""
     return expected.join(found.select(name), name, "left_anti")

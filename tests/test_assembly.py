@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from areapanel.operators.quality import QualityError
-from areapanel.plans.monthly import assemble_month, assembly_summary, is_engineered, source_columns, validate_base_input, validate_zonal_outputs
+from areapanel.plans.monthly import assemble_month, assembly_missingness, assembly_summary, is_engineered, source_columns, validate_base_input, validate_zonal_outputs
 from areapanel.plans.scaffold import month_spine, month_universe, monthly_scaffold
 from conftest import rows
 
@@ -46,6 +46,9 @@ def test_future_month_keeps_rows(spark, inputs):
     assert (row["crop"], row["EVI_mean"]) == (1.0, None)
     s = assembly_summary(done).first()
     assert (s["source_matched"], s["source_unmatched"], s["target_month_present"]) == (0, 1, False)
+    assert s["static_feature_columns"] + s["source_feature_columns"] + 6 == s["column_count"] == len(done.base.columns)
+    missing = {r["column"]: (r["missing_count"], r["missing_rate"]) for r in assembly_missingness(done).collect()}
+    assert list(missing) == done.base.columns and missing["EVI_mean"] == (1, 1.0) and missing["crop"] == (0, 0.0)
 
 
 def test_padded_ids_and_text_months(spark, inputs):
@@ -64,6 +67,10 @@ def test_duplicates(spark, inputs):
     kept = assemble_month(scaffold, static, twice, 2026, 4, order=["EVI_mean"])
     assert rows(kept.base, "area_id", "EVI_mean") == [("101", 0.23), ("102", 0.31)]
     assert assembly_summary(kept).first()["duplicate_rows"] == 2
+    blank = panel.where("year = 2026 and month = 4").withColumn("admin_code", F.lit(" "))
+    some = assemble_month(scaffold, static, panel.unionByName(blank), 2026, 4, order=["EVI_mean"])
+    s = assembly_summary(some).first()
+    assert (s["blank_id_rows"], s["duplicate_rows"], s["source_matched"], s["target_month_rows"]) == (2, 1, 2, 4)
     with pytest.raises(QualityError, match="panel slice"):
         assemble_month(scaffold, static, twice, 2026, 4, on_duplicate="fail")
     with pytest.raises(QualityError, match="scaffold"):

@@ -77,6 +77,14 @@ def test_lineage(spark, tmp_path):
     assert counts == {"one.csv": 2, "two.csv": 1}
     expected = spark.createDataFrame([("one.csv",), ("three.csv",)], "name string")
     assert rows(lineage.missing_files(expected, found)) == [("three.csv",)]
+    (tmp_path / "a b+c%.csv").write_text("x\n1\n2\n")
+    (tmp_path / "none.csv").write_text("x\n")
+    (tmp_path / "note.txt").write_text("free text")
+    files = lineage.file_lineage(spark, str(tmp_path), checksum=False)
+    both = lineage.lineage_with_rows(files, lineage.row_counts(spark.read.option("header", True).csv(str(tmp_path / "*.csv"))))
+    rows_by_name = {r["name"]: r["data_rows"] for r in both.collect()}
+    assert rows_by_name["a b+c%.csv"] == 2
+    assert rows_by_name["none.csv"] == 0 and rows_by_name["note.txt"] is None and both.count() == files.count()
 
 
 @pytest.fixture(scope="module")
