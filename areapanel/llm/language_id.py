@@ -297,8 +297,10 @@ def keep_known(docs: DataFrame, most: float = PHRASES_PER_CHAR) -> DataFrame:
     """``docs`` without the rows whose language is ``und`` or that are far from every learned one. No shuffle for one block of languages."""
     parts = blocks(training_text(docs.select("doc_id", "lang", "text")))
     if len(parts) > 1:
-        near = best_of_blocks(docs.select("text"), parts).where(F.col("phrases") - 1 <= most * F.col("n")).select(F.col("key").alias("_key"))
-        return docs.join(near, text_key() == F.col("_key"), "left_semi")
+        near = best_of_blocks(docs.select("text"), parts).where(F.col("phrases") - 1 <= most * F.col("n")).select("key")
+        # The rows stay inside a struct, so no column of theirs can clash.
+        keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_key().alias("key"))
+        return keyed.join(near, "key", "left_semi").select("row.*")
     best = _best(_counter(parts[0]))
 
     def keep(batches):

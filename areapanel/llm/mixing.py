@@ -47,10 +47,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     return table.select("source", "source_size", target.alias("target"))
 
 
-def chance(doc_id: Column, seed: int) -> Column:
-    """A number in [0, 1) that the id and the seed decide."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / 4294967296.0
+def chance(doc_id: Column, text: Column, seed: int) -> Column:
+    """A number in [0, 1) that the seed and the id decide, or the text where there is no id."""
+    own = F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    drawn = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), own))
+    return F.conv(F.substring(F.md5(drawn.cast("binary")), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
 def with_copies(docs: DataFrame, seed: int = 0, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -60,15 +61,15 @@ def with_copies(docs: DataFrame, seed: int = 0, weights: Sequence[int] = WEIGHTS
     is below the fraction. The table of sources is joined left with the documents on its streamed
     side, so a source with most rows is split by adaptive execution or read in place by a broadcast
     that Spark checks the size of. Rows without a source form a source of their own; an empty or
-    null text has size 0 and is taken without adding words. Repeated rows share their chance. Other
-    columns stay inside the struct, so their names cannot clash.
+    null text has size 0 and is taken without adding words. Repeated rows share
+    their chance, and rows without id draw by their text. Other columns stay inside the struct, so their names cannot clash.
     """
     sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), n_words(F.col("text")).alias("size"))
     targets = source_targets(sized.select(F.col("row.source").alias("source"), "size"), weights, share, most)
     joined = sized.join(targets, F.col("row.source").eqNullSafe(F.col("source")), "left").drop("source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    extra = F.when(chance(F.col("row.doc_id"), seed) < rate - whole, 1).otherwise(0)
+    extra = F.when(chance(F.col("row.doc_id"), F.col("row.text"), seed) < rate - whole, 1).otherwise(0)
     return joined.withColumn("copies", (whole + extra).cast("long"))
 
 
@@ -87,7 +88,7 @@ def mixing_report(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 MIXING_SQL = r"""
 WITH RECURSIVE sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5(coalesce(text, ''))) AS drawn, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          list_extract([5, 2, 1], (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1) AS weight
@@ -106,7 +107,7 @@ targets AS (
   FROM totals, final),
 rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         CAST(('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) / 4294967296.0 AS chance
+         CAST(('0x' || substr(md5('0:' || drawn), 1, 8)) AS BIGINT) / 4294967296.0 AS chance
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target,
        CAST(size * (floor(rate) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
