@@ -43,6 +43,14 @@ SAMPLE_NODES = 2048
 HOT_SHARE = 64
 """A shingle that more than one in HOT_SHARE sampled nodes have comes last in the common order."""
 
+COUNT_BYTES = 16 << 20
+"""Text whose tokens one bucket of the coarse bound takes; few buckets keep a node's tokens together under one name."""
+
+ROWS, COUNTS, TOKENS = 0, 1, 2
+"""What a dealt value holds: rows of documents, counts by node, tokens by node."""
+
+DEALT = "group int, kind int, blob binary"
+_DEALT = pa.schema([("group", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 _PACKED = pa.schema([("group", pa.int32()), ("blob", pa.binary())])
 _NODES = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("node", pa.binary())])
 _LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -79,107 +87,162 @@ def _sets(batch):
             yield row, tokens
 
 
-def _name(batches):
-    for batch in batches:
-        ids, marks = sp.columns_of(batch, "id", "mark")
-        size, names = np.zeros(len(ids), np.int64), [None] * len(ids)
-        for row, tokens in _sets(batch):
-            size[row], names[row] = len(tokens), node_of(tokens)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks), pa.array(size), pa.array(names, pa.binary())], schema=_NODES)
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+
 
+def _dealt(group: int, kind: int, *arrays: np.ndarray) -> pa.RecordBatch:
+    return sp.rows_batch(_DEALT, [(group, kind, sp.pack(*arrays))])
 
-def short_name(node: bytes) -> int:
-    return int.from_bytes(node[:6], "little")
 
+def _by_name(names: np.ndarray, counts: np.ndarray, groups: int):
+    """Packed (names, counts) of the nodes that have any, by name."""
+    some = counts > 0
+    names, counts = names[some], counts[some]
+    for group, at in sp.by_group((names[:, 0] % np.uint64(groups)).astype(np.int64)):
+        yield _dealt(group, COUNTS, names[at].reshape(-1), counts[at].astype(np.int64))
 
-def _deal(parts: int):
-    """Tokens by bucket, node by node; of a token that many nodes of a batch have, two say so and the rest is counted here."""
+
+def _deal(parts: int, groups: int):
+    """Each text is hashed once here: its row (id, mark, size, node), and its tokens by bucket, node by node.
+
+    Of a token that many nodes of a batch have, two say so and the rest is counted here.
+    """
 
     def deal(batches):
-        for batch in batches:
-            names, lists, seen = [], [], set()
-            for _, tokens in _sets(batch):
-                name = short_name(node_of(tokens))
-                if name not in seen:
-                    seen.add(name)
-                    names.append(name)
+        for batch in sp.larger(batches):
+            if not batch.num_rows:
+                continue
+            ids, marks = sp.columns_of(batch, "id", "mark")
+            size, names, lists, seen = np.zeros(len(ids), np.int64), np.zeros((len(ids), 2), np.uint64), [], {}
+            for row, tokens in _sets(batch):
+                node = node_of(tokens)
+                size[row], names[row] = len(tokens), np.frombuffer(node, np.uint64)
+                if node not in seen:
+                    seen[node] = row
                     lists.append(tokens)
-            if not names:
+            yield _dealt(int(np.uint64(marks.view(np.uint64)[0]) % np.uint64(parts)), ROWS, ids, marks, size, names.reshape(-1))
+            if not lists:
                 continue
-            names = np.array(names, np.uint64)
+            names = names[list(seen.values())]
             owner = np.repeat(np.arange(len(names)), [len(x) for x in lists])
             tokens = np.concatenate(lists)
             order = np.argsort(tokens, kind="stable")
-            ranked = tokens[order]
-            first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-            nth = np.arange(len(ranked)) - np.repeat(first, np.diff(np.append(first, len(ranked))))
+            first = _runs(tokens[order])
+            nth = np.arange(len(tokens)) - np.repeat(first, np.diff(np.append(first, len(tokens))))
             spare = np.zeros(len(tokens), bool)
             spare[order] = nth >= 2
-            counts = np.bincount(owner[spare], minlength=len(names))
-            for group, at in sp.by_group((names[counts > 0] % np.uint64(parts)).astype(np.int64)):
-                kept = np.flatnonzero(counts > 0)[at]
-                yield sp.rows_batch(_PACKED, [(group, sp.pack(names[kept], counts[kept].astype(np.int64)))])
+            for group, at in sp.by_group((names[:, 0] % np.uint64(parts)).astype(np.int64)):
+                counts = np.bincount(owner[spare], minlength=len(names))[at]
+                if counts.any():
+                    yield _dealt(group, COUNTS, names[at][counts > 0].reshape(-1), counts[counts > 0].astype(np.int64))
             owner, tokens = owner[~spare], tokens[~spare]
             for group, at in sp.by_group((tokens % np.uint64(parts)).astype(np.int64)):
-                used, sizes = np.unique(owner[at], return_counts=True)
-                name = names[used]
-                blob = sp.pack(
-                    (name & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-                    (name >> np.uint64(32)).astype(np.uint16),
-                    sizes.astype(np.uint32),
-                    (tokens[at] >> np.uint64(32)).astype(np.uint32),
-                )
-                yield sp.rows_batch(_PACKED, [(group, blob)])
+                mine = owner[at]
+                begins = _runs(mine)
+                sizes = np.diff(np.append(begins, len(mine))).astype(np.uint32)
+                yield _dealt(group, TOKENS, names[mine[begins]].reshape(-1), sizes, (tokens[at] >> np.uint64(32)).astype(np.uint32))
 
     return deal
 
 
-def _count(parts: int):
-    """How many tokens of each node another node has too, in this bucket."""
+def _count(groups: int):
+    """How many tokens of each node another node has too, in this bucket; never fewer, as an upper bound must be.
+
+    A node that several batches hold is taken once. Tokens are cut to 32 bits: two that become equal
+    both count, so that a cut can only raise a count. Rows are passed on.
+    """
 
     def count(batches):
-        names, tokens, passed = [], [], []
+        names, sizes, tokens = [np.zeros((0, 2), np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
         for batch in batches:
-            for blob in batch.column(1).to_pylist():
-                arrays = sp.unpack(blob)
-                if len(arrays) == 2:
-                    passed.append(arrays)
+            for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if kind == ROWS:
+                    yield sp.rows_batch(_DEALT, [(0, ROWS, blob)])
+                    continue
+                name, *rest = sp.unpack(blob)
+                name = name.reshape(-1, 2)
+                if kind == COUNTS:
+                    yield from _by_name(name, rest[0], groups)
                 else:
-                    low, high, sizes, values = arrays
-                    name = low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
-                    names.append(np.repeat(name, sizes))
-                    tokens.append(values)
-        found_names, found_counts = [p[0] for p in passed], [p[1] for p in passed]
-        if names:
-            names, tokens = np.concatenate(names), np.concatenate(tokens)
-            order = np.argsort(tokens, kind="stable")
-            names, tokens = names[order], tokens[order]
-            first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
-            length = np.diff(np.append(first, len(tokens)))
-            other = np.minimum.reduceat(names, first) != np.maximum.reduceat(names, first)
-            shared = np.repeat(other, length)
-            # A node that several batches hold counts each token once.
-            pairs = np.unique(np.stack([names[shared], tokens[shared].astype(np.uint64)], axis=1), axis=0)
-            name, count_ = np.unique(pairs[:, 0], return_counts=True)
-            found_names.append(name)
-            found_counts.append(count_)
-        if found_names:
-            name, inverse = np.unique(np.concatenate(found_names), return_inverse=True)
-            total = np.bincount(inverse, np.concatenate(found_counts)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(name.astype(np.int64)), pa.array(total)], names=["name", "shared"])
+                    names.append(name)
+                    sizes.append(rest[0])
+                    tokens.append(rest[1])
+        names, sizes, tokens = np.concatenate(names), np.concatenate(sizes), np.concatenate(tokens)
+        if not len(tokens):
+            return
+        order = np.lexsort((names[:, 1], names[:, 0]))
+        same = (names[order][1:] == names[order][:-1]).all(axis=1)
+        again = np.zeros(len(names), bool)
+        again[order[1:]] = same
+        owner = np.repeat(np.arange(len(names), dtype=np.uint64), sizes)
+        once = np.repeat(~again, sizes)
+        ranked = np.sort((tokens[once].astype(np.uint64) << np.uint64(32)) | owner[once])
+        owner = (ranked & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = _runs(ranked >> np.uint64(32))
+        last = np.append(first[1:], len(ranked)) - 1
+        shared = np.repeat(owner[first] != owner[last], last - first + 1)
+        yield from _by_name(names, np.bincount(owner[shared], minlength=len(names)), groups)
 
     return count
 
 
-def near_copies(rows: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
+FOLD = 1 << 20
+"""Counts held before they are added up by node."""
+
+
+def _total(batches):
+    """(node, shared): the counts of all buckets added up; a task sees every count of its nodes."""
+
+    def folded(names, counts):
+        names, counts = np.concatenate(names), np.concatenate(counts)
+        order = np.lexsort((names[:, 1], names[:, 0]))
+        names, counts = names[order], counts[order]
+        first = np.flatnonzero(np.concatenate(([True], (names[1:] != names[:-1]).any(axis=1))))
+        return names[first], np.add.reduceat(counts, first)
+
+    names, counts, fresh = [], [], 0
+    for batch in batches:
+        for blob in batch.column(2).to_pylist():
+            name, count = sp.unpack(blob)
+            names.append(name.reshape(-1, 2))
+            counts.append(count)
+            fresh += len(count)
+            if fresh > max(FOLD, len(names[0])):
+                name, count = folded(names, counts)
+                names, counts, fresh = [name], [count], 0
+    if names:
+        name, count = folded(names, counts)
+        for k in range(0, len(name), 4096):
+            nodes = [x.tobytes() for x in name[k : k + 4096]]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(count[k : k + 4096])], names=["node", "shared"])
+
+
+def _rows(batches):
+    for batch in batches:
+        for blob in batch.column(2).to_pylist():
+            ids, marks, size, names = sp.unpack(blob)
+            nodes = [x.tobytes() if n else None for x, n in zip(names.reshape(-1, 2), size)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks), pa.array(size), pa.array(nodes, pa.binary())], schema=_NODES)
+
+
+def named(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, mark, n, node) of every row, and (node, shared): an upper bound of each node's overlap with the union of all others."""
+    groups = partitions(rows.sparkSession)
+    parts = max(groups, -(-text_bytes(rows) // COUNT_BYTES))
+    dealt = rows.mapInArrow(_deal(parts, groups), DEALT).repartitionById(parts, "group")
+    met = cut_lineage(dealt.mapInArrow(_count(groups), DEALT))
+    nodes = met.where(F.col("kind") == ROWS).mapInArrow(_rows, "id long, mark long, n long, node binary")
+    shared = met.where(F.col("kind") == COUNTS).repartitionById(groups, "group").mapInArrow(_total, "node binary, shared long")
+    return nodes, shared
+
+
+def near_copies(nodes: DataFrame, shared: DataFrame) -> DataFrame:
     """Nodes whose overlap with the union of all others reaches the threshold, with the row that shows their text."""
-    dealt = rows.mapInArrow(_deal(parts), PACKED).repartitionById(parts, "group")
-    counts = dealt.mapInArrow(_count(parts), "name long, shared long").groupBy("name").agg(F.sum("shared").alias("shared"))
     shown = nodes.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct("id", "mark")).alias("shown"))
-    # The first six bytes, little end first, as in short_name.
-    swapped = F.concat(*[F.substring(F.hex("node"), 2 * k + 1, 2) for k in reversed(range(6))])
-    live = shown.withColumn("name", F.conv(swapped, 16, 10).cast("long")).join(counts, "name")
-    return live.where(F.col("shared") * 100 >= PERCENT * F.col("n")).select("node", "n", "shown.id", "shown.mark")
+    live = shown.join(shared, "node").where(F.col("shared") * 100 >= PERCENT * F.col("n"))
+    return live.select("node", "n", "shown.id", "shown.mark")
 
 
 def _open_sets(batches):
@@ -380,7 +443,11 @@ def meetings(sets: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """Links between the classes of a meeting, one for each pair of classes that must be joined."""
+    """Links between the classes of a meeting, one for each pair of classes that must be joined.
+
+    The matrix has a row for each token of the members and a column for each group: the rows of a
+    query's tokens, added up, are its overlaps with the unions of all groups at once.
+    """
     side = table.column("side").to_numpy()
     nodes, classes = table.column("node").to_pylist(), table.column("class").to_pylist()
     sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
@@ -397,20 +464,33 @@ def _compare(table: pa.Table) -> pa.Table:
     queries = np.flatnonzero(side == 0)
     members = sorted(queries if one_block else np.flatnonzero(side == 1), key=lambda i: (size[i], nodes[i]))
     groups = [members[k : k + MEMBERS] for k in range(0, len(members), MEMBERS)]
-    unions = [np.unique(np.concatenate([sets[i] for i in g])) for g in groups]
+    values, rows = np.unique(np.concatenate([sets[i] for i in members]), return_inverse=True)
+    lengths = [len(sets[i]) for i in members]
+    matrix = np.zeros((len(values), len(groups)), bool)
+    matrix[rows, np.repeat(np.arange(len(members)) // MEMBERS, lengths)] = True
+    rows_of = dict(zip(members, np.split(rows, np.cumsum(lengths)[:-1])))
+    mine = np.zeros(len(values), bool)
     found = []
     for q in queries:
-        mine = sets[q]
-        for group, union in zip(groups, unions):
-            if size[group[-1]] < needed(size[q]) or PERCENT * size[group[0]] > 100 * size[q]:
-                continue
-            if len(np.intersect1d(mine, union, assume_unique=True)) < needed(size[q]):
+        if one_block:
+            at = rows_of[q]
+        else:
+            at = np.searchsorted(values, sets[q])
+            at = at[values[np.minimum(at, len(values) - 1)] == sets[q]] if len(values) else at[:0]
+        bound, least = matrix[at].sum(axis=0), needed(size[q])
+        mine[at] = True
+        for group, most in zip(groups, bound):
+            if size[group[-1]] < least or PERCENT * size[group[0]] > 100 * size[q] or most < least:
                 continue
             for i in group:
                 a, b = root(classes[q]), root(classes[i])
-                if a != b and linked(mine, sets[i], size[q], size[i]):
+                if a == b:
+                    continue
+                both = int(mine[rows_of[i]].sum())
+                if 100 * both >= PERCENT * (size[q] + size[i] - both):
                     parent[max(a, b)] = min(a, b)
                     found.append((min(classes[q], classes[i]), max(classes[q], classes[i])))
+        mine[at] = False
     return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())}, schema=_LINKS)
 
 
@@ -444,8 +524,8 @@ def node_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = keyed(docs)
     parts = max(partitions(spark), -(-text_bytes(docs) // BUCKET_BYTES), 1)
-    nodes = cut_lineage(rows.select("id", "mark", "text").mapInArrow(_name, "id long, mark long, n long, node binary"))
-    live = cut_lineage(near_copies(rows, nodes, parts))
+    nodes, shared = named(rows)
+    live = cut_lineage(near_copies(nodes, shared))
     texts = rows.join(live.select("id", "mark", "node"), ["id", "mark"]).select("node", "text").dropDuplicates(["node"])
     sets = cut_lineage(texts.mapInArrow(_open_sets, "node binary, tokens binary"))
     sets = cut_lineage(ranked_sets(sets, hot_tokens(sets, live.count()), parts))
