@@ -23,6 +23,9 @@ from ..functions.geo import haversine_term, km_to_term, term_to_km
 from ..session import cut_lineage
 from .dedup import keep_one
 
+BROADCAST_KEYS = 100_000
+"""Distinct match keys that are sent to all executors at most; beyond, Spark decides."""
+
 # Bounds are compared with a little room, so rounding in them can never prune a true neighbour.
 _ROOM = 1e-9
 _COARSEST = 45.0
@@ -224,8 +227,10 @@ def nearest_join(
     )
     rows = left
     if unmatched_months == "drop":
-        # One row per month of the calendar: small by nature, and each month is a hot key.
-        rows = left.join(F.broadcast(rights.select(*by).distinct()), by, "left_semi")
+        # Each key is hot on the left side. Months are few; other keys are sent to all executors only where they are.
+        keys = cut_lineage(rights.select(*by).distinct())
+        few = keys.count() <= BROADCAST_KEYS
+        rows = left.join(F.broadcast(keys) if few else keys, by, "left_semi")
     return rows.join(matched, [*by, "lat", "lon"], "left").select(*left.columns, *columns, distance)
 
 

@@ -78,9 +78,10 @@ def require_prediction_contract(
             raise QualityError(f"scope {row['scope_months']} prediction: {failed}")
     require_unique(predictions, [*AREA_MONTH, "scope_months"], "prediction")
     if base is not None:
-        for scope in scopes:
-            part = predictions.where(F.col("scope_months") == scope)
-            require_same_universe(part, base, AREA_MONTH, f"scope {scope} prediction")
+        # All scopes in one comparison: each base key must be there once a scope.
+        wanted = base.select(*AREA_MONTH, F.explode(F.array(*[F.lit(s) for s in scopes])).alias("scope_months"))
+        asked = predictions.where(F.col("scope_months").isin(*scopes))
+        require_same_universe(asked, wanted, [*AREA_MONTH, "scope_months"], "prediction")
         wrong = alignment(predictions, base).first().asDict()
         if any(wrong.values()):
             raise QualityError(f"prediction does not align with base input: {wrong}")
