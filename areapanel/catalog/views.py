@@ -8,9 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import month_index
 from ..plans.scaffold import month_spine
+from ..session import dealt
 
 FIRST_MONTH, LAST_MONTH = (1995, 1), (2001, 8)
+_SPAN = tuple(y * 12 + m - 1 for y, m in (FIRST_MONTH, LAST_MONTH))
+N_MONTHS = _SPAN[1] - _SPAN[0] + 1
 TARGET_YEAR, TARGET_MONTH = 1998, 6
 
 
@@ -66,27 +70,42 @@ def monthly_orders(spark: SparkSession, sf_dir: str, only: tuple[int, int] | Non
     )
 
 
-def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    areas = table(spark, sf_dir, "customer").select(
+def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("area_id"), F.col("c_nationkey").alias("country_id")
     )
-    return month_spine(areas, FIRST_MONTH, LAST_MONTH)
+
+
+def by_area(df: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows dealt by area into as many partitions as the spine needs, so that what is dealt so meets in place."""
+    return dealt(df, N_MONTHS * table(df.sparkSession, sf_dir, "customer").count(), "area_id")
+
+
+def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return month_spine(by_area(_areas(spark, sf_dir), sf_dir), FIRST_MONTH, LAST_MONTH)
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer and month; months without orders have null prices."""
-    return (
-        spine(spark, sf_dir)
-        .join(monthly_orders(spark, sf_dir), ["area_id", "year", "month"], "left")
-        .select(
-            "area_id",
-            "country_id",
-            "year",
-            "month",
-            F.coalesce("order_cnt", F.lit(0)).alias("order_cnt"),
-            "price_sum",
-            (F.col("price_sum") / F.col("order_cnt")).alias("price_avg"),
-        )
+    """One row per customer and month; months without orders have null prices.
+
+    An area's ordered months meet its row before it unfolds, so the spine itself is never shuffled, and the
+    panel leaves dealt by area. Both sides lie alike, so they merge in place and nothing is broadcast.
+    """
+    at = month_index(F.col("year"), F.col("month"))
+    ordered = monthly_orders(spark, sf_dir).where(at.between(*_SPAN))
+    held = by_area(ordered, sf_dir).groupBy("area_id").agg(
+        F.map_from_entries(F.collect_list(F.struct(at, F.struct("order_cnt", "price_sum")))).alias("_held")
+    )
+    areas = by_area(_areas(spark, sf_dir), sf_dir).join(held.hint("merge"), "area_id", "left")
+    met = F.try_element_at("_held", at)
+    return month_spine(areas, FIRST_MONTH, LAST_MONTH).select(
+        "area_id",
+        "country_id",
+        "year",
+        "month",
+        F.coalesce(met["order_cnt"], F.lit(0)).alias("order_cnt"),
+        met["price_sum"].alias("price_sum"),
+        (met["price_sum"] / met["order_cnt"]).alias("price_avg"),
     )
 
 

@@ -13,10 +13,15 @@ SCAFFOLD_COLUMNS = ["admin_code", "lat", "lon", "year", "month"]
 
 
 def month_spine(areas: DataFrame, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
-    """Every area once per month from ``first`` to ``last``; rows unfold in place."""
+    """Every area once per month from ``first`` to ``last``; rows unfold in place.
+
+    The months are a joined table, not an ``explode``, which Spark takes to leave the size as it is: it would
+    broadcast the spine of a small table of areas to every join.
+    """
     low, high = first[0] * 12 + first[1] - 1, last[0] * 12 + last[1] - 1
+    months = areas.sparkSession.range(low, high + 1, 1, 1).select(F.col("id").cast("int").alias("_i"))
     return (
-        areas.withColumn("_i", F.explode(F.sequence(F.lit(low), F.lit(high))))
+        areas.crossJoin(F.broadcast(months))
         .withColumns({"year": index_year(F.col("_i")), "month": index_month(F.col("_i"))})
         .drop("_i")
     )
