@@ -11,7 +11,7 @@ from ..operators import quality as Q
 from ..plans.monthly import base_input_gate, zonal_gate
 from ..sources.lineage import file_lineage, lineage_with_rows, row_counts
 from . import Registry
-from .views import MONTHLY_SQL, PANEL_SQL, TARGET_MONTH, TARGET_YEAR, monthly_orders, panel, spine, table
+from .views import MONTHLY_SQL, PANEL_SQL, TARGET_MONTH, TARGET_YEAR, by_area, monthly_orders, panel, spine, table
 
 query = Registry()
 
@@ -247,7 +247,7 @@ def u2_universe(spark, sf_dir):
         F.lit(-1).cast("bigint").alias("area_id"), F.lit(1999).alias("year"), F.lit(1).alias("month")
     )
     right = monthly_orders(spark, sf_dir).where(F.col("year") < 2001).select(*keys).unionByName(extra)
-    return Q.universe(spine(spark, sf_dir), right, keys)
+    return Q.universe(spine(spark, sf_dir), by_area(right, sf_dir), keys)
 
 
 @query(

@@ -56,3 +56,8 @@ def test_panel_of_repeated_null_and_outlying_keys(spark, odd_tables):
     got = panel(spark, folder)
     assert rows_of(got.columns, got.collect()) == rows_of(names, found.fetchall())
     assert rows(got.where("order_cnt > 0 AND month = 1"), "area_id", "country_id", "order_cnt", "price_sum") == [(1, 3, 2, 30), (1, 4, 2, 30)]
+
+
+def test_universe_counts_keys_where_they_lie(spark):
+    above, _, below = plan(driver.queries()["u2_universe"](spark, SF_DIR)).partition("Union")
+    assert below and "hashpartitioning" not in above  # both sides lie dealt by area: no task combines a whole file's keys
