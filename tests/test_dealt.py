@@ -61,3 +61,9 @@ def test_panel_of_repeated_null_and_outlying_keys(spark, odd_tables):
 def test_universe_counts_keys_where_they_lie(spark):
     above, _, below = plan(driver.queries()["u2_universe"](spark, SF_DIR)).partition("Union")
     assert below and "hashpartitioning" not in above  # both sides lie dealt by area: no task combines a whole file's keys
+
+
+@pytest.mark.parametrize("name", ["w6_interp", "w6_interp_hold"])
+def test_series_stay_where_the_panel_unfolds(spark, name):
+    above, _, below = plan(driver.queries()[name](spark, SF_DIR)).partition("BroadcastNestedLoopJoin")
+    assert "Exchange" not in above and "REPARTITION_BY_NUM" in below
