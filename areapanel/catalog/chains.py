@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.fixed import MATCH_RADIUS_KM
+from ..operators.dedup import keep_one
 from ..operators.predictions import prepare_inference_input
 from ..plans import conflict as C
 from ..plans import history as H
@@ -17,6 +18,7 @@ from .views import (
     MONTHLY_SQL,
     PANEL_SQL,
     POINTS_SQL,
+    by_area,
     haversine_sql,
     lat_of,
     lat_sql,
@@ -227,7 +229,8 @@ def w3_history_chain(spark, sf_dir):
     outcome = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("area_id"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), F.col("o_orderstatus").alias("outcome")
     )
-    out = H.history_panel(filled, outcome, ["price_sum"], ["price_sum"])
+    first = by_area(keep_one(outcome, ["area_id", "year", "month"], ["outcome"]), sf_dir)
+    out = H.history_panel(filled, first, ["price_sum"], ["price_sum"])
     return out.withColumns({c: F.round(c, 4) for c in ("price_sum_m12", "price_sum_v12")})
 
 

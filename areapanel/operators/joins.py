@@ -65,6 +65,27 @@ def left_join(
     return joined.select(*[_col(c) for c in left.columns], *[_col(c) for c in wanted], *flag)
 
 
+def grouped_left_join(left: DataFrame, right: DataFrame, group: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """:func:`left_join` on ``group`` and ``keys``, for a right side with one row per key.
+
+    Right rows meet as one map per group, so a left side that lies dealt by ``group`` stays where it is;
+    a join on all the keys would shuffle it again. Only for groups that bound their keys, such as the
+    months of an area.
+    """
+    wanted = [c for c in right.columns if c not in left.columns]
+    if not wanted or any(left.schema[c].dataType != right.schema[c].dataType for c in keys):
+        return left_join(left, right, [*group, *keys])
+    key = F.struct(*[_col(c) for c in keys])
+    side = right.dropna(subset=[*group, *keys]).groupBy(*[_col(c).alias(f"_group_{i}") for i, c in enumerate(group)]).agg(
+        F.map_from_entries(F.collect_list(F.struct(key, F.struct(*[_col(c) for c in wanted])))).alias("_held")
+    )
+    condition = F.lit(True)
+    for i, c in enumerate(group):
+        condition = condition & (_col(c) == F.col(f"_group_{i}"))
+    met = F.try_element_at("_held", key)
+    return left.join(side, condition, "left").select(*[_col(c) for c in left.columns], *[met[c].alias(c) for c in wanted])
+
+
 def match_counts(joined: DataFrame, matched: str) -> DataFrame:
     """How many rows came from both sides and how many from the left only."""
     side = F.when(_col(matched), "both").otherwise("left_only")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import AEZ_PREFIX, LAND_SURFACE_BANDS
 from ..operators.dedup import keep_one
-from ..operators.joins import left_join
-from ..operators.series import backward_fill, forward_fill, interpolate, with_history
+from ..operators.joins import grouped_left_join, left_join
+from ..operators.series import MONTH_ORDER, backward_fill, forward_fill, interpolate, with_history
 from .conflict import MEASURES
 
 CONFLICT_COLUMNS = [m + suffix for suffix in ("", "_w5", "_w10") for m in MEASURES]
@@ -68,7 +68,12 @@ def fill_gaps(
 def history_panel(
     panel: DataFrame, outcome: DataFrame, time_variants: Sequence[str], order: Sequence[str], keys: Sequence[str] = ("area_id", "year", "month")
 ) -> DataFrame:
-    """History features for every time-variant column, then the outcome; keys made unique first."""
+    """History features for every time-variant column, then the outcome; keys made unique first.
+
+    All of it follows the area, so a panel that lies dealt by area is not shuffled.
+    """
+    area = [k for k in keys if k not in MONTH_ORDER]
     unique = keep_one(panel, keys, order)
-    featured = with_history(unique, time_variants, area=[k for k in keys if k not in ("year", "month")])
-    return left_join(featured, keep_one(outcome, keys, [c for c in outcome.columns if c not in keys]), list(keys))
+    featured = with_history(unique, time_variants, area=area)
+    first = keep_one(outcome, keys, [c for c in outcome.columns if c not in keys])
+    return grouped_left_join(featured, first, area, MONTH_ORDER)

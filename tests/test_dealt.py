@@ -6,6 +6,7 @@ from conftest import rows
 
 import __spark_entry__ as driver
 from areapanel.catalog.views import PANEL_SQL, panel
+from areapanel.operators.joins import grouped_left_join, left_join
 from areapanel.plans.scaffold import month_spine
 from areapanel.session import ROWS_PER_TASK, dealt
 from tools.compare import rows_of
@@ -67,3 +68,19 @@ def test_universe_counts_keys_where_they_lie(spark):
 def test_series_stay_where_the_panel_unfolds(spark, name):
     above, _, below = plan(driver.queries()[name](spark, SF_DIR)).partition("BroadcastNestedLoopJoin")
     assert "Exchange" not in above and "REPARTITION_BY_NUM" in below
+
+
+def test_history_chain_shuffles_no_panel(spark):
+    by_month = [line for line in exchanges(driver.queries()["w3_history_chain"](spark, SF_DIR)) if "(area_id#" in line and "REPARTITION_BY_NUM" not in line]
+    assert len(by_month) == 1  # the orders, reduced to one outcome a month
+
+
+def test_grouped_left_join_is_a_left_join(spark):
+    left = spark.createDataFrame([("a", 2020, 1, 5), ("a", 2020, 1, 5), ("a", 2020, None, 6), (None, 2020, 1, 7), ("b", 2021, 2, 8)], "g string, year int, month int, x int")
+    right = spark.createDataFrame(
+        [("a", 2020, 1, 50, None), ("a", 2020, 2, 51, "q"), ("a", 2020, None, 52, "r"), (None, 2020, 1, 53, "s"), ("b", 2021, 2, None, "t"), ("c", 2021, 2, 54, "u")],
+        "g string, year int, month int, x int, `y.z` string",
+    )
+    for side in (right, right.withColumnRenamed("x", "w"), right.withColumn("month", right["month"].cast("long")), right.select("g", "year", "month", "x")):
+        got, asked = grouped_left_join(left, side, ["g"], ["year", "month"]), left_join(left, side, ["g", "year", "month"])
+        assert got.columns == asked.columns and rows(got) == rows(asked)
