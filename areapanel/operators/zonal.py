@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import strip
+from ..session import cut_lineage, dealt
 from .quality import QualityError, require_same_universe, require_unique, require_zero
 
 PIXEL_RULE = "all_touched_false_center_inside"
@@ -142,7 +143,7 @@ def zone_counts(stats: DataFrame, column: str, keys: Sequence[str] = ()) -> Data
 
 
 def merge_tiles(
-    tiles: DataFrame, step: float, keys: Sequence[str] = ("year", "month", "band"), tile: str | None = None
+    tiles: DataFrame, step: float, keys: Sequence[str] = ("year", "month", "band"), tile: str | None = None, broadcast_tiles: int = 100_000
 ) -> DataFrame:
     """One pixel per grid position and month where tiles overlap.
 
@@ -150,20 +151,29 @@ def merge_tiles(
     distance to the nearest border of its tile in grid steps, plus one, so a tile fades out towards its
     border. Extents are the tiles' own least and greatest positions, one row a tile. Without it,
     values are averaged. Null values have no weight.
+
+    Few pixels share a place, so pixels are counted and dealt by place before they are grouped: a map-side
+    combine would hold a row for almost every pixel of a task and merge little. Extents are found once and
+    broadcast, up to ``broadcast_tiles`` of them, as a join by tile would gather a tile's pixels in one task.
     """
+    at = [*keys, "_y", "_x"]
     places = [F.round(F.col(c) / step).cast("bigint").alias(n) for c, n in (("lat", "_y"), ("lon", "_x"))]
     if tile is None:
         placed = tiles.select(*keys, *places, "value")
-        merged = placed.groupBy(*keys, "_y", "_x").agg(F.avg("value").alias("value"))
+        merged = dealt(placed, tiles.count(), *at).groupBy(*at).agg(F.avg("value").alias("value"))
     else:
         placed = tiles.select(*keys, F.col(f"`{tile}`").alias("_tile"), *places, "value")
-        extents = placed.groupBy("_tile").agg(
-            *[f(c).alias(f"{c}{n}") for c in ("_x", "_y") for n, f in ((0, F.min), (1, F.max))]
+        extents = cut_lineage(
+            placed.groupBy("_tile").agg(
+                F.count(F.lit(1)).alias("_n"), *[f(c).alias(f"{c}{n}") for c in ("_x", "_y") for n, f in ((0, F.min), (1, F.max))]
+            )
         )
+        size = extents.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("pixels"), F.count(F.lit(1)).alias("tiles")).first()
+        side = F.broadcast(extents) if size["tiles"] <= broadcast_tiles else extents
         steps = F.least(*[F.col(c) - F.col(f"{c}0") for c in ("_x", "_y")], *[F.col(f"{c}1") - F.col(c) for c in ("_x", "_y")])
-        weighed = placed.join(extents, "_tile").withColumn("_w", F.when(F.col("value").isNotNull(), steps + 1))
+        weighed = placed.join(side, "_tile").select(*at, "value", F.when(F.col("value").isNotNull(), steps + 1).alias("_w"))
         total = F.sum(F.col("_w") * F.col("value")).cast("double") / F.sum("_w").cast("double")
-        merged = weighed.groupBy(*keys, "_y", "_x").agg(total.alias("value"))
+        merged = dealt(weighed, size["pixels"], *at).groupBy(*at).agg(total.alias("value"))
     return merged.select(*keys, (F.col("_y") * step).alias("lat"), (F.col("_x") * step).alias("lon"), "value")
 
 

@@ -7,6 +7,7 @@ from conftest import rows
 import __spark_entry__ as driver
 from areapanel.catalog.views import PANEL_SQL, panel
 from areapanel.operators.joins import grouped_left_join, left_join
+from areapanel.operators.zonal import merge_tiles
 from areapanel.plans.scaffold import month_spine
 from areapanel.session import ROWS_PER_TASK, dealt
 from tools.compare import rows_of
@@ -84,3 +85,18 @@ def test_grouped_left_join_is_a_left_join(spark):
     for side in (right, right.withColumnRenamed("x", "w"), right.withColumn("month", right["month"].cast("long")), right.select("g", "year", "month", "x")):
         got, asked = grouped_left_join(left, side, ["g"], ["year", "month"]), left_join(left, side, ["g", "year", "month"])
         assert got.columns == asked.columns and rows(got) == rows(asked)
+
+
+@pytest.mark.parametrize("name", ["s7_blended_tiles", "s7_tile_merge"])
+def test_pixels_are_dealt_before_they_are_grouped(spark, name):
+    by_place = [line for line in exchanges(driver.queries()[name](spark, SF_DIR)) if "_y#" in line]
+    assert by_place and all("REPARTITION_BY_NUM" in line for line in by_place)
+
+
+def test_tiles_beyond_the_broadcast(spark):
+    kind = "tile string, year int, month int, band string, lat double, lon double, value double"
+    cells = [(t, 2020, 1, "B1", y / 10, x / 10, v) for t, v, first in (("l", 10.0, 0), ("r", 20.0, 3), (None, 5.0, 1)) for x in range(first, first + 6) for y in range(5)]
+    df = spark.createDataFrame(cells, kind)
+    blended = merge_tiles(df, 0.1, tile="tile")
+    assert "BroadcastHashJoin" in plan(blended) and "SortMergeJoin" not in plan(blended)
+    assert rows(blended) == rows(merge_tiles(df, 0.1, tile="tile", broadcast_tiles=1)) and blended.count() == 9 * 5
