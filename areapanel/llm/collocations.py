@@ -59,7 +59,7 @@ def coded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     inside = WORD[data]
     starts, ends = tk.word_spans(inside, offsets)
     code, words = tk.numbered(tk.words_array(data, inside, starts, ends))
-    piece = np.cumsum(BREAK[data], dtype=np.int64)[starts] if len(starts) else starts
+    piece = np.searchsorted(np.flatnonzero(BREAK[data]), starts)  # breaks before each word, no count a byte
     doc = tk.owners(offsets, starts)
     new = np.concatenate(([True], (piece[1:] != piece[:-1]) | (doc[1:] != doc[:-1])))[: len(starts)]
     out = np.zeros(len(code) + int(new.sum()) + 1, np.int32)
@@ -86,16 +86,23 @@ def _blocks(batches):
 def _recoded(batches):
     """Codes of a block as numbers of the whole corpus; words below the support end a stretch."""
     for batch in batches:
-        for lang, n, blob, codes, ids in zip(*(batch.column(i) for i in range(5))):
+        for lang, n, blob, found in zip(*(batch.column(i) for i in range(4))):
             table = np.zeros(n.as_py() + 1, np.int32)
-            if codes.is_valid:
-                table[codes.values.to_numpy(zero_copy_only=False)] = ids.values.to_numpy(zero_copy_only=False)
+            if found.is_valid:
+                pairs = found.values.to_numpy(zero_copy_only=False)
+                table[pairs >> 32] = pairs & 0xFFFFFFFF
             out = table[sp.unpack(blob.as_py())[0]]
             kept = np.ones(len(out), bool)
             kept[1:] = (out[1:] != 0) | (out[:-1] != 0)
             yield sp.rows_batch(_CORPUS, [(lang.as_py(), sp.pack(out[kept]))])
 
 
+def numbers_of_blocks(met: DataFrame) -> DataFrame:
+    """The frequent words of each block as one long a word, its code above its number: lists of structs take several times the memory."""
+    pair = F.shiftleft(F.col("code").cast("long"), 32).bitwiseOR(F.col("gid").cast("long"))
+    return met.groupBy("block").agg(F.collect_list(pair).alias("found"))
+
+
 class Corpus:
     """id sequences, the frequent words (gid, lang, word, f) and word occurrences by language."""
 
@@ -111,10 +118,9 @@ class Corpus:
         frequent = said.groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= support)
         numbered = with_row_ids(frequent, ["lang", "f", "word"], "gid", 1)
         self.words = numbered.select(F.col("gid").cast("int").alias("gid"), "lang", "word", "f")
-        found = said.join(self.words, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("code", "gid")).alias("found"))
+        found = numbers_of_blocks(said.join(self.words, ["lang", "word"]))
         met = blocks.select("block", "lang", F.size("words").alias("n"), "codes").join(found, "block", "left")
-        recoded = met.select("lang", "n", "codes", F.col("found.code").alias("code"), F.col("found.gid").alias("gid"))
-        self.ids = cut_lineage(recoded.mapInArrow(_recoded, "lang string, ids binary"))
+        self.ids = cut_lineage(met.select("lang", "n", "codes", "found").mapInArrow(_recoded, "lang string, ids binary"))
         self.totals = {r["lang"]: r["n"] for r in blocks.groupBy("lang").agg(F.sum("n_words").alias("n")).collect()}
 
 

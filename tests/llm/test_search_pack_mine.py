@@ -3,6 +3,7 @@
 import math
 import re
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 from areapanel.llm import packing, ranked_search  # noqa: E402
-from areapanel.llm.collocations import Phrases, collocations  # noqa: E402
+from areapanel.llm.collocations import Phrases, coded, collocations, numbers_of_blocks  # noqa: E402
 from areapanel.llm.common import small_batches  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -201,3 +202,24 @@ def test_phrases_are_compared_whole():
     place, number = Phrases(rows).places(ids)
     want = sorted((i, k) for i in range(2998) for k, r in enumerate(rows.tolist()) if ids[i : i + 3].tolist() == r)
     assert sorted(zip(place.tolist(), number.tolist())) == want
+
+
+def test_words_of_a_block_are_held_as_one_long_each(spark):
+    met = spark.createDataFrame([(5, 1, 7), (5, 3_000_000, 2_147_483_647), (6, 2, 7)], "block long, code int, gid int")
+    got = numbers_of_blocks(met)
+    assert dict(got.dtypes)["found"] == "array<bigint>"
+    pairs = {r["block"]: sorted((x >> 32, x & 0xFFFFFFFF) for x in r["found"]) for r in got.collect()}
+    assert pairs == {5: [(1, 7), (3_000_000, 2_147_483_647)], 6: [(2, 7)]}
+
+
+def test_words_are_numbered_in_little_memory():
+    data = np.frombuffer(b"considerable arrangements, concerning international organisations. " * 30_000, np.uint8)
+    coded(data[:100], np.array([0, 100]))  # what is imported on the first call
+    tracemalloc.start()
+    try:
+        codes, words = coded(data, np.array([0, len(data)]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(words) == 5 and (codes > 0).sum() == 150_000 and (codes == 0).sum() == 60_001
+    assert most < 18 * len(data)
