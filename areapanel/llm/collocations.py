@@ -37,6 +37,15 @@ FRONTIER = 1 << 16
 SHARES = (0.3, 1.0)
 """Part of a language's frequent word occurrences whose words are first words after each round."""
 
+BLOCK = 12 << 20
+"""Bytes of one language's texts that are numbered together."""
+
+HOLD = 24 << 20
+"""Bytes of texts of all languages that a task holds for their blocks."""
+
+PART = 1 << 10
+"""What a few texts cost a task besides their bytes."""
+
 HELD = 1 << 22
 """Occurrences a task holds before it passes their counts on."""
 
@@ -67,20 +76,42 @@ def coded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     return out, words
 
 
+def by_lang(batches) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """Texts of one language put together up to about ``BLOCK`` bytes, so that a word is met in as few blocks as can be.
+
+    Where many languages are held, the one with most bytes goes before it is full.
+    """
+    held: dict[str, list[pa.RecordBatch]] = {}
+    size: dict[str, int] = {}
+
+    def whole(lang: str) -> tuple[str, pa.RecordBatch]:
+        size.pop(lang)
+        return lang, pa.Table.from_batches(held.pop(lang)).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        langs, texts = batch.column(0).dictionary_encode(), batch.select(["text"])
+        for at, rows in sp.by_group(langs.indices.to_numpy(zero_copy_only=False)):
+            lang, part = langs.dictionary[at].as_py(), texts.take(pa.array(rows))
+            held.setdefault(lang, []).append(part)
+            size[lang] = size.get(lang, 0) + part.nbytes + PART
+            if size[lang] >= BLOCK:
+                yield whole(lang)
+        while sum(size.values()) >= HOLD:
+            yield whole(max(size, key=size.get))
+    for lang in list(held):
+        yield whole(lang)
+
+
 def _blocks(batches):
-    """A row per language of each stretch of rows: its words, their counts and its code sequence."""
+    """A row per block of a language's texts: its words, their counts and its code sequence."""
     context = TaskContext.get()
     number = (context.partitionId() if context else 0) << 33
-    for batch in sp.larger(batches):
-        langs = batch.column(0).dictionary_encode()
-        for at, rows in sp.by_group(langs.indices.to_numpy(zero_copy_only=False)):
-            data, offsets = sp.texts_of(batch.take(pa.array(rows)))
-            codes, words = coded(data, offsets)
-            if len(words):
-                counts = np.bincount(codes, minlength=len(words) + 1)[1:]
-                lang = langs.dictionary[at].as_py()
-                yield sp.rows_batch(_BLOCKS, [(number, lang, int(counts.sum()), words.to_pylist(), counts.tolist(), sp.pack(codes))])
-                number += 1
+    for lang, batch in by_lang(batches):
+        codes, words = coded(*sp.texts_of(batch))
+        if len(words):
+            counts = np.bincount(codes, minlength=len(words) + 1)[1:]
+            yield sp.rows_batch(_BLOCKS, [(number, lang, int(counts.sum()), words.to_pylist(), counts.tolist(), sp.pack(codes))])
+            number += 1
 
 
 def _recoded(batches):
