@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -49,6 +50,9 @@ PART = 1 << 10
 HELD = 1 << 22
 """Occurrences a task holds before it passes their counts on."""
 
+PAIRS = 1 << 21
+"""Places of words a task holds before it passes them on by block."""
+
 WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 BLOCKS = "block long, lang string, n_words long, words array<binary>, counts array<long>, codes binary"
 COUNTED = "size int, key long, a long, prev int"
@@ -60,6 +64,7 @@ _BLOCKS = pa.schema(
 )
 _COUNTED = pa.schema([("size", pa.int32()), ("key", pa.int64()), ("a", pa.int64()), ("prev", pa.int32())])
 _CORPUS = pa.schema([("lang", pa.string()), ("ids", pa.binary())])
+_PAIRS = pa.schema([("block", pa.int64()), ("pairs", pa.list_(pa.int64()))])
 
 
 def coded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -128,10 +133,44 @@ def _recoded(batches):
             yield sp.rows_batch(_CORPUS, [(lang.as_py(), sp.pack(out[kept]))])
 
 
+def _turned(blocks: list[np.ndarray], pairs: list[np.ndarray]) -> pa.RecordBatch:
+    """A row per block with its pairs."""
+    block = np.concatenate(blocks)
+    order = np.argsort(block, kind="stable")
+    block = block[order]
+    first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(block)), pa.int32()), pa.array(np.concatenate(pairs)[order]))
+    return pa.RecordBatch.from_arrays([pa.array(block[first]), lists], schema=_PAIRS)
+
+
+def _by_block(batches):
+    """Places of words as one long each, the code above the number, put together by block as far as a task holds them."""
+    blocks, pairs, held = [], [], 0
+    for batch in batches:
+        block, code = batch.column("block"), batch.column("code")
+        number = batch.column("gid").to_numpy(zero_copy_only=False).astype(np.int64)
+        if pa.types.is_list(block.type):
+            number = number[pc.list_parent_indices(block).to_numpy()]
+            block, code = block.flatten(), code.flatten()
+        if not len(block):
+            continue
+        blocks.append(block.to_numpy(zero_copy_only=False))
+        pairs.append((code.to_numpy(zero_copy_only=False).astype(np.int64) << 32) | number)
+        held += len(block)
+        if held >= PAIRS:
+            yield _turned(blocks, pairs)
+            blocks, pairs, held = [], [], 0
+    if held:
+        yield _turned(blocks, pairs)
+
+
 def numbers_of_blocks(met: DataFrame) -> DataFrame:
-    """The frequent words of each block as one long a word, its code above its number: lists of structs take several times the memory."""
-    pair = F.shiftleft(F.col("code").cast("long"), 32).bitwiseOR(F.col("gid").cast("long"))
-    return met.groupBy("block").agg(F.collect_list(pair).alias("found"))
+    """The frequent words of each block as one long a word, its code above its number: lists of structs take several times the memory.
+
+    A row of ``met`` (block, code, gid) is a place of a word or, with lists of blocks and codes, all its places.
+    """
+    packed = met.select("block", "code", "gid").mapInArrow(_by_block, "block long, pairs array<long>")
+    return packed.groupBy("block").agg(F.flatten(F.collect_list("pairs")).alias("found"))
 
 
 class Corpus:
@@ -146,10 +185,16 @@ class Corpus:
         said = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "word")).select(
             "block", "lang", (F.col("code") + 1).alias("code"), F.col("word.words").alias("word"), F.col("word.counts").alias("count")
         )
-        frequent = said.groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= support)
-        numbered = with_row_ids(frequent, ["lang", "f", "word"], "gid", 1)
+        # One shuffle counts the words and keeps their places; rare words, which are most, go no further.
+        f = F.sum("count").over(W.partitionBy("word", "lang"))
+        places = said.withColumn("f", f).where(F.col("f") >= support).groupBy("word", "lang").agg(
+            F.max("f").alias("f"), F.collect_list(F.struct("block", "code")).alias("at")
+        )
+        frequent = cut_lineage(places.select("lang", "word", "f", F.col("at.block").alias("block"), F.col("at.code").alias("code")))
+        numbered = with_row_ids(frequent.select("lang", "word", "f"), ["lang", "f", "word"], "gid", 1)
         self.words = numbered.select(F.col("gid").cast("int").alias("gid"), "lang", "word", "f")
-        found = numbers_of_blocks(said.join(self.words, ["lang", "word"]))
+        # One row a word on both sides. The sort above would bring the words of most places into one task.
+        found = numbers_of_blocks(frequent.drop("f").join(self.words, ["word", "lang"]))
         met = blocks.select("block", "lang", F.size("words").alias("n"), "codes").join(found, "block", "left")
         self.ids = cut_lineage(met.select("lang", "n", "codes", "found").mapInArrow(_recoded, "lang string, ids binary"))
         self.totals = {r["lang"]: r["n"] for r in blocks.groupBy("lang").agg(F.sum("n_words").alias("n")).collect()}

@@ -58,3 +58,47 @@ def test_phrases_do_not_depend_on_blocks(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     got = sorted(tuple(r) for r in co.collocations(docs, 5, 40).collect())
     assert got == brute_phrases(rows, 5, 40)
+
+
+def test_places_of_words_meet_their_numbers_without_a_join(spark, monkeypatch):
+    """Counting keeps a word's places, so no join has a row for each of them."""
+    monkeypatch.setattr(co, "BLOCK", 2_500)
+    monkeypatch.setattr(co, "HOLD", 6_000)
+    small_batches(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    rng = random.Random(9)
+    rows = [(rng.choice(["en", "fr"]), " ".join(rng.choices([f"w{i}" for i in range(30)], k=60)) + f" rare{j}") for j in range(300)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    join, made = type(docs).join, []
+
+    def counted(self, *args, **kwargs):
+        out = join(self, *args, **kwargs)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(docs), "join", counted)
+    corpus = co.Corpus(docs, 20)
+    small_batches(spark)
+    ids, words = corpus.ids.collect(), corpus.words.collect()
+    assert len(words) == 60 and len(ids) > 20
+    assert max(made) <= max(len(words), len(ids))
+    assert sorted(r["gid"] for r in words) == list(range(1, 61))
+    order = sorted(words, key=lambda r: (r["lang"], r["f"], bytes(r["word"])))
+    assert [r["gid"] for r in order] == list(range(1, 61))
+    said = Counter()
+    for r in ids:
+        said.update((r["lang"], int(x)) for x in co.sp.unpack(r["ids"])[0] if x)
+    assert said == {(r["lang"], r["gid"]): r["f"] for r in words}
+
+
+def test_places_go_by_block_as_far_as_a_task_holds_them(monkeypatch):
+    kind = pa.schema([("block", pa.list_(pa.int64())), ("code", pa.list_(pa.int32())), ("gid", pa.int64())])
+    words = [([7, 1 << 40], [1, 2], 5), ([], [], 6), ([7], [3_000_000], 2_147_483_647), ([7, 8, 1 << 40], [4, 9, 6], 8)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(kind.names, w)) for w in part], schema=kind) for part in (words[:2], words[2:])]
+    expected = {(b, c, w[2]) for w in words for b, c in zip(w[0], w[1])}
+    for most, rows in ((100, 3), (2, 5)):
+        monkeypatch.setattr(co, "PAIRS", most)
+        out = [r for b in co._by_block(iter(batches)) for r in b.to_pylist()]
+        assert len(out) == rows
+        got = [(r["block"], x >> 32, x & 0xFFFFFFFF) for r in out for x in r["pairs"]]
+        assert len(got) == len(expected) and set(got) == expected
+    assert list(co._by_block(iter([batches[0].slice(1)]))) == []
