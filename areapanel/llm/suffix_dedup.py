@@ -1,15 +1,17 @@
 """Suffix-array dedup: bytes covered by a long string that an earlier document has too.
 
 Suffixes are taken at the anchors of all windows (a sparse suffix array: every window of 50 bytes
-holds the anchor it is compared at). Sampled splitters deal them by leading bytes to buckets; each
-bucket sorts, and compares neighbours character by character, a character being eight bytes. Suffixes
-whose leading bytes fill several buckets are compared once more across those buckets.
+holds the anchor it is compared at). Sampled splitters deal them by leading bytes to tasks; a task
+takes its suffixes cell by cell, sorts, and compares neighbours character by character, a character
+being eight bytes. Suffixes whose leading bytes are common are dealt by a longer context that each of
+their windows holds; those whose context fills several tasks even so are compared once more across them.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +25,35 @@ WINDOW = 50
 LEAD = 9
 """Leading bytes of a suffix that decide its bucket; seven bits of each make the sort key."""
 
+HALF = (WINDOW - LEAD + 1) // 2
+CONTEXT = LEAD + HALF
+"""Bytes around an anchor that all windows hold which start HALF or more before it, or all that start later."""
+
 BUCKET_BYTES = 4 << 20
+TASK_BUCKETS = 2
+"""Buckets of text whose windows one task takes."""
+GROUP_BUCKETS = 4
+"""Buckets of text whose documents one task puts together."""
+CELLS = 8
+"""Parts of a task's windows that are matched one after another."""
+ACROSS_BYTES = 16 << 20
+"""Windows of hot suffixes that one task compares across buckets, in bytes."""
+
 SAMPLE_BYTES = 4 << 20
+SAMPLE_PART = 256
+"""Of a large input one document in so many is sampled."""
+SAMPLE_TASK = 512
+"""Suffixes sampled for each task, about."""
+COMMON = 4
+"""Leading bytes that take more than one part in so many of a task are common."""
 SAMPLE_KEYS = 1 << 15
 """Sort keys sampled from one Arrow batch of sampled documents at most."""
 
 SLICE = 1 << 17
 """Windows handled at once, so that a very long text needs no more memory than a short one."""
 
+_PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+
 MATCHED = "group int, blob binary, across boolean"
 PACKED = "group int, blob binary"
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -48,6 +71,26 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def ids_differ(docs: DataFrame) -> bool:
+    """Whether no id is null and none comes twice."""
+    counted = docs.groupBy(F.col("doc_id").cast("long").alias("id")).count()
+    return counted.where(F.col("id").isNull() | (F.col("count") > 1)).isEmpty()
+
+
+def _turned(values: np.ndarray, by: int) -> np.ndarray:
+    return values << np.uint64(by) | values >> np.uint64(64 - by)
+
+
+def id_marks(ids: np.ndarray) -> np.ndarray:
+    """xxhash64 of each id, as Spark has it."""
+    one, two, three, four, five = map(np.uint64, _PRIMES)
+    found = np.full(len(ids), 42 + 8, np.uint64) + five
+    found = _turned(found ^ (_turned(ids.astype(np.uint64) * two, 31) * one), 27) * one + four
+    found = (found ^ (found >> np.uint64(33))) * two
+    found = (found ^ (found >> np.uint64(29))) * three
+    return (found ^ (found >> np.uint64(32))).view(np.int64)
+
+
 def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Anchors and their runs of windows, none of which crosses two texts."""
     last = offsets[1:] - (WINDOW - 1)
@@ -66,51 +109,117 @@ def _sort_keys(data: np.ndarray, anchors: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _sampled_keys(batches):
-    for batch in batches:
-        data, offsets = sp.texts_of(batch)
-        for anchor, _, _ in _slices(data, offsets):
-            keys = _sort_keys(data, anchor)
-            keys = keys[:: max(1, -(-len(keys) // SAMPLE_KEYS))]
-            if len(keys):
-                yield sp.rows_batch(_PACKED, [(0, sp.pack(keys))])
+def _context_keys(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Hash of the CONTEXT bytes at each place; of no meaning where the text ends before."""
+    keys = np.zeros(len(places), np.uint64)
+    for j in range(CONTEXT):
+        at = np.clip(places + j, 0, len(data) - 1)
+        keys = keys * sp.STEP + data[at].astype(np.uint64) + np.uint64(1)
+    return sp.mix(keys) >> np.uint64(1)
 
 
-def splitters(rows: DataFrame, total: int, parts: int) -> np.ndarray:
-    """Sampled splitters. The sample is about SAMPLE_BYTES of text however large the input is."""
-    every = max(1, total // SAMPLE_BYTES)
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
-    found = [sp.unpack(bytes(r["blob"]))[0] for r in sample.mapInArrow(_sampled_keys, PACKED).collect()]
-    return sp.quantiles(np.concatenate(found) if found else np.zeros(0, np.uint64), parts)
+def _halves(anchor: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many windows of each stretch start HALF or more before its anchor, and how many later."""
+    early = np.clip(anchor - HALF + 1 - begin, 0, end - begin + 1)
+    return early, end - begin + 1 - early
 
 
-def _dealer(split: np.ndarray):
+def _sampled_keys(stride: int):
+    def sampled_keys(batches):
+        for batch in batches:
+            data, offsets = sp.texts_of(batch)
+            for found in _slices(data, offsets):
+                anchor, begin, end = (x[::stride] for x in found)
+                if len(anchor):
+                    early, late = (x.astype(np.uint8) for x in _halves(anchor, begin, end))
+                    before, after = _context_keys(data, anchor - HALF), _context_keys(data, anchor)
+                    yield sp.rows_batch(_PACKED, [(0, sp.pack(_sort_keys(data, anchor), before, after, early, late))])
+
+    return sampled_keys
+
+
+class Deal(NamedTuple):
+    common: np.ndarray
+    """Sort keys that are replaced by keys of a longer context."""
+    split: np.ndarray
+    """Splitters of all keys; one that repeats is hot."""
+    hot_share: float
+    """Part of all windows that lie at hot keys."""
+
+
+def _weighted_splitters(keys: np.ndarray, weights: np.ndarray, parts: int) -> np.ndarray:
+    """``parts`` - 1 splitters with equal weights between them."""
+    order = np.argsort(keys, kind="stable")
+    total = np.cumsum(weights[order])
+    return keys[order][np.searchsorted(total, np.arange(1, parts) * (total[-1] / parts))]
+
+
+def dealing(rows: DataFrame, total: int, parts: int) -> Deal:
+    """Splitters by bytes sent, from a sample that grows with the number of tasks and not with their size."""
+    every = max(1, min(total // SAMPLE_BYTES, SAMPLE_PART))
+    stride = max(1, total // every // HALF // (SAMPLE_TASK * parts))
+    sample = rows.where(F.pmod("mark", F.lit(every)) == 0)
+    found = [sp.unpack(bytes(r["blob"])) for r in sample.mapInArrow(_sampled_keys(stride), PACKED).collect()]
+    if not found:
+        return Deal(np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0.0)
+    keys, before, after, early, late = (np.concatenate([f[i] for f in found]) for i in range(5))
+    early, late = early.astype(np.int64), late.astype(np.int64)
+    each, number = np.unique(keys, return_inverse=True)
+    weights = np.bincount(number, early + late + WINDOW - 1)
+    common = each[weights * (COMMON * parts) > weights.sum()]
+    wide = np.isin(keys, common)
+    chosen = [(keys, early + late, ~wide), (before, early, wide & (early > 0)), (after, late, wide & (late > 0))]
+    keys, windows = (np.concatenate([x[i][x[2]] for x in chosen]) for i in range(2))
+    split = _weighted_splitters(keys, windows + WINDOW - 1, parts)
+    return Deal(common, split, float(windows[np.isin(keys, sp.hot_keys(split))].sum() / windows.sum()))
+
+
+def _stretches(data: np.ndarray, offsets: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, first and last window of each stretch; stretches at common keys are cut in two with a key each."""
+    parts = [x for x in _slices(data, offsets)]
+    anchor, begin, end = (np.concatenate([p[i] for p in parts] or [np.zeros(0, np.int64)]) for i in range(3))
+    del parts
+    keys = _sort_keys(data, anchor)
+    wide = np.isin(keys, common)
+    if not wide.any():
+        return keys, begin, end
+    anchor, first, last = anchor[wide], begin[wide], end[wide]
+    early, late = _halves(anchor, first, last)
+    one, two = early > 0, late > 0
+    keys = np.concatenate((keys[~wide], _context_keys(data, anchor[one] - HALF), _context_keys(data, anchor[two])))
+    begin = np.concatenate((begin[~wide], first[one], (first + early)[two]))
+    end = np.concatenate((end[~wide], (first + early - 1)[one], last[two]))
+    order = np.argsort(begin, kind="stable")
+    return keys[order], begin[order], end[order]
+
+
+def _dealer(common: np.ndarray, split: np.ndarray):
     hot = sp.hot_keys(split)
 
     def deal(batches):
         for batch in sp.larger(batches):
             data, offsets = sp.texts_of(batch)
             ids, marks = sp.columns_of(batch, "id", "mark")
-            parts = [x for x in _slices(data, offsets)]
-            if not parts:
-                continue
-            anchor, begin, end = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            if not len(anchor):
+            keys, begin, end = _stretches(data, offsets, common)
+            if not len(keys):
                 continue
             doc = np.searchsorted(offsets, begin, "right") - 1
-            keys = _sort_keys(data, anchor)
             is_hot = np.isin(keys, hot)
             bucket = sp.buckets_of(keys, marks[doc], split)
+            # A cell has all windows of a key, but a hot one's lie in the cells of their documents.
+            cell = np.where(is_hot, marks[doc].astype(np.uint64) >> np.uint64(40), sp.mix(keys)) % np.uint64(CELLS)
+            flags = cell.astype(np.uint8) * np.uint8(2) + is_hot.astype(np.uint8)
+            del keys, is_hot, cell
             for number, at in sp.by_group(bucket):
                 used, counts = np.unique(doc[at], return_counts=True)
                 windows = end[at] - begin[at] + 1
                 blob = sp.pack(
                     ids[used],
-                    marks[used],
+                    marks[used] ^ id_marks(ids[used]),  # zeros where ids differ
                     counts.astype(np.uint32),
                     sp.gaps(doc[at], begin[at] - offsets[doc[at]]),
                     windows.astype(np.uint8),
-                    is_hot[at].astype(np.uint8),
+                    flags[at],
                     data[sp.ragged(begin[at], windows + WINDOW - 1)],
                 )
                 yield sp.rows_batch(_PACKED, [(number, blob)])
@@ -150,63 +259,114 @@ def _same_groups(payload: np.ndarray, places: np.ndarray, groups: np.ndarray) ->
     return numbers
 
 
-def _matcher(groups: int):
+def _gathered(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches one after another, and eight bytes more."""
+    ends = np.cumsum(sizes)
+    out, at = np.zeros((int(ends[-1]) if len(ends) else 0) + 8, np.uint8), 0
+    while at < len(starts):
+        low = ends[at] - sizes[at]
+        stop = max(at + 1, int(np.searchsorted(ends, low + SLICE)))
+        out[low : ends[stop - 1]] = text[sp.ragged(starts[at:stop], sizes[at:stop])]
+        at = stop
+    return out
+
+
+def _prints(text: np.ndarray, offset: np.ndarray, windows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Fingerprints of the windows of stretches and their places, a slice at a time."""
+    at = 0
+    while at < len(offset):
+        stop = max(at + 1, int(np.searchsorted(offset, offset[at] + SLICE)))
+        low, high = offset[at], offset[stop - 1] + windows[stop - 1] + WINDOW - 1
+        places = sp.ragged(offset[at:stop], windows[at:stop])
+        yield sp.gram_hashes(text[low:high].astype(np.uint64) + np.uint64(1), WINDOW)[places - low], places
+        at = stop
+
+
+def _late(text: np.ndarray, offset: np.ndarray, windows: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Whether the window at each place has an equal one whose owner is smaller; ``text`` as ``_gathered`` gives it.
+
+    Takes eight bytes a window and a flag a byte of text; all else is done for about SLICE windows at
+    once, and for the windows of one fingerprint together.
+    """
+    bits = np.uint64(max(24, len(text).bit_length()))
+    low_bits = (np.uint64(1) << bits) - np.uint64(1)
+    marked, at = np.empty(int(windows.sum()), np.uint64), 0
+    for prints, places in _prints(text, offset, windows):
+        marked[at : at + len(places)] = prints >> bits << bits | places.astype(np.uint64)
+        at += len(places)
+    marked.sort()
+    late, at = np.zeros(len(text), bool), 0
+    while at < len(marked):
+        stop = int(np.searchsorted(marked, marked[min(at + SLICE, len(marked)) - 1] | low_bits, "right"))
+        part, at = marked[at:stop], stop
+        prints = part >> bits
+        twin = prints[1:] == prints[:-1]
+        member = np.concatenate((twin, [False])) | np.concatenate(([False], twin))
+        places = (part[member] & low_bits).astype(np.int64)
+        if not len(places):
+            continue
+        numbers = _same_groups(text, places, prints[member])
+        order = np.argsort(numbers, kind="stable")
+        places, numbers = places[order], numbers[order]
+        own = owner[np.searchsorted(offset, places, "right") - 1]
+        starts = np.flatnonzero(np.concatenate(([True], numbers[1:] != numbers[:-1])))
+        least = np.repeat(np.minimum.reduceat(own, starts), np.diff(np.append(starts, len(numbers))))
+        late[places[own > least]] = True
+    return late
+
+
+def _opened(batches) -> tuple[np.ndarray, ...] | None:
+    """Ids and marks of documents; document, start, windows, flags and text of stretches."""
+    ids, marks, doc, start, windows, flags, text, seen = [], [], [], [], [], [], bytearray(), 0
+    for batch in batches:
+        for blob in batch.column(1):
+            a, b, c, d, e, f, g = sp.unpack(blob.as_py())
+            ids.append(a), marks.append(b ^ id_marks(a)), doc.append(np.repeat(np.arange(seen, seen + len(a), dtype=np.int32), c))
+            start.append(sp.places_of(c, d)), windows.append(e.copy()), flags.append(f.copy())
+            text.extend(g.data)  # grows in place: the text is never held twice
+            seen += len(a)
+    return (*map(np.concatenate, (ids, marks, doc, start, windows, flags)), np.frombuffer(text, np.uint8)) if ids else None
+
+
+def _matcher(groups: int, across: int):
     def match(batches):
-        blobs = [bytes(x) for batch in batches for x in batch.column(1).to_pylist()]
-        if not blobs:
+        found = _opened(batches)
+        if found is None:
             return
-        ids, marks, doc, start, windows, hot, payload, seen = [], [], [], [], [], [], [], 0
-        for blob in blobs:
-            a, b, c, d, e, f, g = sp.unpack(blob)
-            ids.append(a), marks.append(b), doc.append(np.repeat(np.arange(seen, seen + len(a)), c)), start.append(sp.places_of(c, d))
-            windows.append(e), hot.append(f), payload.append(g)
-            seen += len(a)
-        del blobs
-        ids, marks, doc, start, hot = map(np.concatenate, (ids, marks, doc, start, hot))
-        windows = np.concatenate(windows).astype(np.int64)
-        payload = np.concatenate(payload + [np.zeros(8, np.uint8)])
-        offset = np.cumsum(windows + WINDOW - 1) - (windows + WINDOW - 1)
-        bits = np.uint64(max(24, len(payload).bit_length()))
-        marked, at = [], 0
-        while at < len(offset):  # fingerprints of all windows, a slice at a time
-            stop = max(at + 1, int(np.searchsorted(offset, offset[at] + SLICE)))
-            low, high = offset[at], offset[stop - 1] + windows[stop - 1] + WINDOW - 1
-            hashes = sp.gram_hashes(payload[low:high].astype(np.uint64) + np.uint64(1), WINDOW)
-            places = sp.ragged(offset[at:stop], windows[at:stop])
-            marked.append(hashes[places - low] >> bits << bits | places.astype(np.uint64))
-            at = stop
-        marked = np.concatenate(marked)
-        marked.sort()
-        high = marked >> bits
-        twin = high[1:] == high[:-1]
-        member = np.concatenate((twin, [False])) | np.concatenate(([False], twin))
-        places = (marked[member] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-        prints = high[member]
-        del marked, high, twin, member
-        gone = np.zeros(0, np.int64)
-        if len(places):
-            numbers = _same_groups(payload, places, prints)
-            order = np.argsort(numbers, kind="stable")
-            places, numbers = places[order], numbers[order]
-            span = np.searchsorted(offset, places, "right") - 1
-            owner = ids[doc[span]]
-            starts = np.flatnonzero(np.concatenate(([True], numbers[1:] != numbers[:-1])))
-            least = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(numbers))))
-            gone = places[owner > least]
-            span = span[owner > least]
-            first = start[span] + gone - offset[span]
-            d, s, e = sp.covered_runs(doc[span], first, first + WINDOW)
+        ids, marks, doc, start, windows, flags, text = found
+        del found
+        sizes = windows.astype(np.int64) + (WINDOW - 1)
+        begin = np.cumsum(sizes) - sizes
+        runs = []
+        for _, at in sp.by_group(flags >> 1):  # cell by cell
+            payload, own, place, length = _gathered(text, begin[at], sizes[at]), doc[at], start[at], windows[at].astype(np.int64)
+            offset = np.cumsum(sizes[at]) - sizes[at]
+            gone = _late(payload, offset, length, ids[own])
+            places = np.flatnonzero(gone)
+            for k in range(0, len(places), SLICE):
+                some = places[k : k + SLICE]
+                span = np.searchsorted(offset, some, "right") - 1
+                first = place[span] + some - offset[span]
+                runs.append(sp.covered_runs(own[span], first, first + WINDOW))
+            chosen = np.flatnonzero(flags[at] & 1)
+            if not len(chosen):
+                continue
+            left, goal = [], []
+            for prints, some in _prints(payload, offset[chosen], length[chosen]):
+                left.append(some[~gone[some]])
+                goal.append((prints[~gone[some]] % np.uint64(across)).astype(np.int32))
+            left, goal = np.concatenate(left), np.concatenate(goal)
+            for group, some in sp.by_group(goal):
+                some = left[some]
+                span = np.searchsorted(offset, some, "right") - 1
+                grams = payload[some[:, None] + np.arange(WINDOW)].reshape(-1)
+                first = place[span] + some - offset[span]
+                yield sp.rows_batch(_MATCHED, [(group, sp.pack(ids[own[span]], marks[own[span]], first, grams), True)])
+        del text
+        if runs:
+            d, s, e = sp.covered_runs(*(np.concatenate(x) for x in zip(*runs)))
             for group, at in sp.by_group((marks[d].astype(np.uint64) % np.uint64(groups)).astype(np.int64)):
                 yield sp.rows_batch(_MATCHED, [(group, sp.pack(ids[d[at]], marks[d[at]], s[at], e[at]), False)])
-        if hot.any():
-            chosen = np.flatnonzero(hot)
-            left = np.setdiff1d(sp.ragged(offset[chosen], windows[chosen]), gone, assume_unique=True)
-            span = np.searchsorted(offset, left, "right") - 1
-            grams = payload[left[:, None] + np.arange(WINDOW)]
-            goal = (sp.gram_hashes(grams.T.astype(np.uint64) + np.uint64(1), WINDOW)[0] % np.uint64(groups)).astype(np.int64)
-            for group, at in sp.by_group(goal):
-                own, place = doc[span[at]], start[span[at]] + left[at] - offset[span[at]]
-                yield sp.rows_batch(_MATCHED, [(group, sp.pack(ids[own], marks[own], place, grams[at].reshape(-1)), True)])
 
     return match
 
@@ -218,11 +378,11 @@ def _across(groups: int):
         found = [sp.unpack(bytes(x)) for batch in batches for x in batch.column(1).to_pylist()]
         if not found:
             return
-        ids, marks, start, grams = (np.concatenate([f[i] for f in found]) for i in range(4))
-        _, number = np.unique(np.ascontiguousarray(grams).view(f"V{WINDOW}"), return_inverse=True)
-        least = np.full(number.max() + 1, sp.LAST, np.int64)
-        np.minimum.at(least, number, ids)
-        late = np.flatnonzero(ids > least[number])
+        ids, marks, start = (np.concatenate([f[i] for f in found]) for i in range(3))
+        grams = np.concatenate([f[3] for f in found] + [np.zeros(8, np.uint8)])
+        del found
+        offset = np.arange(len(ids)) * WINDOW
+        late = np.flatnonzero(_late(grams, offset, np.ones(len(ids), np.int64), ids)[offset])
         for group, at in sp.by_group((marks[late].astype(np.uint64) % np.uint64(groups)).astype(np.int64)):
             at = late[at]
             yield sp.rows_batch(_PACKED, [(group, sp.pack(ids[at], marks[at], start[at], start[at] + WINDOW))])
@@ -290,16 +450,17 @@ def _finish(batches):
         yield sp.rows_batch(kind, rows)
 
 
-def duplicate_runs(rows: DataFrame, total: int, parts: int) -> DataFrame:
+def duplicate_runs(rows: DataFrame, total: int, parts: int, groups: int) -> DataFrame:
     """(group, blob) of the runs to remove, blobs of ids, marks, starts and ends; ``rows`` as ``keyed`` gives them."""
-    split = splitters(rows, total, parts)
-    dealt = rows.mapInArrow(_dealer(split), PACKED).repartitionById(parts, "group")
-    matched = dealt.mapInArrow(_matcher(parts), MATCHED)
-    if not len(sp.hot_keys(split)):
+    deal = dealing(rows, total, parts)
+    across = max(parts, int(deal.hot_share * total * WINDOW) // ACROSS_BYTES)
+    dealt = rows.mapInArrow(_dealer(deal.common, deal.split), PACKED).repartitionById(parts, "group")
+    matched = dealt.mapInArrow(_matcher(groups, across), MATCHED)
+    if not len(sp.hot_keys(deal.split)):
         return matched.select("group", "blob")
     matched = cut_lineage(matched)
-    across = matched.where("across").select("group", "blob").repartitionById(parts, "group").mapInArrow(_across(parts), PACKED)
-    return matched.where("not across").select("group", "blob").unionByName(across)
+    left = matched.where("across").select("group", "blob").repartitionById(across, "group").mapInArrow(_across(groups), PACKED)
+    return matched.where("not across").select("group", "blob").unionByName(left)
 
 
 def suffix_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -307,13 +468,16 @@ def suffix_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame
 
     Rows with one doc_id are one document, which does not repeat itself; documents without id come
     after all others and are reported with a null id. Null and empty texts have no bytes. Other columns
-    are ignored. Buckets grow in number with the input, not in size; a string shared by most
-    documents fills several buckets, each of which keeps one survivor per string for the last compare.
+    are ignored. Where all ids differ a row is named by its id alone, else by its text too. Tasks grow in
+    number with the input, not in size; a string shared by most documents fills several of them, each of
+    which keeps one survivor per string for the last compare.
     """
     rows = keyed(docs)
+    if ids_differ(docs):
+        rows = rows.withColumn("mark", F.xxhash64("id"))
     total = text_bytes(docs)
-    parts = max(partitions(docs.sparkSession), -(-total // bucket_bytes), 1)
-    runs = duplicate_runs(rows, total, parts).withColumn("is_text", F.lit(False))
-    texts = rows.mapInArrow(pack_documents(parts), PACKED).withColumn("is_text", F.lit(True))
-    together = texts.unionByName(runs).repartitionById(parts, "group").select("is_text", "blob")
+    parts, groups = (max(partitions(docs.sparkSession), -(-total // (bucket_bytes * n)), 1) for n in (TASK_BUCKETS, GROUP_BUCKETS))
+    runs = duplicate_runs(rows, total, parts, groups).withColumn("is_text", F.lit(False))
+    texts = rows.mapInArrow(pack_documents(groups), PACKED).withColumn("is_text", F.lit(True))
+    together = texts.unionByName(runs).repartitionById(groups, "group").select("is_text", "blob")
     return together.mapInArrow(_finish, REPORT)
